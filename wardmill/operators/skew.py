@@ -1,0 +1,20 @@
+"""Join of a large table to a one-row-per-key table when one key may hold much of the large one."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def salted_join(
+    big: DataFrame, lookup: DataFrame, keys: list[str], spread: list[str], salts: int = 32,
+    how: str = "inner",
+) -> DataFrame:
+    """Join on the keys and a salt taken from the ``spread`` columns of the big table.
+
+    Each lookup row is repeated once per salt, so a hot key is shared by ``salts`` tasks. The
+    salt is a hash of stored values, so a task that runs again sends rows the same way.
+    """
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
