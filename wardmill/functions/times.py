@@ -44,7 +44,7 @@ def millis_to_utc(millis: Column) -> Column:
 
 def date_to_millis(ts: Column) -> Column:
     """Epoch milliseconds, rounded down, of a UTC wall-clock time."""
-    return F.floor(F.timestamp_diff("MICROSECOND", ntz(EPOCH), ts) / F.lit(1000)).cast("bigint")
+    return F.timestamp_diff("MILLISECOND", ntz(EPOCH), F.date_trunc("MILLISECOND", ts))
 
 
 def in_zone(ts: Column, tz: str) -> Column:

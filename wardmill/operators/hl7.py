@@ -46,8 +46,28 @@ def unescape(value: Column) -> Column:
     out = F.replace(value, F.lit("\\E\\"), F.lit(HELD))
     for sequence, n in ESCAPES.items():
         out = F.replace(out, F.lit(sequence), mark(n))
-    out = F.replace(out, F.lit(HELD), F.lit("\\"))
-    return F.when(F.locate("\\", value) > 0, out).otherwise(value)
+    return F.replace(out, F.lit(HELD), F.lit("\\"))
+
+
+def once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:
+    """Keep some columns and add values that are computed once per row.
+
+    A plain projection would be copied into every later filter and column that uses it; the
+    output of a generator is not, so a message is split once however many fields are read.
+    """
+    row = F.struct(*[v.alias(k) for k, v in values.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
+def split_message(messages: DataFrame, keep: list[str], text: str = "raw") -> DataFrame:
+    """Add the message's marks, its header as an array (MSH-n at n - 1) and its PID (at n)."""
+    field_mark = quoted(F.substring(text, 4, 1))
+    pid = F.regexp_extract(text, "(?:^|\r)(PID[^\r]*)", 1)
+    return once(
+        messages, keep, marks=F.substring(text, 4, 5),
+        msh=F.split(F.substring_index(text, "\r", 1), field_mark, -1),
+        pid=F.split(pid, field_mark, -1),
+    )
 
 
 def segments(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
@@ -97,15 +117,6 @@ def fields(segs: DataFrame, ids: list[str]) -> DataFrame:
     )
 
 
-def headers(messages: DataFrame, text: str = "raw") -> DataFrame:
-    """Readable messages with their marks and header split into an array, MSH-n at n - 1."""
-    return (
-        messages.filter(is_message(text))
-        .withColumn("marks", F.substring(text, 4, 5))
-        .withColumn("msh", F.split(F.substring_index(text, "\r", 1), quoted(mark(1)), -1))
-    )
-
-
 def present(array: str, n: int) -> Column:
     """An array item, or NULL where it is absent or empty."""
     return F.nullif(F.get(F.col(array), F.lit(n)), F.lit(""))
@@ -117,22 +128,19 @@ def first_component(value: Column) -> Column:
     return F.nullif(first, F.lit(""))
 
 
-def patients(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
-    """One patient row per readable message, from its PID and header.
+def patient_id() -> Column:
+    """First component of PID-3, or of PID-2 in messages that fill only that."""
+    return F.coalesce(first_component(present("pid", 3)), first_component(present("pid", 2)))
 
-    The id is the first component of PID-3, or of PID-2 in messages that only fill that.
-    """
-    split = (
-        headers(messages, text)
-        .withColumn("pid", F.regexp_extract(text, "(?:^|\r)(PID[^\r]*)", 1))
-        .withColumn("pid", F.split("pid", quoted(mark(1)), -1))
-    )
-    mrn = F.coalesce(first_component(present("pid", 3)), first_component(present("pid", 2)))
+
+def patients(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
+    """One patient row per readable message, from its PID and header."""
+    split = split_message(messages.filter(is_message(text)), ids, text)
     plain = [
         present("pid", n).alias(c) for n, c in PID_COLUMNS.items() if c != "DateTimeofBirth"
     ]
     return split.select(
-        *ids, "marks", mrn.alias("mrn"), *plain,
+        *ids, "marks", patient_id().alias("mrn"), *plain,
         hl7_time(present("pid", 7)).cast("date").alias("DateTimeofBirth"),
         hl7_time(present("msh", 6)).alias("CreateDate"),
         present("msh", 8).alias("messageType"),
@@ -155,15 +163,10 @@ def rejects(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame
 
 def reject_bad(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
     """Every message with its reason for rejection, or NULL: no text, not a message, no id."""
-    pid = F.regexp_extract(text, "(?:^|\r)(PID[^\r]*)", 1)
-    parts = (
-        messages.withColumn("marks", F.substring(text, 4, 5))
-        .withColumn("pid", F.when(is_message(text), F.split(pid, quoted(mark(1)), -1)))
-    )
-    no_id = first_component(present("pid", 3)).isNull() & first_component(present("pid", 2)).isNull()
+    parts = split_message(messages, [*ids, text], text)
+    no_id = F.coalesce(patient_id(), F.lit("")) == ""
     return parts.select(
-        *ids, text,
-        F.coalesce(reject_reason(text), F.when(no_id, "no id")).alias("reason"),
+        *ids, text, F.coalesce(reject_reason(text), F.when(no_id, "no id")).alias("reason")
     )
 
 
@@ -192,13 +195,15 @@ def build(patient: DataFrame, ids: list[str], tz: str = "UTC") -> DataFrame:
 
 
 def acknowledge(
-    messages: DataFrame, ids: list[str], ack_time: Column, ack_id: Column, text: str = "raw"
+    messages: DataFrame, ids: list[str], ack_time: str, ack_id: str, text: str = "raw"
 ) -> DataFrame:
-    """One acknowledgement per message, or ``Error`` where the message is not readable."""
+    """One acknowledgement per message, or ``Error`` where the message is not readable.
+
+    The time and number of the acknowledgement are columns of the message table.
+    """
+    needed = [ack_time, ack_id]
     fs = mark(1)
-    marked = messages.withColumn("marks", F.substring(text, 4, 5)).withColumn(
-        "msh", F.split(F.substring_index(text, "\r", 1), quoted(fs), -1)
-    )
+    marked = split_message(messages, list(dict.fromkeys([*ids, *needed, text])), text)
 
     def item(n: int) -> Column:
         return F.coalesce(F.get("msh", F.lit(n - 1)), F.lit(""))
@@ -207,7 +212,8 @@ def acknowledge(
     kind = F.when(trigger == "", F.lit("ACK")).otherwise(F.concat(F.lit("ACK"), mark(2), trigger))
     parts = [
         F.substring("marks", 2, 4), item(5), item(6), item(3), item(4),
-        F.date_format(ack_time, "yyyyMMddHHmmss"), F.lit(""), kind, ack_id, item(11), item(12),
+        F.date_format(ack_time, "yyyyMMddHHmmss"), F.lit(""), kind,
+        F.col(ack_id).cast("string"), item(11), item(12),
     ]
     header = F.concat(F.lit("MSH"), *[c for part in parts for c in (fs, part)])
     reply = F.concat(header, F.lit("\rMSA"), fs, F.lit("AA"), fs, item(10), F.lit("\r"))
@@ -224,31 +230,40 @@ def message_rows(messages: DataFrame, ids: list[str], text: str = "raw") -> Data
     )
 
 
-def component(value: Column, n: int) -> Column:
-    """The n-th component of the first repetition, NULL where absent or empty."""
-    first = F.split_part(value, mark(3), F.lit(1))
-    return F.nullif(unescape(F.split_part(first, mark(2), F.lit(n))), F.lit(""))
+def components(value: Column) -> Column:
+    """Components of the first repetition."""
+    return F.split(F.split_part(value, mark(3), F.lit(1)), quoted(mark(2)), -1)
 
 
-def full_name(person: Column) -> Column:
+def component(array: str, n: int) -> Column:
+    """The n-th component, NULL where absent or empty."""
+    return F.nullif(unescape(F.get(F.col(array), F.lit(n - 1))), F.lit(""))
+
+
+def full_name(array: str) -> Column:
     """Name components in order, separated by spaces."""
-    given = F.filter(F.split(person, quoted(mark(2)), -1), lambda c: c != "")
-    return unescape(F.array_join(given, " "))
+    return unescape(F.array_join(F.filter(array, lambda c: c != ""), " "))
+
+
+def identified(parsed: DataFrame) -> DataFrame:
+    """``patients`` rows that have an id, with address, phone and name as component arrays."""
+    return once(
+        parsed.filter(F.col("mrn").isNotNull()), parsed.columns,
+        home=components(F.col("PatientAddress")), phone=components(F.col("PhoneNumberHome")),
+        person=components(F.col("PatientName")),
+    )
 
 
 def patient_control(parsed: DataFrame, ids: list[str]) -> DataFrame:
     """Search-sized patient rows from ``patients`` output."""
-    home, phone = F.col("PatientAddress"), F.col("PhoneNumberHome")
-    contact = F.split(phone, quoted(mark(2)), -1)
-    email = F.get(F.filter(contact, lambda c: F.locate("@", c) > 0), F.lit(0))
-    return parsed.filter(F.col("mrn").isNotNull()).select(
-        *ids, component(home, 3).alias("City"), F.col("DateTimeofBirth").alias("DateOfBirth"),
+    email = F.get(F.filter("phone", lambda c: F.locate("@", c) > 0), F.lit(0))
+    return identified(parsed).select(
+        *ids, component("home", 3).alias("City"), F.col("DateTimeofBirth").alias("DateOfBirth"),
         email.alias("Email"), F.col("EthnicGroup").alias("Ethnicity"),
         F.col("AdministrativeSex").alias("Gender"), F.col("mrn").alias("Mrn"),
-        full_name(F.col("PatientName")).alias("Name"),
-        component(phone, 1).alias("PhoneNumber"), component(home, 5).alias("PostalCode"),
-        F.col("Race").alias("Race"), component(home, 4).alias("StateProvince"),
-        component(home, 1).alias("Street"),
+        full_name("person").alias("Name"), component("phone", 1).alias("PhoneNumber"),
+        component("home", 5).alias("PostalCode"), F.col("Race").alias("Race"),
+        component("home", 4).alias("StateProvince"), component("home", 1).alias("Street"),
     )
 
 
@@ -258,12 +273,11 @@ def patient_documents(parsed: DataFrame, ids: list[str]) -> DataFrame:
         listed = F.split(column, quoted(mark(3)), -1)
         return F.transform(listed, lambda c: struct_of(CODED, Code=c))
 
-    home, phone, person = (F.col(c) for c in ("PatientAddress", "PhoneNumberHome", "PatientName"))
-    number = struct_of(PHONE, Number=component(phone, 1), Type=F.lit("home"))
+    number = struct_of(PHONE, Number=component("phone", 1), Type=F.lit("home"))
     values = {
         "Addresses": F.array(struct_of(
-            ADDRESS, City=component(home, 3), PostalCode=component(home, 5),
-            State=component(home, 4), Street=F.array(component(home, 1)),
+            ADDRESS, City=component("home", 3), PostalCode=component("home", 5),
+            State=component("home", 4), Street=F.array(component("home", 1)),
             PhoneNumbers=F.array(number),
         )),
         "CreateDate": F.col("CreateDate"),
@@ -272,22 +286,20 @@ def patient_documents(parsed: DataFrame, ids: list[str]) -> DataFrame:
         "Gender": struct_of(CODED, Code=F.col("AdministrativeSex")),
         "Id": F.col("mrn"),
         "Mrn": F.col("mrn"),
-        "Name": full_name(person),
+        "Name": full_name("person"),
         "NameComponents": F.array(struct_of(
-            NAME_PARTS, LastName=component(person, 1), FirstName=component(person, 2),
-            MiddleName=component(person, 3),
+            NAME_PARTS, LastName=component("person", 1), FirstName=component("person", 2),
+            MiddleName=component("person", 3),
         )),
         "Race": codes("Race"),
     }
     document = fill(struct_of(PATIENT, **values), PATIENT, PATIENT)
-    return (
-        parsed.filter(F.col("mrn").isNotNull())
-        .select(*ids, document.alias("_document")).select(*ids, "_document.*")
-    )
+    return identified(parsed).select(*ids, document.alias("_document")).select(*ids, "_document.*")
 
 
 def message_type_counts(messages: DataFrame, text: str = "raw") -> DataFrame:
     """Number of readable messages by MSH-9."""
-    return headers(messages, text).groupBy(present("msh", 8).alias("messageType")).agg(
+    readable = split_message(messages.filter(is_message(text)), [], text)
+    return readable.groupBy(present("msh", 8).alias("messageType")).agg(
         F.count("*").alias("messages")
     )

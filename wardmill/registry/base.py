@@ -52,7 +52,7 @@ PERSON = """person as (
 
 MESSAGE = PERSON + """,
 message as (
-  select e.event_id msg_id, p.mrn, e.ts created, epoch_ms(e.ts) created_ms,
+  select e.event_id msg_id, p.mrn, e.ts created, epoch_us(e.ts) // 1000 created_ms,
     case e.event_type when 'signup' then 'ADT^A01' when 'purchase' then 'ADT^A04' else 'ADT^A08' end kind,
     strftime(e.ts, '%Y%m%d%H%M%S') stamp, p.* exclude (mrn, created_ms),
     'MSH|^~\\&|SENDING_APPLICATION|SENDING_FACILITY|RECEIVING_APPLICATION|RECEIVING_FACILITY|'

@@ -273,7 +273,7 @@ def load_counts(spark, d):
 
 
 @query("file_to_tables", with_(MESSAGE) + """
-select 'ca_hl_7' table_name, mrn id, strftime(created, '%Y-%m-%d %H:%M:%S') at, raw detail from message
+select 'ca_hl_7' table_name, mrn id, strftime(created, '%Y-%m-%d %H:%M:%S') day_time, raw detail from message
 union all select 'ca_patient_control', mrn, dob, street from message""")
 def file_to_tables(spark, d):
     source, folder = new_folder(spark, "hl7-text"), new_folder(spark, "load")
@@ -281,11 +281,11 @@ def file_to_tables(spark, d):
     loads.file_to_tables(read_hl7_text(spark, source), folder)
     data = loads.loaded(spark, folder, "ca_hl_7").select(
         F.lit("ca_hl_7").alias("table_name"), F.col("Id").alias("id"),
-        F.date_format("CreateDate", "yyyy-MM-dd HH:mm:ss").alias("at"), F.col("Message").alias("detail"),
+        F.date_format("CreateDate", "yyyy-MM-dd HH:mm:ss").alias("day_time"), F.col("Message").alias("detail"),
     )
     people = loads.loaded(spark, folder, "ca_patient_control").select(
         F.lit("ca_patient_control").alias("table_name"), F.col("Mrn").alias("id"),
-        F.col("DateOfBirth").cast("string").alias("at"), F.col("Street").alias("detail"),
+        F.col("DateOfBirth").cast("string").alias("day_time"), F.col("Street").alias("detail"),
     )
     return data.unionByName(people)
 

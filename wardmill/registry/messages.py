@@ -70,8 +70,7 @@ select msg_id, case when raw like 'MSH|%' then
   || substr(kind, 5) || '|' || msg_id || '|P|2.3' || chr(13) || 'MSA|AA|' || mrn || stamp || chr(13)
   else 'Error' end ack from faulty""")
 def hl7_ack(spark, d):
-    number = F.col("msg_id").cast("string")
-    return hl7.acknowledge(b.faulty_messages(spark, d), ["msg_id"], F.col("created"), number)
+    return hl7.acknowledge(b.faulty_messages(spark, d), ["msg_id"], "created", "msg_id")
 
 
 @query("hl7_rejects", with_(FAULTY) + """

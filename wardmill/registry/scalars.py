@@ -43,7 +43,7 @@ def parse_patient_date(spark, d):
     )
 
 
-@query("date_to_millis", "select event_id, epoch_ms(ts) millis from events")
+@query("date_to_millis", "select event_id, epoch_us(ts) // 1000 millis from events")
 def date_to_millis(spark, d):
     events = b.read(spark, d, "events")
     return events.select("event_id", times.date_to_millis(F.col("ts")).alias("millis"))

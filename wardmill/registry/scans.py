@@ -279,7 +279,7 @@ from patient_json where regexp_matches(full_name, 'CUSTOMER#.*7', 'i') order by
 def patient_doc_search(spark, d):
     found = filters.regex_search(b.patient_json(spark, d), "name", "customer#.*7", ["name"])
     home = F.col("Addresses")[0]
-    return patients.read_patient(found, ["name"]).select(
+    return patients.read_patient(found, []).select(
         "Mrn", "Name", "DateOfBirth", F.col("Gender.Code").alias("Gender"), home["City"].alias("City"),
         home["Street"][0].alias("Street"), home["PhoneNumbers"][0]["Number"].alias("Phone"), "Rank",
         F.array_join("Race.Code", ",").alias("Race"),
