@@ -82,7 +82,7 @@ def sound_keys(text: Column) -> Column:
     out = F.lower(text)
     for pattern, replacement in SPELLING:
         out = F.regexp_replace(out, pattern, replacement)
-    out = F.regexp_replace(out, f"(?<=[^ ])[{SILENT}]", "")
+    out = F.regexp_replace(out, f"(?<=[^ ])[{SILENT}]+", "")
     return F.regexp_replace(out, f"([{COLLAPSED}])\\1+", "$1")
 
 

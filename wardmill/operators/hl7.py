@@ -25,6 +25,7 @@ PID_COLUMNS = {
 # Escape sequence -> position of its mark among the message's five (backslash itself is last).
 ESCAPES = {"\\F\\": 1, "\\S\\": 2, "\\R\\": 3, "\\T\\": 5}
 HELD = "\u0000"
+READABLE = "_readable"
 
 
 def is_message(text: str = "raw") -> Column:
@@ -59,10 +60,18 @@ def once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(row)))
 
 
+def readable_text(messages: DataFrame, text: str) -> DataFrame:
+    """Add the text where it is a readable message, and NULL where it is not."""
+    return messages.withColumn(READABLE, F.when(is_message(text), F.col(text)))
+
+
 def split_message(messages: DataFrame, keep: list[str], text: str = "raw") -> DataFrame:
-    """Add the message's marks, its header as an array (MSH-n at n - 1) and its PID (at n)."""
+    """Add the message's marks, its header as an array (MSH-n at n - 1) and its PID (at n).
+
+    The text must be readable or NULL: its own marks are used as split patterns.
+    """
     field_mark = quoted(F.substring(text, 4, 1))
-    pid = F.regexp_extract(text, "(?:^|\r)(PID[^\r]*)", 1)
+    pid = F.substring_index(F.split_part(text, F.lit("\rPID"), F.lit(2)), "\r", 1)
     return once(
         messages, keep, marks=F.substring(text, 4, 5),
         msh=F.split(F.substring_index(text, "\r", 1), field_mark, -1),
@@ -148,25 +157,20 @@ def patients(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFram
     )
 
 
-def reject_reason(text: str = "raw") -> Column:
-    """Why a message cannot be loaded, NULL when it can. Needs a ``patients`` row for the id."""
-    return F.when(F.col(text).isNull(), "no text").when(~is_message(text), "not a message")
-
-
 def rejects(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
     """Messages that are not readable, with the reason and the text."""
-    return (
-        messages.withColumn("reason", reject_reason(text)).filter(F.col("reason").isNotNull())
-        .select(*ids, "reason", text)
-    )
+    reason = F.when(F.col(text).isNull(), "no text").otherwise("not a message")
+    return messages.filter(~is_message(text)).select(*ids, reason.alias("reason"), text)
 
 
 def reject_bad(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
     """Every message with its reason for rejection, or NULL: no text, not a message, no id."""
-    parts = split_message(messages, [*ids, text], text)
+    parts = split_message(readable_text(messages, text), [*ids, text], READABLE)
     no_id = F.coalesce(patient_id(), F.lit("")) == ""
     return parts.select(
-        *ids, text, F.coalesce(reject_reason(text), F.when(no_id, "no id")).alias("reason")
+        *ids, text,
+        F.when(F.col(text).isNull(), "no text").when(F.col("marks").isNull(), "not a message")
+        .when(no_id, "no id").alias("reason"),
     )
 
 
@@ -203,7 +207,8 @@ def acknowledge(
     """
     needed = [ack_time, ack_id]
     fs = mark(1)
-    marked = split_message(messages, list(dict.fromkeys([*ids, *needed, text])), text)
+    kept = list(dict.fromkeys([*ids, *needed]))
+    marked = split_message(readable_text(messages, text), kept, READABLE)
 
     def item(n: int) -> Column:
         return F.coalesce(F.get("msh", F.lit(n - 1)), F.lit(""))
@@ -218,7 +223,7 @@ def acknowledge(
     header = F.concat(F.lit("MSH"), *[c for part in parts for c in (fs, part)])
     reply = F.concat(header, F.lit("\rMSA"), fs, F.lit("AA"), fs, item(10), F.lit("\r"))
     return marked.select(
-        *ids, F.when(is_message(text), reply).otherwise(F.lit("Error")).alias("ack")
+        *ids, F.coalesce(reply, F.lit("Error")).alias("ack")
     )
 
 

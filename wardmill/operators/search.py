@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.functions.text import keyed_tokens, sound_keys, suggest_text
+from wardmill.functions.text import keyed_tokens, sound_keys, suggest_text, tokens
 from wardmill.models import PATIENT_CONTROL, lower_first
 from wardmill.operators.upserts import upsert
 
@@ -41,12 +41,12 @@ def postings(docs: DataFrame, fields: list[str], key: str = KEY, sound: bool = T
     Rows come from exploding each document in place, so building needs no shuffle.
     """
     texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    words = (
-        docs.select(key, F.explode(texts).alias("_f"))
-        .select(key, "_f.field", F.posexplode(keyed_tokens(F.col("_f.text"))).alias("position", "_w"))
-    )
-    token = F.col("_w.sound") if sound else F.col("_w.term")
-    return words.select("field", token.alias("token"), F.col("_w.term").alias("term"), "position", key)
+    by_field = docs.select(key, F.inline(texts))
+    if not sound:
+        words = by_field.select(key, "field", F.posexplode(tokens(F.col("text"))).alias("position", "term"))
+        return words.select("field", F.col("term").alias("token"), "term", "position", key)
+    words = by_field.select(key, "field", F.posexplode(keyed_tokens(F.col("text"))).alias("position", "_w"))
+    return words.select("field", F.col("_w.sound").alias("token"), F.col("_w.term").alias("term"), "position", key)
 
 
 def patient_index(docs: DataFrame) -> DataFrame:
