@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_hl7 import BUILT, IRREGULAR
 
 from wardmill.functions.times import ntz
+from wardmill.operators.hl7 import message_rows
 from wardmill.plans import loads
 from wardmill.registry import bindings as b
 from wardmill.sources.stores import read_hl7_text
@@ -72,13 +73,24 @@ def test_file_to_tables(spark, tmp_path):
     source.write_text("\n".join([BUILT, IRREGULAR.format(pid3="135770"), "junk"]) + "\n", newline="")
     folder = str(tmp_path / "load")
     counts = loads.file_to_tables(read_hl7_text(spark, str(source)), folder)
-    assert counts == {"ca_hl_7": 2, "ca_hl_7_control": 2, "ca_patient_control": 2}
+    assert counts == {"ca_hl_7": 2, "ca_hl_7_control": 2, "ca_patient": 2, "ca_patient_control": 2}
     assert [r["reason"] for r in loads.loaded(spark, folder, "rejects").collect()] == ["not a message"]
+    assert [r["Name"] for r in loads.loaded(spark, folder, "ca_patient").orderBy("Name").collect()] == [
+        "MOUSE MICKEY J", "MOUSE MINNIE"
+    ]
     again = loads.file_to_tables(read_hl7_text(spark, str(source)), folder)
     assert again == counts
     assert loads.loaded(spark, folder, "ca_hl_7").count() == 2
 
 
+def test_too_long_lines_are_rejected(spark, tmp_path):
+    source = tmp_path / "long.hl7"
+    source.write_text(BUILT + "\n" + BUILT.replace("Lake", "Lake" * 300) + "\n", newline="")
+    folder = str(tmp_path / "load")
+    assert loads.load_messages(read_hl7_text(spark, str(source), 1024), [], folder, "f")["ca_hl_7"] == 1
+    assert [r["reason"] for r in loads.loaded(spark, folder, "rejects").collect()] == ["too long"]
+
+
 def test_stream_equals_batch_and_runs_once(spark, tmp_path):
     folder = str(tmp_path / "load")
 
@@ -91,7 +103,7 @@ def test_stream_equals_batch_and_runs_once(spark, tmp_path):
         query.awaitTermination()
         return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate")
 
-    batch = loads.message_rows(b.messages(spark, SF_DIR), ["msg_id"]).select("msg_id", "Id", "CreateDate")
+    batch = message_rows(b.messages(spark, SF_DIR), ["msg_id"]).select("msg_id", "Id", "CreateDate")
     want = sorted(map(tuple, batch.collect()))
     assert sorted(map(tuple, run().collect())) == want
     assert sorted(map(tuple, run().collect())) == want

@@ -24,7 +24,8 @@ def append_events(
 
     Events go to their call's stream in call and sequence order, and positions go on from the
     stream's highest. An empty batch gives no rows. An ``event_uuid`` column of the batch is
-    used as it is; otherwise each event gets a random one.
+    used as it is; otherwise each event gets a random one. Of the log only the highest version
+    per stream is used, so a table of stream heads serves as well as the whole log.
     """
     named = name_streams(batch, call, seq)
     if "event_uuid" not in batch.columns:

@@ -163,15 +163,33 @@ def rejects(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame
     return messages.filter(~is_message(text)).select(*ids, reason.alias("reason"), text)
 
 
-def reject_bad(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
-    """Every message with its reason for rejection, or NULL: no text, not a message, no id."""
-    parts = split_message(readable_text(messages, text), [*ids, text], READABLE)
-    no_id = F.coalesce(patient_id(), F.lit("")) == ""
+def intake(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
+    """Every message as (Id, CreateDate, Message) with the reason it cannot be loaded, or NULL.
+
+    One pass over the text gives both the rows to load and the rejects. A ``too_long`` column of
+    the source, where there is one, is a reason too.
+    """
+    flags = ["too_long"] if "too_long" in messages.columns else []
+    kept = list(dict.fromkeys([*ids, *flags, text]))
+    parts = split_message(readable_text(messages, text), kept, READABLE)
+    reason = F.when(F.col(text).isNull(), "no text")
+    if flags:
+        reason = reason.when(F.col("too_long"), "too long")
+    reason = reason.when(F.col("marks").isNull(), "not a message").when(F.col("Id").isNull(), "no id")
     return parts.select(
-        *ids, text,
-        F.when(F.col(text).isNull(), "no text").when(F.col("marks").isNull(), "not a message")
-        .when(no_id, "no id").alias("reason"),
-    )
+        *ids, patient_id().alias("Id"), hl7_time(present("msh", 6)).alias("CreateDate"),
+        F.col(text).alias("Message"), "marks", *flags, *([] if text in ids else [text]),
+    ).select(*ids, "Id", "CreateDate", "Message", reason.alias("reason"))
+
+
+def reject_bad(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
+    """Every message with its reason for rejection, or NULL."""
+    return intake(messages, ids, text).select(*ids, F.col("Message").alias(text), "reason")
+
+
+def message_rows(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
+    """Loadable messages as (Id, CreateDate, Message); the control table is the first two."""
+    return intake(messages, ids, text).filter(F.col("reason").isNull()).drop("reason")
 
 
 def build(patient: DataFrame, ids: list[str], tz: str = "UTC") -> DataFrame:
@@ -227,14 +245,6 @@ def acknowledge(
     )
 
 
-def message_rows(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
-    """Loadable messages as (Id, CreateDate, Message); the control table is the first two."""
-    kept = list(dict.fromkeys([*ids, text]))
-    return patients(messages, kept, text).filter(F.col("mrn").isNotNull()).select(
-        *ids, F.col("mrn").alias("Id"), "CreateDate", F.col(text).alias("Message")
-    )
-
-
 def components(value: Column) -> Column:
     """Components of the first repetition."""
     return F.split(F.split_part(value, mark(3), F.lit(1)), quoted(mark(2)), -1)

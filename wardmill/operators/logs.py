@@ -20,12 +20,30 @@ LOG_NAMES = {
 MINI_NAMES = {k: v for k, v in LOG_NAMES.items() if k not in ("request", "error")}
 
 
-def store_and_time(hist: DataFrame, to_store: str, start: Any, end: Any) -> DataFrame:
-    return hist.filter(
-        (F.col("to_store") == to_store) & between("start_time", ntz(start), ntz(end))
+DAY = "day"
+
+
+def write_by_day(hist: DataFrame, path: str) -> None:
+    """Store the log so that a search reads few folders and few row groups.
+
+    Rows are spread by range over (day, store, time), so one busy day or store fills many files;
+    within a file they are sorted, which lets the statistics of a row group rule it out.
+    """
+    (
+        hist.withColumn(DAY, F.to_date("start_time"))
+        .repartitionByRange(DAY, "to_store", "start_time")
+        .sortWithinPartitions(DAY, "to_store", "start_time")
+        .write.partitionBy(DAY).parquet(path)
     )
 
 
+def store_and_time(hist: DataFrame, to_store: str, start: Any, end: Any) -> DataFrame:
+    wanted = (F.col("to_store") == to_store) & between("start_time", ntz(start), ntz(end))
+    if DAY in hist.columns:  # a table written by day: read only the folders of the range
+        wanted = wanted & between(DAY, F.to_date(ntz(start)), F.to_date(ntz(end)))
+    return hist.filter(wanted)
+
+
 def log_search(hist: DataFrame, to_store: str, start: Any, end: Any) -> DataFrame:
     """All calls to a store in a closed time range."""
     return rename(store_and_time(hist, to_store, start, end), LOG_NAMES)

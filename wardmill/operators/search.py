@@ -126,7 +126,7 @@ def top_docs(docs: DataFrame, ids: DataFrame, rows: int, start: int = 0, key: st
     chosen = ids.orderBy(key).offset(start).limit(rows)
     if rows <= SMALL_PAGE:
         chosen = F.broadcast(chosen)
-    return docs.join(chosen, key, "left_semi").orderBy(key)
+    return docs.join(chosen, key, "left_semi").orderBy(key).limit(rows)
 
 
 def search_suggest(docs: DataFrame, index: DataFrame, text: str, rows: int = ROWS) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from wardmill.functions.text import table_name_of
 from wardmill.functions.times import ntz, window_end
 from wardmill.models import TABLE_DATE_CONTROL
 from wardmill.operators.filters import between
-from wardmill.operators.hl7 import message_rows, patient_control, patients, reject_bad
+from wardmill.operators.hl7 import intake, patient_control, patient_documents, patients
 from wardmill.operators.upserts import last_per_key, upsert
 
 HL7_CONTROL, PATIENT_CONTROL_ID = "ca_hl_7_control", "ca_patient_control"
@@ -83,58 +82,63 @@ def incremental_filter_load(messages: DataFrame, ids: list[str], start: Column,
 
 
 # Tables of a load folder. Each load writes its own sub-folder, so running it again replaces
-# what it wrote before.
+# what it wrote before. The messages and their rejects are two partitions of one table.
+MESSAGES, LOADED, REJECTED = "messages", "loaded", "rejected"
+MESSAGE_TABLE, PATIENT_TABLE = "ca_hl_7", "ca_patient"
 
-def load_path(folder: str, table: str, label: str) -> str:
-    return f"{folder}/{table}/load={label}"
+
+def write_load(rows: DataFrame, folder: str, table: str, label: str, *partitions: str) -> DataFrame:
+    """Write one load of a table and read it back."""
+    target = f"{folder}/{table}/load={label}"
+    (
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions).parquet(target)
+    )
+    return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
 def loaded(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """All loads of a table, with their labels as column ``load``."""
+    if table == MESSAGE_TABLE:
+        return spark.read.parquet(f"{folder}/{MESSAGES}").filter(F.col("status") == LOADED).drop("reason")
+    if table == "rejects":
+        return spark.read.parquet(f"{folder}/{MESSAGES}").filter(F.col("status") == REJECTED)
     return spark.read.parquet(f"{folder}/{table}")
 
 
-def write_pair(rows: DataFrame, folder: str, label: str, data: str, control: str,
-               control_columns: list[str]) -> dict[str, int]:
-    """Write a data table and its control table; the result is the number of rows of each.
+def load_messages(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
+    """Load readable messages and their control rows, keeping the others with a reason.
 
-    Rows are counted as the data table is written. The control rows are then read back from it,
-    so the source is parsed once and both tables hold the same rows.
+    The source is read and parsed once, for loaded and rejected messages together. The control
+    rows are two columns read back from what was written, so both tables hold the same messages.
+    The result is the number of rows of each table.
     """
-    spark = rows.sparkSession
-    target = load_path(folder, data, label)
-    rows.write.mode("overwrite").parquet(target)
-    written = spark.read.schema(rows.schema).parquet(target)
-    written.select(*control_columns).write.mode("overwrite").parquet(load_path(folder, control, label))
-    count = written.count()
-    return {data: count, control: count}
+    status = F.when(F.col("reason").isNull(), LOADED).otherwise(REJECTED)
+    rows = intake(messages, ids, text).withColumn("status", status)
+    written = write_load(rows, folder, MESSAGES, label, "status")
+    good = written.filter(F.col("status") == LOADED).select("Id", "CreateDate")
+    control = write_load(good, folder, HL7_CONTROL, label)
+    count = control.count()
+    return {MESSAGE_TABLE: count, HL7_CONTROL: count}
 
 
-def load_messages(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
-    """Load readable messages into the message table pair, and the others into ``rejects``."""
-    bad = reject_bad(messages, ids, text).filter(F.col("reason").isNotNull())
-    bad.write.mode("overwrite").parquet(load_path(folder, "rejects", label))
-    return write_pair(
-        message_rows(messages, ids, text), folder, label, "ca_hl_7", HL7_CONTROL, ["Id", "CreateDate"]
-    )
-
+def load_patients(spark: SparkSession, folder: str, label: str) -> dict[str, int]:
+    """Load the patient documents and control rows of a message load.
 
-def load_patients(messages: DataFrame, folder: str, label: str, text: str = "raw") -> int:
-    """Load the patient control rows of readable messages."""
-    target = load_path(folder, PATIENT_CONTROL_ID, label)
-    rows = patient_control(patients(messages, [], text), [])
-    rows.write.mode("overwrite").parquet(target)
-    return rows.sparkSession.read.schema(rows.schema).parquet(target).count()
+    They are parsed from the message table, so the source is not read again.
+    """
+    source = loaded(spark, folder, MESSAGE_TABLE).filter(F.col("load") == label)
+    parsed = patients(source, [], "Message")
+    tables = {
+        PATIENT_TABLE: patient_documents(parsed, []), PATIENT_CONTROL_ID: patient_control(parsed, [])
+    }
+    return {name: write_load(rows, folder, name, label).count() for name, rows in tables.items()}
 
 
 def file_to_tables(messages: DataFrame, folder: str, label: str = "file") -> dict[str, int]:
-    """One text read into both table groups; gives the number of rows of each table."""
-    messages = messages.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = load_messages(messages, [], folder, label)
-        counts[PATIENT_CONTROL_ID] = load_patients(messages, folder, label)
-    finally:
-        messages.unpersist()
-    return counts
+    """One text read into both table pairs; gives the number of rows of each table."""
+    counts = load_messages(messages, [], folder, label)
+    return counts | load_patients(messages.sparkSession, folder, label)
 
 
 def read_control(spark: SparkSession, folder: str) -> DataFrame:

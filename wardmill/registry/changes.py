@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardmill import models
@@ -251,7 +253,7 @@ def write_pair(spark, d):
             allowMissingColumns=True,
         )
         .unionByName(
-            bad.select(F.lit("rejects").alias("table_name"), F.length("raw").cast("long").alias("chars")),
+            bad.select(F.lit("rejects").alias("table_name"), size.alias("chars")),
             allowMissingColumns=True,
         )
     )
@@ -260,16 +262,14 @@ def write_pair(spark, d):
 @query("load_counts", with_(FAULTY, GOOD) + """
 select 'ca_hl_7' table_name, count(*) "rows" from good union all
 select 'ca_hl_7_control', count(*) from good union all
+select 'ca_patient', count(*) from good union all
 select 'ca_patient_control', count(*) from good""")
 def load_counts(spark, d):
     folder = new_folder(spark, "load")
     loads.file_to_tables(b.faulty_messages(spark, d).select("raw"), folder)
-    names = ["ca_hl_7", "ca_hl_7_control", "ca_patient_control"]
-    counted = [
-        loads.loaded(spark, folder, n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-        for n in names
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    names = ["ca_hl_7", "ca_hl_7_control", "ca_patient", "ca_patient_control"]
+    named = [loads.loaded(spark, folder, n).select(F.lit(n).alias("table_name")) for n in names]
+    return reduce(DataFrame.unionByName, named).groupBy("table_name").agg(F.count("*").alias("rows"))
 
 
 @query("file_to_tables", with_(MESSAGE) + """
