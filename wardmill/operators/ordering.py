@@ -8,23 +8,35 @@ from pyspark.sql import functions as F
 from wardmill.session import shared_dir
 
 
+def tie_numbers(df: DataFrame, order: list[str]) -> DataFrame:
+    """Add a content hash and a number that tells equal rows apart.
+
+    Numbers are given in sorted order within a partition. Equal rows are exchangeable, so a
+    task that runs again and receives its rows in another order numbers them the same way.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    return hashed.sortWithinPartitions(*order, "_hash").withColumn(
+        "_tie", F.monotonically_increasing_id()
+    )
+
+
 def positions(
     df: DataFrame, order: list[str], within: list[str] | None = None, name: str = "position"
 ) -> DataFrame:
     """Add the 0-based place of each row in ``order``, counted afresh for each ``within`` key.
 
-    The data is range-sorted on key, order and a tie number, so a key holding a large part of
-    the rows spreads over many partitions. The sorted data is checkpointed: places are counted
-    twice over the same partitions, which a recomputed sort would not promise. Each partition
-    then needs only the number of rows of its keys in earlier partitions, a table with at most
-    one row per key and partition.
+    The data is range-sorted on key, order and a tie number, so neither a key nor a row that
+    occurs very often fills one task. The sorted data is checkpointed: places are counted twice
+    over the same partitions, which a recomputed sort would not promise. Each partition then
+    needs only the number of rows of its keys in earlier partitions, a table with at most one
+    row per key and partition.
     """
     within = within or []
     spark = df.sparkSession
     shared_dir(spark)
-    keyed = df.withColumn("_tie", F.rand(7))
     rows = (
-        keyed.orderBy(*within, *order, "_tie").drop("_tie").checkpoint()
+        tie_numbers(df, [*within, *order]).orderBy(*within, *order, "_hash", "_tie")
+        .drop("_hash", "_tie").checkpoint()
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
     )

@@ -105,9 +105,9 @@ def stream_uuid(spark, d):
 
 
 @query("json_encode", with_(HIST) + """
-select id, json_object('StartTime', regexp_replace(strftime(start_time, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0*$', ''),
+select id, cast(json_object('StartTime', regexp_replace(strftime(start_time, '%Y-%m-%dT%H:%M:%S.%f'), '\\.?0*$', ''),
   'FromStore', from_store, 'ToStore', to_store, 'StudyId', study_id, 'WSI', wsi, 'Caller', caller,
-  'Request', request, 'Response', response, 'Error', error) json from hist""")
+  'Request', request, 'Response', response, 'Error', error) as varchar) json from hist""")
 def json_encode(spark, d):
     rows = filters.rename(b.hist(spark, d), {"id": "id"} | logs.LOG_NAMES)
     return rows.select("id", documents.json_row(models.EXECUTION_LOG).cast("string").alias("json"))

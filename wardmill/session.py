@@ -36,14 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
+    if named:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(named)
+        return named
+    if not sc.getCheckpointDir():
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="wardmill-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="wardmill-"))
+    return sc.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
