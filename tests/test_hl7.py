@@ -117,6 +117,16 @@ def test_text_lines(spark, tmp_path):
     assert [r["too_long"] for r in long] == [True, False]
 
 
+def test_patient_json_round_trip(spark):
+    rows = hl7.patient_documents(hl7.patients(table(spark, BUILT, IRREGULAR.format(pid3="")), ["n"]), ["n"])
+    again = patients.read_patient(patients.write_patient(rows, ["n"]), ["n"])
+    assert again.orderBy("n").collect() == rows.orderBy("n").collect()
+    first = rows.orderBy("n").first()
+    assert [r["Code"] for r in first["Race"]] == ["W", "B", "I"]
+    assert first["Addresses"][0]["PhoneNumbers"][0]["Number"] == "(407)939-1289"
+    assert (first["NameComponents"][0]["MiddleName"], first["MaritalStatus"]) == ("J", "")
+
+
 def test_normalize_defaults(spark):
     row = spark.createDataFrame([('{"id":"7","dateOfBirth":"never","addresses":[{"city":"X"}]}',)], "doc string")
     parsed = row.select(F.from_json("doc", models.PATIENT_DOCUMENT).alias("document"))

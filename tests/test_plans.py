@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 from contextlib import redirect_stdout
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardmill.operators import hl7, logs, search, upserts
+from wardmill.plans import loads
 from wardmill.registry import bindings as b
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -53,6 +55,15 @@ def test_parsing_needs_no_shuffle(spark, tmp_path):
         assert "Exchange" not in text and "Python" not in text
 
 
+def test_window_in_millis_reaches_the_scan(spark, tmp_path):
+    b.message_documents(spark, SF_DIR).write.parquet(str(tmp_path / "d"))
+    stored = loads.stored_messages(spark.read.parquet(str(tmp_path / "d")))
+    at = dt.datetime(2024, 1, 10)
+    text = plan(loads.in_window(stored, "dateCreated", at, at + dt.timedelta(hours=3), False))
+    assert "GreaterThan(dateCreated,1704844800000)" in text
+    assert "LessThanOrEqual(dateCreated,1704855600000)" in text
+
+
 def test_indexing_needs_no_shuffle(spark):
     docs = b.read(spark, SF_DIR, "documents")
     text = plan(search.postings(docs, ["text"], "doc_id"))

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.functions.documents import fill, json_decode
-from wardmill.functions.times import DAY, MILLI, parse_patient_date, strict_timestamp
-from wardmill.models import PATIENT, PATIENT_DOCUMENT
+from wardmill.functions.documents import fill, json_decode, json_encode
+from wardmill.functions.times import (
+    DAY, MILLI, parse_patient_date, patient_date_text, strict_timestamp,
+)
+from wardmill.models import PATIENT, PATIENT_DOCUMENT, TS
 
 
 def typed_patient(
@@ -42,3 +44,14 @@ def read_patient(rows: DataFrame, ids: list[str], text: str = "current") -> Data
     return parsed.select(
         *ids, *typed_patient(F.col("_document"), parse_patient_date, parse_patient_date)
     )
+
+
+def write_patient(rows: DataFrame, ids: list[str], name: str = "current") -> DataFrame:
+    """Typed rows to JSON documents, which ``read_patient`` reads back unchanged."""
+    columns = []
+    for source, target in zip(PATIENT.fields, PATIENT_DOCUMENT.fields, strict=True):
+        value = F.col(source.name)
+        # a cast between structs goes by position, so it renames the nested fields
+        text = patient_date_text(value) if source.dataType == TS else value.cast(target.dataType)
+        columns.append(text.alias(target.name))
+    return rows.select(*ids, json_encode(*columns).alias(name))

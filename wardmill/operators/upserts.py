@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardmill.session import new_folder
 
 NULL_KEY_SALTS = 4096
+MAX_FOLDERS = 100_000
 
 
 def any_null(keys: list[str]) -> Column:
@@ -104,7 +105,9 @@ def upsert_partitions(
     """
     spark = updates.sparkSession
     # one value per touched folder, which the driver lists in any case; the scan is then pruned
-    touched = [r[0] for r in updates.select(partition).distinct().collect()]
+    touched = [r[0] for r in updates.select(partition).distinct().take(MAX_FOLDERS + 1)]
+    if len(touched) > MAX_FOLDERS:
+        raise ValueError(f"updates touch more than {MAX_FOLDERS} folders; rewrite the table instead")
     base = spark.read.parquet(path).filter(F.col(partition).isin(touched))
     (
         upsert(base, updates, keys, seq)

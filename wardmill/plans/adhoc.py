@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.models import PATIENT, REGISTRY
+from wardmill.operators.patients import read_patient
+
 
 def decode_as(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns by position to the model's names and types."""
@@ -26,6 +29,18 @@ def adhoc(
     return decode_as(result, schema) if schema else result
 
 
+def adhoc_model(
+    spark: SparkSession, model: str, text: str, args: dict[str, Any] | None = None,
+    **tables: DataFrame,
+) -> DataFrame:
+    """Run SQL text and decode it to a named model; patients come as one column of JSON."""
+    result = adhoc(spark, text, None, args, **tables)
+    schema = REGISTRY[model][0]
+    if schema == PATIENT and len(result.columns) == 1:
+        return read_patient(result, [], result.columns[0])
+    return decode_as(result, schema)
+
+
 def check_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per model field: expected and actual type, and values the model does not admit.
 

@@ -6,9 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wardmill.functions.text import table_name_of
-from wardmill.functions.times import ntz, window_end
+from wardmill.functions.text import join_segments, table_name_of
+from wardmill.functions.times import millis_to_utc, ntz, window_end
 from wardmill.models import TABLE_DATE_CONTROL
 from wardmill.operators.filters import between
 from wardmill.operators.hl7 import intake, patient_control, patient_documents, patients
@@ -19,6 +20,7 @@ HL7_WINDOW = "INTERVAL 3 HOURS"
 PATIENT_WINDOW, PATIENT_GAP = "INTERVAL 1 HOURS", "INTERVAL 1 SECONDS"
 # Start of the patient load when nothing was loaded before.
 PATIENT_START = "2017-06-15 00:00:00"
+EPOCH_TIME = dt.datetime(1970, 1, 1)
 
 
 def last_loaded(
@@ -158,6 +160,35 @@ def advance_control(spark: SparkSession, folder: str, table: str, at: dt.datetim
     row.write.mode("append").parquet(f"{folder}/ca_table_date_control")
 
 
+def stored_messages(documents: DataFrame) -> DataFrame:
+    """Message documents with their segments joined to one text, as the loads need it."""
+    return documents.withColumn("raw", join_segments(F.col("raw")))
+
+
+# The time column of a load is a timestamp, or epoch milliseconds as stored in documents. Bounds
+# take the column's own form, so the window reaches the scan.
+
+def in_millis(df: DataFrame, time: str) -> bool:
+    return isinstance(df.schema[time].dataType, T.LongType)
+
+
+def time_of(df: DataFrame, time: str) -> Column:
+    return millis_to_utc(F.col(time)) if in_millis(df, time) else F.col(time)
+
+
+def in_window(df: DataFrame, time: str, start: dt.datetime, end: dt.datetime, from_start: bool) -> DataFrame:
+    """Messages up to the end of a window, with or without those exactly on its start."""
+    if in_millis(df, time):
+        low, high = ((at - EPOCH_TIME) // dt.timedelta(milliseconds=1) for at in (start, end))
+    else:
+        low, high = ntz(start), ntz(end)
+    return df.filter(between(time, low, high, from_start, True))
+
+
+def first_time(df: DataFrame, time: str) -> dt.datetime | None:
+    return df.agg(F.min(time).alias(time)).select(time_of(df, time)).first()[0]
+
+
 def load_start(messages: DataFrame, folder: str, time: str, default: dt.datetime) -> tuple[dt.datetime, bool]:
     """Where the next load begins, and whether a load ended there before."""
     spark = messages.sparkSession
@@ -165,8 +196,7 @@ def load_start(messages: DataFrame, folder: str, time: str, default: dt.datetime
     seen = control.agg(F.max("create_date")).first()[0]
     if seen is not None:
         return seen, True
-    first = messages.agg(F.min(time)).first()[0]
-    return (first or default), False
+    return (first_time(messages, time) or default), False
 
 
 def run_windows(
@@ -183,15 +213,14 @@ def run_windows(
     start, seen = load_start(messages, folder, time, now)
     total = 0
     while start < now or not seen:
-        later = messages.filter(between(time, ntz(start), ntz(now), not seen, True))
-        first = later.agg(F.min(time)).first()[0]
+        first = first_time(in_window(messages, time, start, now, not seen), time)
         if first is None:
             advance_control(spark, folder, HL7_CONTROL, now)
             break
         if seen:  # whole windows before the one that holds the next message
             start += length * (-((start - first) // length) - 1)
         end = min(start + length, now)
-        window = messages.filter(between(time, ntz(start), ntz(end), not seen, True))
+        window = in_window(messages, time, start, end, not seen)
         label = end.strftime("%Y%m%dT%H%M%S%f")
         total += load_messages(window, ids, folder, label)["ca_hl_7"]
         advance_control(spark, folder, HL7_CONTROL, end)
@@ -210,9 +239,9 @@ def run_backlog(
     """
     spark = messages.sparkSession
     start, seen = load_start(messages, folder, time, now)
-    inside = messages.filter(between(time, ntz(start), ntz(now), not seen, True))
+    inside = in_window(messages, time, start, now, not seen)
     micros = length // dt.timedelta(microseconds=1)
-    behind = F.timestamp_diff("MICROSECOND", ntz(start), F.col(time))
+    behind = F.timestamp_diff("MICROSECOND", ntz(start), time_of(messages, time))
     # (start, end] windows: a message on a boundary belongs to the window that ends there
     number = F.greatest(F.ceil(behind / F.lit(micros)), F.lit(1)).cast("long")
     windowed = inside.withColumn(

@@ -304,6 +304,16 @@ def incremental_window_load(spark, d):
     return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate", "window_end")
 
 
+@query("incremental_document_load", with_(MESSAGE) + """
+select msg_id, mrn "Id", date_trunc('second', created) "CreateDate", raw "Message" from message""")
+def incremental_document_load(spark, d):
+    """Message documents, timed in milliseconds, in windows of ten days."""
+    folder = new_folder(spark, "load")
+    stored = loads.stored_messages(b.message_documents(spark, d))
+    loads.run_windows(stored, ["msg_id"], folder, NOW, dt.timedelta(days=10), "dateCreated")
+    return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate", "Message")
+
+
 @query("incremental_stream_load", with_(MESSAGE) + """
 select msg_id, mrn "Id", date_trunc('second', created) "CreateDate", raw "Message" from message""")
 def incremental_stream_load(spark, d):

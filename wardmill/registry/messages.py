@@ -148,6 +148,22 @@ def normalize_patient(spark, d):
     )
 
 
+@query("patient_json_encode", with_(MESSAGE) + """
+select msg_id, mrn id, replace(pname, '^', ' ') "name", strftime(created, '%Y-%m-%d %H:%M:%S') || '.000' create_date,
+  dob || ' 00:00:00.000' birth, race races, city from message""")
+def patient_json_encode(spark, d):
+    """Patient documents as JSON, of which some fields are read back."""
+    parsed = hl7.patients(b.messages(spark, d), ["msg_id"])
+    stored = patients.write_patient(hl7.patient_documents(parsed, ["msg_id"]), ["msg_id"])
+    some = models.strings("id", "name", "createDate", "dateOfBirth")
+    some = some.add("race", models.many(models.strings("code"))).add("addresses", models.many(models.strings("city")))
+    return stored.select("msg_id", json_decode(F.col("current"), some).alias("p")).select(
+        "msg_id", "p.id", "p.name", F.col("p.createDate").alias("create_date"),
+        F.col("p.dateOfBirth").alias("birth"), F.array_join("p.race.code", "~").alias("races"),
+        F.col("p.addresses")[0]["city"].alias("city"),
+    )
+
+
 @query("message_type_counts", with_(MESSAGE) + 'select kind "messageType", count(*) messages from message group by kind')
 def message_type_counts(spark, d):
     return hl7.message_type_counts(b.messages(spark, d))

@@ -9,7 +9,7 @@ from wardmill.functions.documents import json_decode
 from wardmill.functions.times import local_to_millis, ntz
 from wardmill.operators import filters, hl7, logs, patients
 from wardmill.operators.search import index_docs
-from wardmill.plans.adhoc import adhoc, check_schema
+from wardmill.plans.adhoc import adhoc, adhoc_model, check_schema
 from wardmill.registry import bindings as b
 from wardmill.registry.base import (
     CONTROL, EMPLOYEE, FAULTY, HIST, MESSAGE, PATIENT_JSON, PERSON, query, with_,
@@ -28,6 +28,9 @@ MINI_COLUMNS = (
 SNIPPET = """case when strpos(response, '<') = 0
     then (case when length(response) <= 195 then response else '... ' || substr(response, 195, 192) end) || ' ...'
     else (case when length(response) <= 195 then response else '... ' || right(response, 195) end) end"""
+DATES = """case when {0} = '' then timestamp '1900-01-01 00:00:00'
+  when regexp_full_match({0}, '\\d{{4}}-\\d{{2}}-\\d{{2}}( \\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d{{3}})?)?')
+  then try_cast({0} as timestamp) end"""
 STORE, START, END = "store_1", "2024-01-05 00:00:00", "2024-01-10 00:00:00"
 IN_RANGE = f"to_store = '{STORE}' and start_time >= timestamp '{START}' and start_time <= timestamp '{END}'"
 
@@ -155,6 +158,17 @@ def adhoc_sql(spark, d):
     )
 
 
+@query("adhoc_patient_sql", with_(PATIENT_JSON) + f"""
+select mrn "Mrn", replace(pname, '^', ' ') "Name", {DATES.format('born')} "DateOfBirth", city "City"
+from patient_json where full_name like '%5'""")
+def adhoc_patient_sql(spark, d):
+    found = adhoc_model(
+        spark, "CaPatient", "select current from {patient} where name like :ending", {"ending": "%5"},
+        patient=b.patient_json(spark, d),
+    )
+    return found.select("Mrn", "Name", "DateOfBirth", F.col("Addresses")[0]["City"].alias("City"))
+
+
 @query("adhoc_query", with_(HIST) + "select start_time, length(response) chars from hist where response is not null")
 def adhoc_query(spark, d):
     return adhoc(
@@ -267,11 +281,6 @@ def name_regex_search(spark, d):
     return found.select("name", F.get_json_object("current", "$.mrn").alias("mrn"))
 
 
-DATES = """case when {0} = '' then timestamp '1900-01-01 00:00:00'
-  when regexp_full_match({0}, '\\d{{4}}-\\d{{2}}-\\d{{2}}( \\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d{{3}})?)?')
-  then try_cast({0} as timestamp) end"""
-
-
 @query("patient_doc_search", with_(PATIENT_JSON) + f"""
 select mrn "Mrn", replace(pname, '^', ' ') "Name", {DATES.format('born')} "DateOfBirth", sex "Gender",
   city "City", street "Street", phone "Phone", '' "Rank", replace(race, '~', ',') "Race"
