@@ -66,17 +66,18 @@ def readable_text(messages: DataFrame, text: str) -> DataFrame:
 
 
 def split_message(messages: DataFrame, keep: list[str], text: str = "raw") -> DataFrame:
-    """Add the message's marks, its header as an array (MSH-n at n - 1) and its PID (at n).
+    """Add the message's marks, header array (MSH-n at n - 1), PID array (at n) and patient id.
 
     The text must be readable or NULL: its own marks are used as split patterns.
     """
     field_mark = quoted(F.substring(text, 4, 1))
     pid = F.substring_index(F.split_part(text, F.lit("\rPID"), F.lit(2)), "\r", 1)
-    return once(
+    split = once(
         messages, keep, marks=F.substring(text, 4, 5),
         msh=F.split(F.substring_index(text, "\r", 1), field_mark, -1),
         pid=F.split(pid, field_mark, -1),
     )
+    return once(split, split.columns, patient_id=patient_id())
 
 
 def segments(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
@@ -149,7 +150,7 @@ def patients(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFram
         present("pid", n).alias(c) for n, c in PID_COLUMNS.items() if c != "DateTimeofBirth"
     ]
     return split.select(
-        *ids, "marks", patient_id().alias("mrn"), *plain,
+        *ids, "marks", F.col("patient_id").alias("mrn"), *plain,
         hl7_time(present("pid", 7)).cast("date").alias("DateTimeofBirth"),
         hl7_time(present("msh", 6)).alias("CreateDate"),
         present("msh", 8).alias("messageType"),
@@ -177,7 +178,7 @@ def intake(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
         reason = reason.when(F.col("too_long"), "too long")
     reason = reason.when(F.col("marks").isNull(), "not a message").when(F.col("Id").isNull(), "no id")
     return parts.select(
-        *ids, patient_id().alias("Id"), hl7_time(present("msh", 6)).alias("CreateDate"),
+        *ids, F.col("patient_id").alias("Id"), hl7_time(present("msh", 6)).alias("CreateDate"),
         F.col(text).alias("Message"), "marks", *flags, *([] if text in ids else [text]),
     ).select(*ids, "Id", "CreateDate", "Message", reason.alias("reason"))
 
@@ -314,7 +315,8 @@ def patient_documents(parsed: DataFrame, ids: list[str]) -> DataFrame:
 
 def message_type_counts(messages: DataFrame, text: str = "raw") -> DataFrame:
     """Number of readable messages by MSH-9."""
-    readable = split_message(messages.filter(is_message(text)), [], text)
-    return readable.groupBy(present("msh", 8).alias("messageType")).agg(
+    header = F.substring_index(text, "\r", 1)
+    kind = F.nullif(F.split_part(header, F.substring(text, 4, 1), F.lit(9)), F.lit(""))
+    return messages.filter(is_message(text)).groupBy(kind.alias("messageType")).agg(
         F.count("*").alias("messages")
     )
