@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,29 @@ def test_build_then_parse(spark):
         assert got[column] == MOUSE[column]
 
 
+def test_random_patients_round_trip(spark):
+    rand = random.Random(2)
+
+    def word():
+        return "".join(rand.choice("ABCÉ xyz-.'(1") for _ in range(rand.randrange(1, 9))).strip() or "Z"
+
+    people = [
+        MOUSE | {
+            "_id": str(n), "mrn": str(n), "PatientIdentifierList": f"{n}^^^", "PatientName": f"{word()}^{word()}",
+            "Race": "~".join("WBI"[: rand.randrange(4)]), "PatientAddress": "^".join(word() for _ in range(5)),
+            "PhoneNumberHome": rand.choice(["", word()]), "EthnicGroup": rand.choice(["", "N", "N~U"]),
+        }
+        for n in range(300)
+    ]
+    built = hl7.build(spark.createDataFrame(people, models.RESEARCH_PATIENT), ["_id"])
+    got = {r["_id"]: r for r in hl7.patients(built, ["_id"]).collect()}
+    for person in people:
+        row = got[person["_id"]]
+        assert row["mrn"] == person["mrn"]
+        for column in ("PatientName", "Race", "PatientAddress", "PhoneNumberHome", "EthnicGroup"):
+            assert (row[column] or "") == person[column]
+
+
 @pytest.mark.parametrize("pid3", ["135770^^^ABC", ""])
 def test_irregular_pid(spark, pid3):
     rows = hl7.message_rows(table(spark, IRREGULAR.format(pid3=pid3)), ["n"]).collect()

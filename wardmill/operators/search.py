@@ -53,6 +53,16 @@ def patient_index(docs: DataFrame) -> DataFrame:
     return postings(docs, SOUND_FIELDS).unionByName(postings(docs, WORD_FIELDS, sound=False))
 
 
+def update_index(index: DataFrame, fresh: DataFrame, changed: DataFrame, key: str = KEY) -> DataFrame:
+    """Term table after some documents were replaced: their old words out, ``fresh`` ones in.
+
+    ``changed`` holds the keys of the replaced documents. Spark broadcasts it when it proves
+    small, and then the stored table is filtered in place.
+    """
+    kept = index.join(changed.select(key).distinct(), key, "left_anti").select(*index.columns)
+    return kept.unionByName(fresh)
+
+
 def write_index(index: DataFrame, path: str, key: str = KEY) -> None:
     """Store a term table so that a search reads few row groups.
 

@@ -111,6 +111,7 @@ def upsert_partitions(
     base = spark.read.parquet(path).filter(F.col(partition).isin(touched))
     (
         upsert(base, updates, keys, seq)
+        .repartitionByRange(partition, *keys)  # few files per folder, a large folder in many
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )

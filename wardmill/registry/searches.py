@@ -59,6 +59,22 @@ def stored_patients(spark, d):
     return docs, search.patient_index(docs)
 
 
+@query("update_index", with_(PERSON, CONTROL, DOCS) + """,
+now_docs as (select docs.* replace (case when c_acctbal > 0 then street else 'former address' end as street)
+  from docs join customer on c_custkey = cast(mrn as bigint)),
+""" + token_table("now_docs", "mrn", search.SOUND_FIELDS) + 'select field, sound token, term, "position", mrn from posting')
+def update_index(spark, d):
+    """The index of the former addresses, brought up to date for the solvent customers."""
+    rows = control(spark, d)
+    solvent = b.read(spark, d, "customer").filter("c_acctbal > 0").select(b.mrn_of().alias("Mrn"))
+    changed = search.index_docs(rows.join(solvent, "Mrn", "left_semi"))
+    former = search.index_docs(rows).withColumn("street", F.lit("former address"))
+    index = search.update_index(
+        search.postings(former, search.SOUND_FIELDS), search.postings(changed, search.SOUND_FIELDS), changed
+    )
+    return index.withColumn("position", F.col("position").cast("long"))
+
+
 @query("search_suggest", INDEXED + """, hit as (
   select mrn from posting where field = 'suggest' group by mrn
   having bool_or(sound = 'kstmr') and bool_or(starts_with(term, '193')) and bool_or(starts_with(term, '0000')))

@@ -40,6 +40,19 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:
+    """Append rows to a database table in batches, one connection per partition."""
+    (
+        df.write.format("jdbc").mode("append")
+        .options(url=url, dbtable=table, batchsize=str(batch), **options).save()
+    )
+
+
+def write_table(df: DataFrame, fmt: str, **options: str) -> None:
+    """Append rows to a store table through an installed connector."""
+    df.write.format(fmt).mode("append").options(**options).save()
+
+
 def read_documents(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", **options: str
 ) -> DataFrame:
