@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from wardmill import models
 from wardmill.functions.times import ntz
 from wardmill.operators import events, filters, ordering, search, tables, upserts
 from wardmill.plans import adhoc
-from wardmill.sources.stores import jdbc_options, read_documents
+from wardmill.sources.stores import (
+    jdbc_options, read_documents, read_model, write_jdbc, write_table,
+)
 
 
 def rows(df):
@@ -270,6 +273,54 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", "c")
 
 
+class FakeStore:
+    """Records how a reader or writer is set up, in place of a database."""
+
+    def __init__(self, rows=None):
+        self.rows, self.set = rows, {}
+
+    def format(self, name):
+        self.set["format"] = name
+        return self
+
+    def mode(self, name):
+        self.set["mode"] = name
+        return self
+
+    def options(self, **options):
+        self.set |= options
+        return self
+
+    def load(self):
+        return self.rows
+
+    def save(self):
+        self.set["saved"] = True
+
+
+def test_model_scan(spark):
+    rows = spark.createDataFrame(
+        [(1, "A", "B", "C", dt.datetime(2024, 1, 1), None)],
+        "EMPLOYEE_ID long, FIRST_NAME string, LAST_NAME string, JOB_ID string, HIRE_DATE timestamp_ntz, SALARY double",
+    )
+    store = FakeStore(rows)
+    found = read_model(SimpleNamespace(read=store), "jdbc:x", "Employee", "2000-01-01", "2020-01-01", partitions=8)
+    assert found.schema.names == models.EMPLOYEE.names and found.dtypes[0] == ("EMPLOYEE_ID", "int")
+    assert store.set["dbtable"] == "HR.EMPLOYEES" and store.set["partitionColumn"] == "HIRE_DATE"
+    assert store.set["numPartitions"] == "8"
+
+
+def test_store_writes():
+    store = FakeStore()
+    write_jdbc(SimpleNamespace(write=store), "jdbc:x", "t", 500, user="u")
+    assert store.set == {
+        "format": "jdbc", "mode": "append", "url": "jdbc:x", "dbtable": "t", "batchsize": "500", "user": "u", "saved": True
+    }
+    wide = FakeStore()
+    write_table(SimpleNamespace(write=wide), "wide", keyspace="dwh")
+    assert wide.set == {"format": "wide", "mode": "append", "keyspace": "dwh", "saved": True}
+
+
 def test_seconds_are_dropped_from_bounds(spark):
     at = ntz("2024-01-01 00:00:00.9")
     assert spark.range(1).select(F.date_trunc("SECOND", at)).first()[0] == dt.datetime(2024, 1, 1)

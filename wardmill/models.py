@@ -119,6 +119,7 @@ REGISTRY = {
         ["StartTime", "FromStore", "ToStore", "StudyId", "WSI", "Caller"],
         "execution_log",
     ),
+    "ExecutionHist": (EXECUTION_HIST, ["id"], "wsi_execution_hist"),
     "ExecutionAggregationLog": (EXECUTION_AGG, ["symbol", "date"], "wsi_execution_error_agg"),
     "VersionControl": (VERSION_CONTROL, ["model", "subscriber"], "version_control"),
     "CaTableDateControl": (TABLE_DATE_CONTROL, ["id"], "ca_table_date_control"),
@@ -126,5 +127,7 @@ REGISTRY = {
     "Hl7Message": (HL7_MESSAGE, ["mrn", "dateCreated"], "hl7"),
     "ResearchPatient": (RESEARCH_PATIENT, ["_id"], "patient"),
     "CaPatient": (PATIENT, ["Id", "CreateDate"], "ca_patient"),
+    "Event": (EVENT_LOG, ["stream_uuid", "version"], "events"),
+    "SortedSet": (SORTED_SET, ["key", "member"], "sorted_set"),
     "CaPatientControl": (PATIENT_CONTROL, ["Mrn"], "ca_patient_control"),
 }

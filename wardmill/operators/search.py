@@ -11,12 +11,9 @@ from wardmill.functions.text import keyed_tokens, sound_keys, suggest_text, toke
 from wardmill.models import PATIENT_CONTROL, lower_first
 from wardmill.operators.upserts import upsert
 
-# How each field of the patient collection is matched.
+# How the fields of the patient collection are matched; the others by their whole value.
 SOUND_FIELDS = ["city", "name", "street", "suggest"]
 WORD_FIELDS = ["email"]
-EXACT_FIELDS = [
-    "ethnicity", "gender", "mrn", "phoneNumber", "postalCode", "race", "stateProvince",
-]
 KEY = "mrn"
 ROWS = 10
 # A page of ids up to this size is sent to every task instead of shuffling the documents.

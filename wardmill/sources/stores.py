@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardmill.models import REGISTRY
+from wardmill.plans.adhoc import decode_as
+
 
 def jdbc_options(
     url: str,
@@ -40,6 +43,26 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
+# Database tables behind the models, with the column that splits a scan.
+STORE_TABLES = {
+    "ExecutionHist": ("ril.wsi_execution_hist", "start_time"),
+    "ExecutionAggregationLog": ("ril.wsi_execution_error_agg", "date"),
+    "VersionControl": ("hl7.version_control", "start_time"),
+    "Employee": ("HR.EMPLOYEES", "HIRE_DATE"),
+}
+
+
+def read_model(
+    spark: SparkSession, url: str, model: str, lower: str, upper: str, **options
+) -> DataFrame:
+    """The database table of a model, read in splits on its time column, in the model's types."""
+    table, column = STORE_TABLES[model]
+    found = read_jdbc(
+        spark, url, table, partition_column=column, lower=lower, upper=upper, **options
+    )
+    return decode_as(found.select(*REGISTRY[model][0].names), REGISTRY[model][0])
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:
     """Append rows to a database table in batches, one connection per partition."""
     (
