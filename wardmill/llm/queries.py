@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, lines, tokens, topk, urls
+from wardmill.llm import bpe, jaccard, lines, tokens, topk, urls
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -82,3 +82,29 @@ def op7_url_filter(spark, d):
 def op9_token_counts(spark, d):
     found = tokens.token_counts(read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+GRAMS = r"""
+word as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+gram as (select distinct doc_id, unnest(case when len(w) >= 4
+    then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end) g from word),
+size as (select doc_id, count(*) n from gram group by doc_id)"""
+
+
+@query("op10_jaccard_join", f"""
+with recursive {GRAMS},
+link as (select a.doc_id a, b.doc_id b from gram a join gram b on a.g = b.g and a.doc_id <> b.doc_id
+  join size s on s.doc_id = a.doc_id join size t on t.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, s.n, t.n having 100 * count(*) >= 85 * (s.n + t.n - count(*))),
+reach(doc_id, other) as (select doc_id, doc_id from documents
+  union select r.doc_id, l.b from reach r join link l on l.a = r.other),
+least as (select doc_id, min(other) component_id from reach group by doc_id)
+select d.doc_id, coalesce(n, 0) n_shingles, component_id
+from documents d left join size on size.doc_id = d.doc_id join least on least.doc_id = d.doc_id""")
+def op10_jaccard_join(spark, d):
+    found = jaccard.similar_documents(read(spark, d, "documents"), words=4, percent=85)
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    )
