@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wardmill.llm.graph import components
 from wardmill.llm.shared import stored
+from wardmill.llm.words import STEP, mixed, pieces, word_hashes
 
 WORDS, PERCENT = 5, 80
 BUCKETS = 1 << 20
@@ -35,64 +36,8 @@ CHUNKS = 256
 GROUPED_CLASS = 20
 # Codes in one block of a join.
 BLOCK = 1 << 21
-WINDOW = 1 << 20
 
 _U = np.uint64
-_STEP, _BACK = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values, each to one other."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each byte: whether it is white space, and its 64-bit value with A-Z as a-z."""
-    blank = np.zeros(256, bool)
-    blank[[0x20, *range(0x09, 0x0E)]] = True
-    letters = np.arange(256)
-    letters[65:91] += 32
-    return blank, _mixed((letters + 1).astype(_U) * _STEP)
-
-
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word of the texts in turn, and the number of words before each text.
-
-    A word's hash is a polynomial over its bytes, taken from running sums, so there is no loop over
-    words. Sums run over windows of about ``WINDOW`` bytes, cut between words.
-    """
-    blank, value = _tables()
-    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset: texts.offset + len(texts) + 1].astype(np.int64)
-    if not len(texts) or bounds[-1] == bounds[0]:
-        return np.empty(0, _U), np.zeros(len(texts) + 1, np.int64)
-    data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0]: bounds[-1]]
-    bounds = bounds - bounds[0]
-    free = ~blank[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[bounds] = True
-    begins = free.copy()
-    begins[1:] &= ~free[:-1] | edge[1:-1]
-    ends = free.copy()
-    ends[:-1] &= ~free[1:] | edge[1:-1]
-    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    out = np.empty(len(begins), _U)
-    power, back = np.empty(0, _U), np.empty(0, _U)
-    first = 0
-    while first < len(begins):
-        origin = begins[first]
-        last = max(first + 1, int(np.searchsorted(ends, origin + WINDOW, "right")))
-        size = int(ends[last - 1] - origin)
-        if size > len(power):
-            power = np.concatenate([np.ones(1, _U), np.cumprod(np.full(size, _STEP))])
-            back = np.concatenate([np.ones(1, _U), np.cumprod(np.full(size, _BACK))])
-        sums = np.zeros(size + 1, _U)
-        np.cumsum(value[data[origin: origin + size]] * power[:size], out=sums[1:])
-        a, b = begins[first:last] - origin, ends[first:last] - origin
-        out[first:last] = _mixed((sums[b] - sums[a]) * back[a])
-        first = last
-    return out, np.searchsorted(begins, bounds)
 
 
 def gram_codes(words: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
@@ -105,9 +50,9 @@ def gram_codes(words: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, _U)
     n = min(size, len(words))
     places = len(words) - n + 1
-    grams, classes = np.full(places, _mixed(np.array([n], _U))[0]), counts[:places]
+    grams, classes = np.full(places, mixed(np.array([n], _U))[0]), counts[:places]
     for i in range(n):
-        grams = _mixed(grams * _STEP + words[i: i + places])
+        grams = mixed(grams * STEP + words[i: i + places])
         classes = np.minimum(classes, counts[i: i + places])
     return np.unique((classes.astype(_U) << _U(59)) | (grams >> _U(5)))
 
@@ -115,8 +60,9 @@ def gram_codes(words: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        words, _ = word_hashes(batch.column("t"))
-        counts += np.bincount((words & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+        for piece in pieces(batch, "t"):
+            words, _ = word_hashes(piece.column("t"))
+            counts += np.bincount((words & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
     if counts.any():
         yield _chunk_rows(dict(enumerate(np.split(counts, CHUNKS))))
 
@@ -158,18 +104,19 @@ def _sets(classes: bytes, size: int, emit):
         table = np.frombuffer(classes, np.uint8)
         seen: set[int] = set()
         for batch in batches:
-            words, bounds = word_hashes(batch.column("t"))
-            rarity = table[(words & _U(BUCKETS - 1)).astype(np.int64)]
-            found = [gram_codes(words[a:b], rarity[a:b], size) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield from emit(batch, found, seen)
+            for piece in pieces(batch, "t"):
+                words, bounds = word_hashes(piece.column("t"))
+                rarity = table[(words & _U(BUCKETS - 1)).astype(np.int64)]
+                found = [gram_codes(words[a:b], rarity[a:b], size) for a, b in zip(bounds[:-1], bounds[1:])]
+                yield from emit(piece, found, seen)
 
     return run
 
 
 def set_name(codes: np.ndarray) -> int:
     """64 bits that stand for a set of codes."""
-    total = np.array([len(codes), codes.sum(), np.bitwise_xor.reduce(_mixed(codes * _STEP))], _U)
-    return int(_mixed(np.array([(_mixed(total * _STEP) * np.array([1, 3, 5], _U)).sum()], _U)).astype(np.int64)[0])
+    total = np.array([len(codes), codes.sum(), np.bitwise_xor.reduce(mixed(codes * STEP))], _U)
+    return int(mixed(np.array([(mixed(total * STEP) * np.array([1, 3, 5], _U)).sum()], _U)).astype(np.int64)[0])
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:

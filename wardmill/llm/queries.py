@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, jaccard, lines, tokens, topk, urls
+from wardmill.llm import bpe, decontaminate, jaccard, lines, tokens, topk, toxicity, urls
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -19,6 +19,21 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark, d):
+    docs = read(spark, d, "documents")
+    score = toxicity.toxicity(docs, read(spark, d, "labels"))
+    found = docs.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), score(F.col("text")).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= toxicity.REJECT).cast("int"))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    found = decontaminate.mark_passages(docs, read(spark, d, "benchmark"))
+    return found.select("doc_id", F.inline("passages")).withColumnRenamed("item", "item_id")
+
+
 @query("op4_line_dedup", f"""
 with cut as (select doc_id, string_split(coalesce(text, ''), chr(10)) parts from documents),
 line as (select doc_id, unnest(parts) line, generate_subscripts(parts, 1) place from cut),
