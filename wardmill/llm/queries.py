@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, decontaminate, jaccard, lines, tokens, topk, toxicity, urls
+from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -19,6 +19,19 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+# Any text serves as a key; a production run takes its own from a secret store.
+PII_KEY = "wardmill"
+
+
+@query("op1_pii_pseudonyms")
+def op1_pii_pseudonyms(spark, d):
+    found = pii.hide_private(read(spark, d, "documents"), PII_KEY)
+    return found.select(
+        F.col("id").alias("doc_id"), "text", F.size("found").cast("long").alias("n_private"),
+        F.array_join("found.kind", ",").alias("kinds"),
+    )
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark, d):
     docs = read(spark, d, "documents")
@@ -93,6 +106,15 @@ def op7_url_filter(spark, d):
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+@query("op8_license_scan")
+def op8_license_scan(spark, d):
+    """Documents as files named by their id in the folders source/lang."""
+    docs = read(spark, d, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    found = licenses.scan_licenses(docs, path)
+    return found.select(F.col("id").alias("doc_id"), "path", "license", "score", F.col("place").cast("long").alias("place"), "folder")
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark, d):
     found = tokens.token_counts(read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
