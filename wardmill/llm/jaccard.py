@@ -10,9 +10,10 @@ overlap so far and what remains of both sides cannot reach the threshold.
 Word counts that fix the order come from all documents, as a table of fixed size (``BUCKETS``): a word
 counts with all words of its bucket. Any order gives the same links; this one gives short lists.
 
-Equal sets are one set from the start, so copies cost a row each and no pairs. Components are exact:
-first each set is joined within one of its groups; then every group whose sets are not yet all in
-one component is joined whole, in blocks of bounded size, pairs of one component left out.
+Equal sets are one set from the start, so copies cost a row each and no pairs. Before whole sets are
+moved, a bound from their sizes and from a bit string of the set's size leaves only pairs that are
+linked or nearly so. Components are exact: first a spanning part of those pairs is checked; then, in
+groups whose sets are not all in one component yet, every remaining pair of different components.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmill.llm.graph import components
@@ -129,20 +129,31 @@ def prefix_size(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
+def parity_bits(codes: np.ndarray) -> np.ndarray:
+    """A bit per place, a power of two of at least the set's size: whether an odd number of codes falls there.
+
+    Two sets differ in at least as many codes as their bits differ; longer bits fold to shorter ones.
+    """
+    size = max(64, 1 << (len(codes) - 1).bit_length())
+    counts = np.bincount((codes & _U(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
 def _prefixes(percent: int):
     def emit(batch, found, seen):
-        names, sizes, starts = [], [], []
+        names, sizes, starts, bits = [], [], [], []
         for codes in found:
             name = set_name(codes) if len(codes) else None
             names.append(name)
             sizes.append(len(codes))
             fresh = name is not None and name not in seen
             starts.append(codes[: prefix_size(len(codes), percent)].astype(np.int64) if fresh else None)
+            bits.append(parity_bits(codes).tobytes() if fresh else None)
             if fresh:
                 seen.add(name)
         yield pa.record_batch({
             "id": batch.column("id"), "k": batch.column("k"), "name": pa.array(names, pa.int64()),
-            "n": pa.array(sizes, pa.int64()), "prefix": pa.array(starts, pa.list_(pa.int64())),
+            "n": pa.array(sizes, pa.int64()), "prefix": pa.array(starts, pa.list_(pa.int64())), "bits": pa.array(bits, pa.binary()),
         })
 
     return emit
@@ -152,7 +163,7 @@ def _whole(batch, found, seen):
     for begin in range(0, len(found), 256):
         some = found[begin: begin + 256]
         yield pa.record_batch({
-            "name": pa.array([set_name(c) for c in some], pa.int64()),
+            "name": pa.array([set_name(c) for c in some], pa.int64()), "n": pa.array([len(c) for c in some], pa.int64()),
             "codes": pa.array([c.tobytes() for c in some], pa.binary()),
         })
 
@@ -266,23 +277,121 @@ class Trie:
         return found
 
 
-def _block_links(percent: int):
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.drop_duplicates("name")
-        sets = [np.frombuffer(c, _U) for c in block["codes"]]
-        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        names = block["name"].to_numpy()[order]
-        part = np.unique(block["part"].to_numpy()[order], return_inverse=True)[1]
-        found = Trie([sets[i] for i in order]).links(percent, part)
-        return pd.DataFrame({"a": [names[i] for i, _ in found], "b": [names[j] for _, j in found]}, dtype="int64")
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (group, block) as a table, from rows sorted by them."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        group, block = table.column("group").to_numpy(), table.column("block").to_numpy()
+        starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (block[1:] != block[:-1])])
+        for begin, end in zip(starts[:-1], starts[1:]):
+            yield table.slice(begin, end - begin)
+        rest = table.slice(starts[-1])
+    if rest is not None:
+        yield rest
+
+
+def _pair_batches(found: Iterator[list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    some: list[tuple[int, int]] = []
+    for pairs in found:
+        some += pairs
+        if len(some) > 10_000:
+            yield pa.record_batch({"a": pa.array([a for a, _ in some], pa.int64()), "b": pa.array([b for _, b in some], pa.int64())})
+            some = []
+    yield pa.record_batch({"a": pa.array([a for a, _ in some], pa.int64()), "b": pa.array([b for _, b in some], pa.int64())})
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """Parity bits folded to ``size`` of them, as 64-bit words."""
+    own = np.frombuffer(bits, np.uint8)
+    while len(own) * 8 > size:
+        own = own[: len(own) // 2] ^ own[len(own) // 2:]
+    return own.view(_U)
+
+
+def possible_pairs(sizes: np.ndarray, bits: list[bytes], part: np.ndarray, percent: int, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of different parts that sizes and parity bits allow to be linked.
+
+    ``sizes`` ascend. With ``forest``, a found pair joins its parts, so few pairs are given that join
+    all that all pairs would; without, all pairs.
+    """
+    found = []
+    places = np.array([8 * len(b) for b in bits])
+    tables: dict[int, dict[int, np.ndarray]] = {}
+    for i in range(len(sizes) - 1):
+        end = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))
+        near = np.arange(i + 1, end)
+        near = near[part[near] != part[i]]
+        if not len(near):
+            continue
+        size = int(places[i])
+        table = tables.setdefault(size, {})
+        for j in (i, *near.tolist()):
+            if j not in table:
+                table[j] = _folded(bits[j], size)
+        differ = np.bitwise_count(np.stack([table[j] for j in near.tolist()]) ^ table[i]).sum(axis=1)
+        both = sizes[near] + sizes[i]
+        allowed = both - 2 * (-(-percent * both // (100 + percent)))
+        for j in near[differ <= allowed].tolist():
+            if part[j] != part[i] or not forest:
+                found.append((i, j))
+                if forest:
+                    part[part == part[j]] = part[i]
+    return found
+
+
+def _possible(percent: int, forest: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found():
+            for rows in _runs(batches):
+                sizes, names = rows.column("n").to_numpy(), rows.column("name").to_numpy()
+                order = np.lexsort((names, sizes))
+                names, bits = names[order], rows.column("bits").to_pylist()
+                part = np.unique(rows.column("part").to_numpy()[order], return_inverse=True)[1]
+                pairs = possible_pairs(sizes[order], [bits[i] for i in order], part, percent, forest)
+                yield [(int(min(names[i], names[j])), int(max(names[i], names[j]))) for i, j in pairs]
+
+        yield from _pair_batches(found())
+
+    return run
+
+
+def _linked(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found():
+            for rows in _runs(batches):
+                names = rows.column("name").to_numpy()
+                sets = [np.frombuffer(c, _U) for c in rows.column("codes").to_pylist()]
+                order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+                part = np.arange(len(sets))
+                pairs = Trie([sets[i] for i in order]).links(percent, part)
+                yield [(int(names[order[i]]), int(names[order[j]])) for i, j in pairs]
+
+        yield from _pair_batches(found())
 
     return run
 
 
-def _joined(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) from the tries of blocks: ``members`` has (group, block, name, part)."""
-    rows = members.join(sets, "name").select("group", "block", "name", "part", "codes")
-    return rows.groupBy("group", "block").applyInPandas(_block_links(percent), "a long, b long")
+def _in_runs(rows: DataFrame, work) -> DataFrame:
+    """Edges (a, b) that ``work`` finds in the rows of each (group, block)."""
+    dealt = rows.repartition("group", "block").sortWithinPartitions("group", "block")
+    return dealt.mapInArrow(work, "a long, b long")
+
+
+def possible(members: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """Pairs (a, b) of sets that may be linked, from ``members`` with (group, block, name, n, bits, part)."""
+    return _in_runs(members, _possible(percent, forest)).distinct()
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges that join all sets linked by ``pairs``, checked by tries of each set and its partners."""
+    members = pairs.select(F.col("a").alias("group"), F.explode(F.array("a", "b")).alias("name"))
+    members = members.distinct().join(sets, "name")
+    blocks = in_blocks(members, True, "codes")
+    return _in_runs(blocks, _linked(percent))
 
 
 def candidate_groups(prefixes: DataFrame) -> DataFrame:
@@ -299,31 +408,37 @@ def candidate_groups(prefixes: DataFrame) -> DataFrame:
     return small.unionByName(large).distinct()
 
 
-def in_blocks(members: DataFrame, pivot: bool) -> DataFrame:
-    """Members of groups dealt to blocks of about ``BLOCK`` codes.
+def in_blocks(members: DataFrame, pivot: bool, *columns: str) -> DataFrame:
+    """Members (group, name, n) dealt to blocks of about ``BLOCK`` codes, with ``columns`` carried.
 
     With ``pivot``, a block gets the sets hashed to it and the group's least set, which ties the
     blocks together. Without, every pair of parts of a group is a block, so every pair of sets meets.
     """
-    sizes = members.groupBy("group").agg(F.sum("n").alias("codes"), F.min("name").alias("pivot"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("codes") / BLOCK).cast("int"))
+    sizes = members.groupBy("group").agg(F.sum("n").alias("all"), F.min("name").alias("pivot"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
     rows = members.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     if pivot:
         to = F.when(F.col("name") == F.col("pivot"), every).otherwise(F.array("own"))
     else:
         to = F.transform(every, lambda other: F.least("own", other) * F.col("blocks") + F.greatest("own", other))
-    return rows.select("group", F.explode(to).alias("block"), "name", "part")
+    return rows.select("group", F.explode(to).alias("block"), "name", "n", *columns)
+
+
+def row_key(id_column: Column, text: Column) -> Column:
+    """64 bits for an id and a text; null and empty texts are the same here."""
+    return F.xxhash64(id_column.cast("long"), F.coalesce(text, F.lit("")))
 
 
 def similar_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """``id``, ``k`` (the document's key), ``n`` (size of its set) and ``component`` of each row.
+    """``id``, ``k`` (the row's key), ``n`` (size of its set), ``component`` and ``group`` of each row.
 
     Words are runs of other characters than ``[\\x20\\x09-\\x0D]``, A-Z in lower case; a set holds the
     distinct runs of ``words`` words, or the whole sequence of a shorter text. Two rows link when
-    100 * common >= percent * united; ``component`` is the least id reachable by links.
+    100 * common >= percent * united; ``component`` is the least id reachable by links, and ``group``
+    a number that all rows of a component share, null for empty sets.
 
     * Null or empty texts, and texts of white space, have an empty set and are linked with nothing;
       their component is their own id.
@@ -333,39 +448,51 @@ def similar_documents(
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")
-    ).withColumn("k", F.xxhash64("id", "t"))
+    ).withColumn("k", row_key(F.col("id"), F.col("t")))
     classes = word_classes(rows.select("t"))
     sets = stored(
-        rows.mapInArrow(_sets(classes, words, _prefixes(percent)), "id long, k long, name long, n long, prefix array<long>"),
+        rows.mapInArrow(_sets(classes, words, _prefixes(percent)), "id long, k long, name long, n long, prefix array<long>, bits binary"),
         "sets",
     )
-    groups = stored(candidate_groups(sets), "groups")
-    # One document of each set that has a candidate is read again, for its whole set.
-    one = sets.filter("name is not null").groupBy("name").agg(F.min(F.struct("k", "n")).alias("s"))
-    one = stored(
-        one.join(groups.select("name").distinct(), "name", "left_semi").select("name", F.col("s.k").alias("k"), F.col("s.n").alias("n")),
-        "candidates",
-    )
-    again = rows.join(one.select("k"), "k", "left_semi").dropDuplicates(["k"]).select("t")
-    whole = stored(again.mapInArrow(_sets(classes, words, _whole), "name long, codes binary"), "whole-sets")
-    members = groups.join(one.select("name", "n"), "name").withColumn("part", F.col("name"))
-    # First round: each set in its largest group.
-    counts = groups.groupBy("group").agg(F.count("*").alias("size"))
-    best = groups.join(counts, "group").groupBy("name").agg(F.max(F.struct("size", "group"))["group"].alias("group"))
-    edges = stored(_joined(in_blocks(members.join(best, ["name", "group"]), True), whole, percent), "links")
+    named = sets.filter("bits is not null").groupBy("name").agg(F.min(F.struct("k", "n", "bits")).alias("s"))
+    named = named.select("name", "s.k", "s.n", "s.bits")
+    members = stored(candidate_groups(sets).join(named, "name"), "members")
+    first = stored(possible(in_blocks(members.withColumn("part", F.col("name")), True, "bits", "part"), percent, True), "pairs")
+    # One document of each set with a possible partner is read again, for its whole set.
+    partners = first.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    ones = members.select("name", "k").distinct().join(partners, "name", "left_semi").select("k")
+    again = rows.join(ones, "k", "left_semi").dropDuplicates(["k"]).select("t")
+    whole = stored(again.mapInArrow(_sets(classes, words, _whole), "name long, n long, codes binary"), "whole-sets")
+    edges = stored(linked(first, whole, percent), "links")
     roots = components(edges)
-    # Second round: groups whose sets are not all in one component yet.
-    parts = members.drop("part").join(roots, members["name"] == roots["node"], "left").select(
-        "group", "name", "n", F.coalesce("root", "name").alias("part")
-    )
-    parts = stored(parts, "parts")
-    open_groups = parts.groupBy("group").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("group")
-    more = _joined(in_blocks(parts.join(open_groups, "group"), False), whole, percent)
-    roots = components(stored(edges.unionByName(more), "links"))
+    # Groups whose sets are not all in one component: every possible pair of different ones.
+    parts = stored(members.join(roots, members["name"] == roots["node"], "left").select(
+        "group", "name", "n", "bits", F.coalesce("root", "name").alias("part")
+    ), "parts")
+    open_groups = parts.groupBy("group").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("group")
+    second = possible(in_blocks(parts.join(open_groups, "group"), False, "bits", "part"), percent, False)
+    second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    roots = components(stored(edges.unionByName(linked(second, whole, percent)), "links"))
     least = sets.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"))
     part = least.join(roots, least["name"] == roots["node"], "left").select("name", "id", F.coalesce("root", "name").alias("root"))
     ids = part.groupBy("root").agg(F.min("id").alias("component"))
-    named = stored(part.join(ids, "root").select("name", "component"), "components")
+    named = stored(part.join(ids, "root").select("name", "component", F.col("root").alias("group")), "components")
     return sets.select("id", "k", "name", "n").join(named, "name", "left").select(
-        "id", "k", "n", F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component")).alias("component")
+        "id", "k", "n", F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"), "group"
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The rows of ``docs`` with one left of each component of ``similar_documents``: the least id.
+
+    Rows with an empty set all stay. Of rows with the least id, the one with the least key stays, and
+    equal rows of that key are one. A null id is the last choice.
+    """
+    found = similar_documents(docs, id_col, text_col, words, percent).filter("group is not null")
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k"))["k"].alias("_key"))
+    named = docs.withColumn("_key", row_key(F.col(id_col), F.col(text_col)))
+    full = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = named.filter(full).join(stored(first.select("_key"), "kept"), "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.unionByName(named.filter(~full)).drop("_key")
