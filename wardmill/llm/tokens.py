@@ -24,13 +24,16 @@ KEPT_WORDS = 300_000
 
 
 class WordCounter:
-    """Counts tokens of texts with one model; ``whole`` holds the strings proved to be one token."""
+    """Counts tokens of texts with one model.
 
-    def __init__(self, model: bytes, whole: frozenset[str]):
+    ``whole`` holds the strings proved to be one token: those after a space, and those after a line feed.
+    """
+
+    def __init__(self, model: bytes, whole: tuple[frozenset[str], frozenset[str]]):
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.whole = whole
+        self.after_space, self.after_feed = whole
         self.known: dict[str, int] = {}
 
     def merged(self, unit: str) -> int:
@@ -44,11 +47,11 @@ class WordCounter:
         for part in rest:
             count += 1
             if part:
-                count += 1 if "\n" + part in self.whole else len(self.pieces.encode("\n" + part)) - 2
+                count += 1 if part in self.after_feed else len(self.pieces.encode("\n" + part)) - 2
         return count
 
     def unit(self, unit: str) -> int:
-        if unit in self.whole:
+        if unit in self.after_space:
             return 1
         count = self.known.get(unit)
         if count is None:
@@ -68,8 +71,8 @@ class WordCounter:
         return sum(n * self.unit(u) for u, n in units.items())
 
 
-def whole_tokens(model: bytes) -> frozenset[str]:
-    """The strings after a space, or after a line feed, that the model encodes as one token.
+def whole_tokens(model: bytes) -> tuple[frozenset[str], frozenset[str]]:
+    """The strings after a space, and those after a line feed, that the model encodes as one token.
 
     Raises ValueError for a model whose vocabulary would let merges cross the cuts made here.
     """
@@ -85,14 +88,14 @@ def whole_tokens(model: bytes) -> frozenset[str]:
         raise ValueError("a vocabulary string spans a word boundary")
     if pieces.encode("a  b ", out_type=str)[0] != SPACE + "a" or len(pieces.encode("\na")) != 3:
         raise ValueError("the model does not put a space mark before a text, or drops white space")
-    whole = set()
+    after_space, after_feed = set(), set()
     for piece in plain:
         if piece.startswith(SPACE) and len(piece) > 1 and piece[1] != SPACE:
             if pieces.encode(piece[1:], out_type=str) == [piece]:
-                whole.add(piece[1:])
+                after_space.add(piece[1:])
         elif not piece.startswith(SPACE) and pieces.encode("\n" + piece, out_type=str)[2:] == [piece]:
-            whole.add("\n" + piece)
-    return frozenset(whole)
+            after_feed.add(piece)
+    return frozenset(after_space), frozenset(after_feed)
 
 
 def token_count(text: Column, model_path: str) -> Column:
