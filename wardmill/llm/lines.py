@@ -85,12 +85,13 @@ class LineRuns:
 
 def drop_shared_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
-    min_chars: int = MIN_CHARS, batches: int = BATCHES,
+    min_chars: int = MIN_CHARS, batches: int = BATCHES, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Each document with the lines that at least ``min_docs`` documents hold taken out.
 
     Returns a row per input row: ``id``, ``text`` (the document's own), ``n_lines``, ``n_dropped``
-    and ``kept`` (the other lines joined by line feeds).
+    and ``kept`` (the other lines joined by line feeds); with ``carry`` also ``rest``, a struct of
+    those columns.
 
     * A null or empty text is one empty line; its key is empty, so it is kept.
     * A line repeated within one document counts once; repeated rows are documents of their own.
@@ -100,7 +101,8 @@ def drop_shared_lines(
     One pass over the texts writes the line hashes with their document's key and place. Batches,
     counts and the search for lines to drop read those; the texts are read once more at the end.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rest = [F.struct(*carry).alias("rest")] if carry else []
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *rest)
     rows = rows.withColumn("k", document_key(F.col("id"), F.col("text")))
     lines = stored(line_places(rows, min_chars, batches), "lines", "batch")
     runs = LineRuns(docs.sparkSession, min_docs)
@@ -120,7 +122,7 @@ def drop_shared_lines(
     return found.select(
         "id", "text", F.size("cut").cast("long").alias("n_lines"),
         F.when(F.col("drop").isNull(), F.lit(0)).otherwise(F.size("drop")).cast("long").alias("n_dropped"),
-        kept.alias("kept"),
+        kept.alias("kept"), *(["rest"] if carry else []),
     )
 
 
