@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from test_hl7 import BUILT, IRREGULAR
 
@@ -70,13 +71,13 @@ def test_late_message_is_not_loaded(spark, tmp_path):
 
 def test_file_to_tables(spark, tmp_path):
     source = tmp_path / "two.hl7"
-    source.write_text("\n".join([BUILT, IRREGULAR.format(pid3="135770"), "junk"]) + "\n", newline="")
+    source.write_text("\n".join([BUILT, IRREGULAR.format(pid3="400123"), "junk"]) + "\n", newline="")
     folder = str(tmp_path / "load")
     counts = loads.file_to_tables(read_hl7_text(spark, str(source)), folder)
     assert counts == {"ca_hl_7": 2, "ca_hl_7_control": 2, "ca_patient": 2, "ca_patient_control": 2}
     assert [r["reason"] for r in loads.loaded(spark, folder, "rejects").collect()] == ["not a message"]
     assert [r["Name"] for r in loads.loaded(spark, folder, "ca_patient").orderBy("Name").collect()] == [
-        "MOUSE MICKEY J", "MOUSE MINNIE"
+        "LINDQVIST GRETA", "MOUSE MICKEY J"
     ]
     again = loads.file_to_tables(read_hl7_text(spark, str(source)), folder)
     assert again == counts
@@ -98,7 +99,7 @@ def test_stream_equals_batch_and_runs_once(spark, tmp_path):
         schema = b.read(spark, SF_DIR, "events").schema
         stream = read_stream(spark, SF_DIR, schema, glob="events.parquet")
         query = start_load(
-            stream, ["msg_id"], folder, str(tmp_path / "checkpoint"), lambda e: b.messages(spark, SF_DIR, e)
+            stream, ["msg_id"], folder, str(tmp_path / "checkpoint"), "events", lambda e: b.messages(spark, SF_DIR, e)
         )
         query.awaitTermination()
         return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate")
@@ -109,6 +110,27 @@ def test_stream_equals_batch_and_runs_once(spark, tmp_path):
     assert sorted(map(tuple, run().collect())) == want
 
 
+def test_two_streams_share_a_folder(spark, tmp_path):
+    folder, schema = str(tmp_path / "load"), "n int, raw string"
+    for n in (1, 2):
+        spark.createDataFrame([(n, BUILT)], schema).write.parquet(str(tmp_path / f"source{n}"))
+        stream = read_stream(spark, str(tmp_path / f"source{n}"), spark.createDataFrame([], schema).schema)
+        start_load(stream, ["n"], folder, str(tmp_path / f"checkpoint{n}"), f"source{n}").awaitTermination()
+    assert sorted(r["n"] for r in loads.loaded(spark, folder, "ca_hl_7").collect()) == [1, 2]
+
+
+def test_a_failed_control_write_doubles_nothing(spark, tmp_path):
+    def fail(*_):
+        raise OSError
+
+    folder = str(tmp_path / "load")
+    messages = timed(spark, 0, 30, 60)
+    with pytest.raises(OSError):
+        loads.run_backlog(messages, ["n"], folder, START + dt.timedelta(hours=2), advance=fail)
+    loads.run_backlog(messages, ["n"], folder, START + dt.timedelta(hours=4))
+    assert loads.loaded(spark, folder, "ca_hl_7").count() == 3
+
+
 def test_last_loaded_default(spark):
     empty = spark.createDataFrame([], "id string, create_date timestamp_ntz")
     default = ntz(loads.PATIENT_START)

@@ -131,16 +131,17 @@ def test_append_result(spark):
 
 
 def mice(spark):
+    """Rows whose names must match by sound: mike mickey, miny minnie."""
     data = [
-        ("Lake Buena Vista", dt.date(1928, 11, 18), "theMainMouse@disney.com", "N", "M", "135769", "MOUSE MICKEY", "1", "32830", "W", "FL", "123 Main St."),
-        ("Lake Buena Vista", dt.date(1928, 11, 18), "minnie@disney.com", "N", "F", "135770", "MOUSE MINNIE", "2", "32830", "W", "FL", "St. Main 5"),
+        ("Port Buen Ayre", dt.date(1931, 2, 7), "first.reader@example.org", "N", "M", "735769", "MOUSE MICKEY", "1", "10101", "W", "FL", "7 Main St."),
+        ("Port Buen Ayre", dt.date(1931, 2, 7), "second.reader@example.org", "N", "F", "735770", "MOUSE MINNIE", "2", "10101", "W", "FL", "St. Main 9"),
         ("Elsewhere", None, None, "N", "F", "200000", "DUCK DAISY", "3", "1", "W", "FL", None),
     ]
     docs = search.index_docs(spark.createDataFrame(data, models.PATIENT_CONTROL))
     return docs, search.patient_index(docs)
 
 
-@pytest.mark.parametrize("text, want", [("miny 1928* 135*", ["135770"]), ("mike 1928* 135*", ["135769"]), ("mouse", ["135769", "135770"]), ("mouse 2*", []), ("disy", ["200000"])])
+@pytest.mark.parametrize("text, want", [("miny 1931* 735*", ["735770"]), ("mike 1931* 735*", ["735769"]), ("mouse", ["735769", "735770"]), ("mouse 2*", []), ("disy", ["200000"])])
 def test_suggest(spark, text, want):
     docs, index = mice(spark)
     assert [r["mrn"] for r in search.search_suggest(docs, index, text).collect()] == want
@@ -149,21 +150,21 @@ def test_suggest(spark, text, want):
 def test_phrase_order_matters(spark):
     docs, index = mice(spark)
     found = search.search_query(docs, index, {"city": "buen"}, {"street": "men st"})
-    assert [r["mrn"] for r in found.collect()] == ["135769"]
+    assert [r["mrn"] for r in found.collect()] == ["735769"]
 
 
 def test_search_fields(spark):
     docs, index = mice(spark)
-    assert [r["mrn"] for r in search.search_fields(docs, index, {"gender": "F", "name": "mows"}).collect()] == ["135770"]
-    assert [r["mrn"] for r in search.search_fields(docs, index, {"mrn": "1357*"}).collect()] == ["135769", "135770"]
-    assert [r["mrn"] for r in search.search_fields(docs, index, {"email": "disney.com"}).collect()] == ["135769", "135770"]
+    assert [r["mrn"] for r in search.search_fields(docs, index, {"gender": "F", "name": "mows"}).collect()] == ["735770"]
+    assert [r["mrn"] for r in search.search_fields(docs, index, {"mrn": "7357*"}).collect()] == ["735769", "735770"]
+    assert [r["mrn"] for r in search.search_fields(docs, index, {"email": "example.org"}).collect()] == ["735769", "735770"]
 
 
 def test_stored_index(spark, tmp_path):
     docs, index = mice(spark)
     search.write_index(index, str(tmp_path / "index"))
     stored = spark.read.parquet(str(tmp_path / "index"))
-    assert [r["mrn"] for r in search.search_suggest(docs, stored, "miny 135*").collect()] == ["135770"]
+    assert [r["mrn"] for r in search.search_suggest(docs, stored, "miny 735*").collect()] == ["735770"]
 
 
 def test_long_phrase_with_repeats(spark):
@@ -179,6 +180,30 @@ def test_long_phrase_with_repeats(spark):
     assert ids("hat cat") == []
 
 
+def test_many_clauses_and_a_long_phrase(spark):
+    long = [f"w{n}x" for n in range(90)]
+    docs = spark.createDataFrame([("1", " ".join(long)), ("2", " ".join(long[:69] + long[70:]))], "id string, body string")
+    index = search.postings(docs, ["body"], key="id", sound=False)
+    assert [r["id"] for r in search.match_ids(index, [], [("body", long[:70])], key="id").collect()] == ["1"]
+    assert [r["id"] for r in search.match_ids(index, [("body", w) for w in long[:70]], key="id").collect()] == ["1"]
+
+
+def test_values_are_analysed_as_documents_are(spark):
+    data = [
+        ("Lake Buena Vista", None, "a.b@example.org", "N", "M", "1", "O'NEIL-SMITH ANN", "1", "1", "W", "FL", None),
+        ("Vista Buena", None, "b.a@example.org", "N", "F", "2", "SMITH O'NEIL", "2", "1", "W", "FL", None),
+    ]
+    docs = search.index_docs(spark.createDataFrame(data, models.PATIENT_CONTROL))
+    index = search.patient_index(docs)
+
+    def found(**fields):
+        return [r["mrn"] for r in search.search_fields(docs, index, fields).collect()]
+
+    assert found(email="a.b@example.org") == ["1"] and found(city="Buena Vista") == ["1"]
+    assert found(name="O'NEIL-SMITH") == ["1"] and found(name="smith,") == ["1", "2"] and found(name="ann smi*") == []
+    assert found(name="smith a*") == ["1"] and found(name="--") == []
+
+
 def test_searches_against_brute_force(spark):
     """Random texts over few words, so that phrases repeat and overlap."""
     rand = random.Random(11)
@@ -203,11 +228,29 @@ def test_documents_with_a_schema(spark, tmp_path):
     assert (row["mrn"], row["dateCreated"], row["raw"], row["messageType"]) == ("1", 5, ["MSH", "PID"], None)
 
 
-def test_too_many_folders(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(upserts, "MAX_FOLDERS", 2)
-    updates = spark.range(5).select("id", F.col("id").alias("day"))
-    with pytest.raises(ValueError, match="more than 2 folders"):
-        upserts.upsert_partitions(str(tmp_path), updates, ["id", "day"], "day")
+def test_upsert_partitions_keeps_rows_of_the_null_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "d1", "c")], "id int, day string, v string").write.partitionBy("day").parquet(path)
+    upserts.upsert_partitions(path, spark.createDataFrame([(4, None, "n"), (2, None, "B")], "id int, day string, v string"), ["id"], "day")
+    assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "n")]
+
+
+def test_upsert_null_order_is_lowest(spark):
+    base = spark.createDataFrame([("a", 1)], "k string, v int")
+    new = spark.createDataFrame([("a", 5, None), ("b", 6, None), ("b", 7, 1)], "k string, v int, n int")
+    assert rows(upserts.upsert(base, new, ["k"], "n")) == [("a", 5), ("b", 7)]
+
+
+def test_upsert_some_columns_in_one_join(spark, tmp_path):
+    for name in ("base", "new"):
+        spark.range(1000).select("id", F.lit("x").alias("v"), F.lit("y").alias("w")).write.parquet(str(tmp_path / name))
+    base, new = (spark.read.parquet(str(tmp_path / n)) for n in ("base", "new"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = upserts.upsert(base, new, ["id"], set_columns=["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
 
 
 def test_create_table_twice(spark):

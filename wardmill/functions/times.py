@@ -62,13 +62,24 @@ def local_to_millis(ts: Column, tz: str = "UTC") -> Column:
     return F.timestamp_diff("SECOND", ntz(EPOCH), utc).cast("double") * F.lit(1000.0)
 
 
-def hl7_time(text: Column) -> Column:
-    """HL7 date (8 digits) or time (14 digits) to a timestamp, else NULL."""
-    digits = F.rpad(F.substring(text, 1, 14), 14, "0")
-    iso = F.regexp_replace(
-        digits, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"
-    )
-    return F.when(text.rlike(r"^(\d{8}|\d{12}|\d{14})"), iso.try_cast("timestamp_ntz"))
+def hl7_time(text: Column, zone: str | None = "UTC") -> Column:
+    """HL7 time of any precision, year to microsecond, to a timestamp; NULL if it is none.
+
+    A time with an offset becomes wall-clock time of ``zone``, so times of one instant are equal;
+    without an offset, or with no zone asked for, it is taken as it stands.
+    """
+    form = r"^(\d{4}(?:\d{2}){0,5})(?:\.(\d{1,6})\d*)?([+-]\d{4})?(?![\d.+-])"
+    digits = F.regexp_extract(text, form, 1)
+    full = F.concat(digits, F.substr(F.lit("00000101000000"), F.length(digits) + 1))
+    iso = F.regexp_replace(full, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
+    fraction = F.regexp_extract(text, form, 2)
+    wall = F.when(digits != "", F.concat(iso, F.lit("."), F.rpad(fraction, 6, "0")).try_cast("timestamp_ntz"))
+    if zone is None:
+        return wall
+    offset = F.regexp_extract(text, form, 3)
+    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
+    utc = F.timestamp_add("MINUTE", F.when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes), wall)
+    return F.when(offset == "", wall).otherwise(in_zone(utc, zone))
 
 
 def window_end(start: Column, now: Column, length: str, gap: str = "INTERVAL 0 SECONDS") -> Column:

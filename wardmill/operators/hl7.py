@@ -22,9 +22,8 @@ PID_COLUMNS = {
     3: "PatientIdentifierList", 5: "PatientName", 7: "DateTimeofBirth", 8: "AdministrativeSex",
     10: "Race", 11: "PatientAddress", 13: "PhoneNumberHome", 22: "EthnicGroup",
 }
-# Escape sequence -> position of its mark among the message's five (backslash itself is last).
-ESCAPES = {"\\F\\": 1, "\\S\\": 2, "\\R\\": 3, "\\T\\": 5}
-HELD = "\u0000"
+# Letter of an escape sequence -> position of its mark among the message's five.
+ESCAPES = {"F": 1, "S": 2, "R": 3, "E": 4, "T": 5}
 READABLE = "_readable"
 
 
@@ -43,11 +42,26 @@ def mark(n: int) -> Column:
 
 
 def unescape(value: Column) -> Column:
-    """Escape sequences back to the marks they stand for."""
-    out = F.replace(value, F.lit("\\E\\"), F.lit(HELD))
-    for sequence, n in ESCAPES.items():
-        out = F.replace(out, F.lit(sequence), mark(n))
-    return F.replace(out, F.lit(HELD), F.lit("\\"))
+    """Escape sequences back to the marks they stand for, from left to right in one pass.
+
+    Sequences stand between two of the message's own escape marks. One that is unknown, or not
+    closed, stays as it is; the mark that ends an unknown one may open the next.
+    """
+    letters = F.create_map(*[c for letter, n in ESCAPES.items() for c in (F.lit(letter), mark(n))])
+    start = F.struct(F.lit("").alias("out"), F.lit(False).alias("inside"))
+
+    def read(state: Column, part: Column) -> Column:
+        known = F.try_element_at(letters, part["text"])
+        closed = state["inside"] & ~part["last"] & known.isNotNull()
+        added = F.when(closed, known).when(state["inside"], F.concat(mark(4), part["text"])).otherwise(part["text"])
+        return F.struct(F.concat(state["out"], added).alias("out"), (~closed).alias("inside"))
+
+    def folded(parts: Column) -> Column:
+        marked = F.transform(parts, lambda p, i: F.struct(p.alias("text"), (i == F.size(parts) - 1).alias("last")))
+        return F.aggregate(marked, start, read, lambda s: s["out"])
+
+    pieces = F.split(value, quoted(mark(4)), -1)
+    return F.when(F.contains(value, mark(4)), F.get(F.transform(F.array(pieces), folded), 0)).otherwise(value)
 
 
 def once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:
@@ -133,9 +147,9 @@ def present(array: str, n: int) -> Column:
 
 
 def first_component(value: Column) -> Column:
-    """First component of the first repetition."""
+    """First component of the first repetition, its escapes undone."""
     first = F.split_part(F.split_part(value, mark(3), F.lit(1)), mark(2), F.lit(1))
-    return F.nullif(first, F.lit(""))
+    return F.nullif(unescape(first), F.lit(""))
 
 
 def patient_id() -> Column:
@@ -151,7 +165,7 @@ def patients(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFram
     ]
     return split.select(
         *ids, "marks", F.col("patient_id").alias("mrn"), *plain,
-        hl7_time(present("pid", 7)).cast("date").alias("DateTimeofBirth"),
+        hl7_time(present("pid", 7), None).cast("date").alias("DateTimeofBirth"),
         hl7_time(present("msh", 6)).alias("CreateDate"),
         present("msh", 8).alias("messageType"),
         present("msh", 9).alias("controlId"),
@@ -177,9 +191,11 @@ def intake(messages: DataFrame, ids: list[str], text: str = "raw") -> DataFrame:
     if flags:
         reason = reason.when(F.col("too_long"), "too long")
     reason = reason.when(F.col("marks").isNull(), "not a message").when(F.col("Id").isNull(), "no id")
+    # a time that is there but cannot be read would load the message without a place in any window
+    reason = reason.when(F.col("CreateDate").isNull() & F.col("_time").isNotNull(), "bad time")
     return parts.select(
         *ids, F.col("patient_id").alias("Id"), hl7_time(present("msh", 6)).alias("CreateDate"),
-        F.col(text).alias("Message"), "marks", *flags, *([] if text in ids else [text]),
+        F.col(text).alias("Message"), "marks", present("msh", 6).alias("_time"), *flags, *([] if text in ids else [text]),
     ).select(*ids, "Id", "CreateDate", "Message", reason.alias("reason"))
 
 
@@ -275,10 +291,10 @@ def patient_control(parsed: DataFrame, ids: list[str]) -> DataFrame:
     email = F.get(F.filter("phone", lambda c: F.locate("@", c) > 0), F.lit(0))
     return identified(parsed).select(
         *ids, component("home", 3).alias("City"), F.col("DateTimeofBirth").alias("DateOfBirth"),
-        email.alias("Email"), F.col("EthnicGroup").alias("Ethnicity"),
-        F.col("AdministrativeSex").alias("Gender"), F.col("mrn").alias("Mrn"),
+        unescape(email).alias("Email"), unescape(F.col("EthnicGroup")).alias("Ethnicity"),
+        unescape(F.col("AdministrativeSex")).alias("Gender"), F.col("mrn").alias("Mrn"),
         full_name("person").alias("Name"), component("phone", 1).alias("PhoneNumber"),
-        component("home", 5).alias("PostalCode"), F.col("Race").alias("Race"),
+        component("home", 5).alias("PostalCode"), unescape(F.col("Race")).alias("Race"),
         component("home", 4).alias("StateProvince"), component("home", 1).alias("Street"),
     )
 
@@ -287,7 +303,7 @@ def patient_documents(parsed: DataFrame, ids: list[str]) -> DataFrame:
     """Full patient documents from ``patients`` output; what a PID does not carry is empty."""
     def codes(column: str) -> Column:
         listed = F.split(column, quoted(mark(3)), -1)
-        return F.transform(listed, lambda c: struct_of(CODED, Code=c))
+        return F.transform(listed, lambda c: struct_of(CODED, Code=unescape(c)))
 
     number = struct_of(PHONE, Number=component("phone", 1), Type=F.lit("home"))
     values = {
@@ -299,7 +315,7 @@ def patient_documents(parsed: DataFrame, ids: list[str]) -> DataFrame:
         "CreateDate": F.col("CreateDate"),
         "DateOfBirth": F.col("DateTimeofBirth").cast("timestamp_ntz"),
         "Ethnicity": codes("EthnicGroup"),
-        "Gender": struct_of(CODED, Code=F.col("AdministrativeSex")),
+        "Gender": struct_of(CODED, Code=unescape(F.col("AdministrativeSex"))),
         "Id": F.col("mrn"),
         "Mrn": F.col("mrn"),
         "Name": full_name("person"),

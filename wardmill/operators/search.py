@@ -16,8 +16,6 @@ SOUND_FIELDS = ["city", "name", "street", "suggest"]
 WORD_FIELDS = ["email"]
 KEY = "mrn"
 ROWS = 10
-# A page of ids up to this size is sent to every task instead of shuffling the documents.
-SMALL_PAGE = 10_000
 
 
 def index_docs(control: DataFrame, indexed: DataFrame | None = None, seq: str | None = None) -> DataFrame:
@@ -73,15 +71,24 @@ def write_index(index: DataFrame, path: str, key: str = KEY) -> None:
     )
 
 
-def word_match(field: str, word: str) -> Column:
-    """Posting predicate of one query word; a trailing ``*`` matches the start of a term.
+def analysed(index: DataFrame, texts: list[str]) -> list[list[str]]:
+    """The words of query texts, as ``tokens`` finds them in documents."""
+    if not texts:
+        return []
+    rows = index.sparkSession.createDataFrame(list(enumerate(texts)), "n int, text string")
+    found = {r["n"]: r["words"] for r in rows.select("n", tokens(F.col("text")).alias("words")).collect()}
+    return [found[n] for n in range(len(texts))]
+
+
+def word_match(field: str, word: str, prefix: bool = False) -> Column:
+    """Posting predicate of one analysed query word, or of the start of a term.
 
     Only constants and columns are compared, so the predicate reaches a stored index's scan.
     """
     in_field = F.col("field") == field
-    if word.endswith("*"):
-        return in_field & F.col("term").startswith(word[:-1].lower())
-    value = sound_keys(F.lit(word)) if field in SOUND_FIELDS else F.lit(word.lower())
+    if prefix:
+        return in_field & F.col("term").startswith(word)
+    value = sound_keys(F.lit(word)) if field in SOUND_FIELDS else F.lit(word)
     return in_field & (F.col("token") == value)
 
 
@@ -89,50 +96,51 @@ def match_ids(
     index: DataFrame, words: list[tuple[str, str]], phrases: list[tuple[str, list[str]]] = (),
     key: str = KEY,
 ) -> DataFrame:
-    """Keys of documents that match every (field, word) and every (field, phrase).
+    """Keys of documents that match every (field, value) and every (field, phrase).
 
-    Each posting carries one bit per clause it meets; the bits of a document are joined by OR,
-    which tasks do on their own rows before the shuffle. A phrase is met when its words stand
-    at consecutive positions, found by grouping on the position where the phrase would start.
+    Values are analysed as documents are: a value of several words is a phrase, and its last word
+    may end in ``*`` to match the start of a term. A value without any word matches nothing, and
+    nor do no values at all. Each posting gives the numbers of the clauses it meets; a document
+    matches when it has all of them. A phrase is met when its words stand at consecutive
+    positions, found by grouping on the position where the phrase would start.
     """
-    clauses = [word_match(f, w) for f, w in words]
-    if len(clauses) + len(phrases) > 62:
-        raise ValueError("at most 62 clauses")
-    found = []
-    if clauses:
-        bits = reduce(
-            Column.bitwiseOR,
-            [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(clauses)],
-        )
-        found.append(index.filter(reduce(Column.__or__, clauses)).select(key, bits.alias("_bits")))
-    for n, (field, phrase) in enumerate(phrases, start=len(clauses)):
-        places = [word_match(field, w) for w in phrase]
-        hits = F.filter(
-            F.array(*[
-                F.when(m, F.struct((F.col("position") - i).alias("start"), F.lit(1 << i).cast("long").alias("bit")))
-                for i, m in enumerate(places)
-            ]),
-            lambda h: h.isNotNull(),
-        )
+    values = [(f, v.removesuffix("*"), v.endswith("*")) for f, v in words]
+    values += [(f, " ".join(p).removesuffix("*"), bool(p) and p[-1].endswith("*")) for f, p in phrases]
+    clauses = [
+        (field, own, prefix)
+        for (field, _, prefix), own in zip(values, analysed(index, [v for _, v, _ in values]), strict=True)
+    ]
+    if not clauses or not all(own for _, own, _ in clauses):
+        return index.select(key).filter(F.lit(False))
+    single, found = [], []
+    for number, (field, own, prefix) in enumerate(clauses):
+        places = [word_match(field, w, prefix and i == len(own) - 1) for i, w in enumerate(own)]
+        if len(own) == 1:
+            single.append((number, places[0]))
+            continue
+        hits = F.array_compact(F.array(*[
+            F.when(m, F.struct((F.col("position") - i).alias("start"), F.lit(i).alias("word")))
+            for i, m in enumerate(places)
+        ]))
         starts = (
-            index.filter(reduce(Column.__or__, places))
-            .select(key, F.inline(hits))
-            .groupBy(key, "start").agg(F.bit_or("bit").alias("bits"))
-            .filter(F.col("bits") == (1 << len(phrase)) - 1)
+            index.filter(reduce(Column.__or__, places)).select(key, F.inline(hits))
+            .groupBy(key, "start").agg(F.count_distinct("word").alias("words"))
+            .filter(F.col("words") == len(own))
         )
-        found.append(starts.select(key, F.lit(1 << n).cast("long").alias("_bits")))
-    every = (1 << (len(clauses) + len(phrases))) - 1
+        found.append(starts.select(key, F.lit(number).alias("_clause")))
+    if single:
+        met = F.array_compact(F.array(*[F.when(m, F.lit(number)) for number, m in single]))
+        any_met = index.filter(reduce(Column.__or__, [m for _, m in single]))
+        found.append(any_met.select(key, F.explode(met).alias("_clause")))
     return (
-        reduce(DataFrame.unionByName, found).groupBy(key).agg(F.bit_or("_bits").alias("_bits"))
-        .filter(F.col("_bits") == every).select(key)
+        reduce(DataFrame.unionByName, found).groupBy(key).agg(F.count_distinct("_clause").alias("_met"))
+        .filter(F.col("_met") == len(clauses)).select(key)
     )
 
 
 def top_docs(docs: DataFrame, ids: DataFrame, rows: int, start: int = 0, key: str = KEY) -> DataFrame:
     """The documents of one page of matching keys, in key order."""
     chosen = ids.orderBy(key).offset(start).limit(rows)
-    if rows <= SMALL_PAGE:
-        chosen = F.broadcast(chosen)
     return docs.join(chosen, key, "left_semi").orderBy(key).limit(rows)
 
 

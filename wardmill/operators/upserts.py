@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from wardmill.session import new_folder
 
 NULL_KEY_SALTS = 4096
-MAX_FOLDERS = 100_000
 
 
 def any_null(keys: list[str]) -> Column:
@@ -18,7 +17,7 @@ def any_null(keys: list[str]) -> Column:
 
 
 def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """The row with the highest ``seq`` of each key.
+    """The row with the highest ``seq`` of each key; a NULL ``seq`` is the lowest.
 
     An aggregate, not a window: each task first reduces its own rows to one per key, so a key
     with very many rows costs one row per task in the shuffle. A row with a NULL in its key has
@@ -27,7 +26,7 @@ def last_per_key(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     values = [c for c in df.columns if c not in keys]
     last = (
         df.filter(~any_null(keys)).groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), F.col(seq)).alias("_row"))
+        .agg(F.max_by(F.struct(*values), F.struct(F.col(seq).isNotNull(), F.col(seq))).alias("_row"))
         .select(*keys, "_row.*")
     )
     return last.unionByName(df.filter(any_null(keys)))
@@ -50,8 +49,9 @@ def upsert(
 
     ``seq`` orders several updates of one key, the last one winning; without it the updates must
     hold one row per key. ``set_columns`` defaults to all other columns. The base is never
-    aggregated or sorted on its own: it meets the updates in one join, which Spark runs without
-    shuffling the base when the updates prove small enough to broadcast.
+    aggregated: it meets the updates in one join. Where whole rows are replaced, Spark runs it
+    without shuffling the base when the updates prove small enough to broadcast. Update rows with
+    a NULL in their key match nothing and stay out of the join.
     """
     columns = base.columns
     new = last_per_key(updates, keys, seq) if seq else updates
@@ -61,20 +61,21 @@ def upsert(
     ]
     salted = base.withColumn("_salt", null_key_salt(keys, columns))
     if not kept_columns:
-        marks = new.select(*keys).withColumn("_salt", F.lit(0))
+        marks = new.filter(~any_null(keys)).select(*keys).withColumn("_salt", F.lit(0))
         kept = salted.join(marks, [*keys, "_salt"], "left_anti").drop("_salt")
         return kept.unionByName(new)
-    changes = new.select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in set_columns]
-    ).withColumn("_salt", F.lit(0)).withColumn("_hit", F.lit(True))
-    merged = salted.join(changes, [*keys, "_salt"], "left").select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in set_columns else F.col(c)
-            for c in columns
-        ]
-    )
-    return merged.unionByName(new.join(base.select(*keys), keys, "left_anti"))
+    values = [c for c in columns if c not in keys]
+    changes = new.filter(~any_null(keys)).select(
+        *keys, F.struct(*[F.col(c) for c in values]).alias("_new")
+    ).withColumn("_salt", F.lit(0))
+    found = salted.withColumn("_old", F.lit(True)).join(changes, [*keys, "_salt"], "full_outer")
+    merged = found.select(*[
+        F.col(c) if c in keys
+        else F.when(F.col("_new").isNotNull() & (F.lit(c in set_columns) | F.col("_old").isNull()), F.col("_new")[c])
+        .otherwise(F.col(c)).alias(c)
+        for c in columns
+    ])
+    return merged.unionByName(new.filter(any_null(keys)))
 
 
 def replace_by_id(base: DataFrame, documents: DataFrame, key: str = "_id",
@@ -101,14 +102,13 @@ def upsert_partitions(
 ) -> None:
     """Upsert a partitioned parquet folder, rewriting only the partitions the updates touch.
 
-    The partition column must be part of the key, or follow from it.
+    The partition column must be part of the key, or follow from it. Base rows of touched folders
+    are found by a null-safe semi join, so the folder of NULL is rewritten whole like any other.
     """
     spark = updates.sparkSession
-    # one value per touched folder, which the driver lists in any case; the scan is then pruned
-    touched = [r[0] for r in updates.select(partition).distinct().take(MAX_FOLDERS + 1)]
-    if len(touched) > MAX_FOLDERS:
-        raise ValueError(f"updates touch more than {MAX_FOLDERS} folders; rewrite the table instead")
-    base = spark.read.parquet(path).filter(F.col(partition).isin(touched))
+    stored = spark.read.parquet(path)
+    touched = updates.select(F.col(partition).cast(stored.schema[partition].dataType).alias("_touched")).distinct()
+    base = stored.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     (
         upsert(base, updates, keys, seq)
         .repartitionByRange(partition, *keys)  # few files per folder, a large folder in many

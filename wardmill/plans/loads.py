@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,25 @@ def incremental_filter_load(messages: DataFrame, ids: list[str], start: Column,
     return patient_control(patients(inside, ids), ids)
 
 
+def run_patient_window(
+    messages: DataFrame, ids: list[str], folder: str, now: dt.datetime, time: str = "CreateDate"
+) -> int:
+    """Load the patient window after the control row's time and advance it; gives the rows loaded.
+
+    Without a control row the load begins at ``PATIENT_START``. Both ends of a window are open, and
+    the next one begins where this one ends.
+    """
+    spark = messages.sparkSession
+    own = read_control(spark, folder).filter(F.col("id") == PATIENT_CONTROL_ID)
+    begin = last_loaded(own, PATIENT_CONTROL_ID, None, ntz(PATIENT_START)).select(
+        "last_loaded", window_end(F.col("last_loaded"), ntz(now), PATIENT_WINDOW, PATIENT_GAP).alias("end")
+    ).first()
+    rows = incremental_filter_load(messages, ids, ntz(begin["last_loaded"]), ntz(now), time)
+    count = write_load(rows, folder, PATIENT_CONTROL_ID, load_label(begin["last_loaded"])).count()
+    advance_control(spark, folder, PATIENT_CONTROL_ID, begin["end"])
+    return count
+
+
 # Tables of a load folder. Each load writes its own sub-folder, so running it again replaces
 # what it wrote before. The messages and their rejects are two partitions of one table.
 MESSAGES, LOADED, REJECTED = "messages", "loaded", "rejected"
@@ -108,20 +128,28 @@ def loaded(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}")
 
 
+def load_and_count(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
+    """Load messages as ``load_messages`` does; gives the rows of each table and of the rejects."""
+    status = F.when(F.col("reason").isNull(), LOADED).otherwise(REJECTED)
+    rows = intake(messages, ids, text).withColumn("status", status)
+    written = write_load(rows, folder, MESSAGES, label, "status")
+    good = written.filter(F.col("status") == LOADED).select("Id", "CreateDate")
+    control = write_load(good, folder, HL7_CONTROL, label)
+    return {
+        MESSAGE_TABLE: good.count(), HL7_CONTROL: control.count(),
+        REJECTED: written.filter(F.col("status") == REJECTED).count(),
+    }
+
+
 def load_messages(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
     """Load readable messages and their control rows, keeping the others with a reason.
 
     The source is read and parsed once, for loaded and rejected messages together. The control
     rows are two columns read back from what was written, so both tables hold the same messages.
-    The result is the number of rows of each table.
+    The result is the number of rows found in each table after it was written.
     """
-    status = F.when(F.col("reason").isNull(), LOADED).otherwise(REJECTED)
-    rows = intake(messages, ids, text).withColumn("status", status)
-    written = write_load(rows, folder, MESSAGES, label, "status")
-    good = written.filter(F.col("status") == LOADED).select("Id", "CreateDate")
-    control = write_load(good, folder, HL7_CONTROL, label)
-    count = control.count()
-    return {MESSAGE_TABLE: count, HL7_CONTROL: count}
+    counts = load_and_count(messages, ids, folder, label, text)
+    return {name: counts[name] for name in (MESSAGE_TABLE, HL7_CONTROL)}
 
 
 def load_patients(spark: SparkSession, folder: str, label: str) -> dict[str, int]:
@@ -144,13 +172,9 @@ def file_to_tables(messages: DataFrame, folder: str, label: str = "file") -> dic
 
 
 def read_control(spark: SparkSession, folder: str) -> DataFrame:
-    """Control rows written so far; the newest per table counts."""
+    """Control rows written so far; the newest per table counts. The table is made where it is absent."""
     path = f"{folder}/ca_table_date_control"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    if not there:
-        return spark.createDataFrame([], TABLE_DATE_CONTROL)
+    spark.createDataFrame([], TABLE_DATE_CONTROL).write.mode("ignore").parquet(path)
     return spark.read.schema(TABLE_DATE_CONTROL).parquet(path)
 
 
@@ -199,6 +223,12 @@ def load_start(messages: DataFrame, folder: str, time: str, default: dt.datetime
     return (first_time(messages, time) or default), False
 
 
+def load_label(start: dt.datetime) -> str:
+    """A load is named by where it starts, which the control table fixes: run again, also with a
+    later end, it replaces its own rows."""
+    return start.strftime("%Y%m%dT%H%M%S%f")
+
+
 def run_windows(
     messages: DataFrame, ids: list[str], folder: str, now: dt.datetime,
     length: dt.timedelta = dt.timedelta(hours=3), time: str = "created",
@@ -206,23 +236,22 @@ def run_windows(
     """Load window after window up to ``now``; gives the number of messages loaded.
 
     The first window is closed at both ends, later ones only at the end, so no message is in
-    two windows. Windows with no message are skipped up to the next message. The control row
-    moves on only after the window's tables are written.
+    two windows. Each window is read once. Only after an empty one is the rest searched for its
+    next message, and the windows before that are skipped; many open windows are better loaded
+    by ``run_backlog``. The control row moves on only after the window's tables are written.
     """
     spark = messages.sparkSession
     start, seen = load_start(messages, folder, time, now)
     total = 0
     while start < now or not seen:
-        first = first_time(in_window(messages, time, start, now, not seen), time)
-        if first is None:
-            advance_control(spark, folder, HL7_CONTROL, now)
-            break
-        if seen:  # whole windows before the one that holds the next message
-            start += length * (-((start - first) // length) - 1)
         end = min(start + length, now)
         window = in_window(messages, time, start, end, not seen)
-        label = end.strftime("%Y%m%dT%H%M%S%f")
-        total += load_messages(window, ids, folder, label)["ca_hl_7"]
+        counts = load_and_count(window, ids, folder, load_label(start))
+        total += counts[MESSAGE_TABLE]
+        if not counts[MESSAGE_TABLE] + counts[REJECTED]:
+            first = first_time(in_window(messages, time, end, now, False), time)
+            # whole windows before the one that holds the next message
+            end = now if first is None else end + length * (-((end - first) // length) - 1)
         advance_control(spark, folder, HL7_CONTROL, end)
         start, seen = end, True
     return total
@@ -231,8 +260,9 @@ def run_windows(
 def run_backlog(
     messages: DataFrame, ids: list[str], folder: str, now: dt.datetime,
     length: dt.timedelta = dt.timedelta(hours=3), time: str = "created",
+    advance: Callable[[SparkSession, str, str, dt.datetime], None] | None = None,
 ) -> int:
-    """Load every open window in one job.
+    """Load every open window in one job; ``advance`` writes the control row.
 
     The windows only follow one another, so a long backlog does not need a job per window: the
     window of a message is arithmetic on its time and is kept as a column.
@@ -248,9 +278,9 @@ def run_backlog(
         "window_end",
         F.least(F.timestamp_add("MICROSECOND", number * F.lit(micros), ntz(start)), ntz(now)),
     )
-    loaded_rows = load_messages(windowed, [*ids, "window_end"], folder, now.strftime("%Y%m%dT%H%M%S%f"))
-    advance_control(spark, folder, HL7_CONTROL, now)
-    return loaded_rows["ca_hl_7"]
+    loaded_rows = load_messages(windowed, [*ids, "window_end"], folder, load_label(start))
+    (advance or advance_control)(spark, folder, HL7_CONTROL, now)
+    return loaded_rows[MESSAGE_TABLE]
 
 
 def control_name(model: str) -> Column:

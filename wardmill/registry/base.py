@@ -50,6 +50,7 @@ PERSON = """person as (
     1704067200000 + c.c_custkey * 60000 created_ms
   from customer c join nation n on n.n_nationkey = c.c_nationkey)"""
 
+# The header of a built message is a fixed value, as in operators/hl7.py.
 MESSAGE = PERSON + """,
 message as (
   select e.event_id msg_id, p.mrn, e.ts created, epoch_us(e.ts) // 1000 created_ms,
@@ -62,7 +63,7 @@ message as (
       || 'PID|1||' || p.ids || '||' || p.pname || '||' || replace(p.dob, '-', '') || '|' || p.sex || '||'
       || p.race || '|' || p.street || '^^' || p.city || '^' || p.state || '^' || p.zip || '||'
       || p.phone || '^^^' || p.email || '|||||||||' || p.ethnic || '|||||||||||||||||||' || chr(13)
-      || 'PV1|1|O|||||^^^^^^^^|^^^^^^^^' || chr(13) raw
+      || 'PV1|1|O|WARD 2' || chr(13) raw
   from events e join person p on p.c_custkey = e.user_id)"""
 
 FAULTY = MESSAGE + """,

@@ -101,7 +101,7 @@ def messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     keep = ["msg_id", "created", "dateCreated", "mrn", "event_type"]
     built = build(rows, keep)
     raw = F.concat(
-        F.replace("raw", F.lit("ADT^A08"), kind), F.lit("PV1|1|O|||||^^^^^^^^|^^^^^^^^\r")
+        F.replace("raw", F.lit("ADT^A08"), kind), F.lit("PV1|1|O|WARD 2\r")
     )
     return built.select(
         "msg_id", "mrn", kind.alias("messageType"), "created", "dateCreated", raw.alias("raw")

@@ -321,19 +321,60 @@ def incremental_stream_load(spark, d):
     schema = b.read(spark, d, "events").schema
     stream = read_stream(spark, d, schema, glob="events.parquet")
     run = start_load(
-        stream, ["msg_id"], folder, f"{folder}/checkpoint", lambda batch: b.messages(spark, d, batch)
+        stream, ["msg_id"], folder, f"{folder}/checkpoint", "events", lambda batch: b.messages(spark, d, batch)
     )
     run.awaitTermination()
     return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate", "Message")
 
 
 @query("incremental_filter_load", with_(MESSAGE) + f"""
-select msg_id, {CONTROL_OF} from message
+select msg_id, {CONTROL_OF}, timestamp '2024-01-10 08:59:59' load_end from message
 where created > timestamp '2024-01-10 08:00:00' and created < timestamp '2024-01-10 08:59:59'""")
 def incremental_filter_load(spark, d):
-    return loads.incremental_filter_load(
-        b.messages(spark, d), ["msg_id"], ntz("2024-01-10 08:00:00"), ntz(NOW), "created"
+    """The window after the control row's time; its rows are read back with the control's new time."""
+    folder = new_folder(spark, "load")
+    loads.advance_control(spark, folder, loads.PATIENT_CONTROL_ID, dt.datetime(2024, 1, 10, 8))
+    loads.run_patient_window(b.messages(spark, d), ["msg_id"], folder, NOW, "created")
+    newest = loads.read_control(spark, folder).agg(F.max("create_date").alias("load_end"))
+    rows = loads.loaded(spark, folder, loads.PATIENT_CONTROL_ID).drop("load")
+    return rows.withColumn("load_end", newest.scalar())
+
+
+@query("load_rerun", with_(FAULTY, GOOD) + """
+select msg_id, mrn "Id", created_s "CreateDate" from good""")
+def load_rerun(spark, d):
+    """The control write of a load fails; the load that runs later replaces what the first wrote."""
+    def fail(*_):
+        raise OSError("the control table cannot be written")
+
+    folder = new_folder(spark, "load")
+    messages = b.faulty_messages(spark, d)
+    try:
+        loads.run_backlog(messages, ["msg_id"], folder, dt.datetime(2024, 1, 20), advance=fail)
+    except OSError:
+        pass
+    loads.run_backlog(messages, ["msg_id"], folder, NOW)
+    return loads.loaded(spark, folder, "ca_hl_7").select("msg_id", "Id", "CreateDate")
+
+
+@query("upsert_partitions_null", """
+with base as (select event_id, user_id, case when event_id % 11 = 0 then null else cast(ts as date) end "day", event_type note
+  from events)
+select event_id, user_id, "day", case when event_id % 7 = 0 and ("day" is null or "day" = date '2024-01-03')
+  then 'changed' else note end note from base
+union all select event_id + 1000000000, user_id, "day", 'added' from base
+  where event_id % 7 = 0 and ("day" is null or "day" = date '2024-01-03')""")
+def upsert_partitions_null(spark, d):
+    """Updates of two days, one of them NULL; a NULL in the key matches nothing, so ids are the key."""
+    rows = b.read(spark, d, "events").select(
+        "event_id", "user_id", F.when(F.col("event_id") % 11 != 0, F.to_date("ts")).alias("day"), F.col("event_type").alias("note")
     )
+    folder = new_folder(spark, "events-by-day")
+    rows.write.partitionBy("day").parquet(folder)
+    some = rows.filter((F.col("event_id") % 7 == 0) & (F.col("day").isNull() | (F.col("day") == F.lit("2024-01-03").cast("date"))))
+    added = some.withColumns({"event_id": F.col("event_id") + 1000000000, "note": F.lit("added")})
+    upserts.upsert_partitions(folder, some.withColumn("note", F.lit("changed")).unionByName(added), ["event_id"], "day")
+    return spark.read.parquet(folder).select("event_id", "user_id", "day", "note")
 
 
 @query("export_csv", with_(HIST) + f"""

@@ -53,6 +53,50 @@ def hl7_patient(spark, d):
     return hl7.patients(b.messages(spark, d), ["msg_id"]).drop("marks")
 
 
+@query("hl7_other_marks", """
+with own as (select event_id msg_id, user_id, ts, case when event_id % 2 = 0 then '!' else chr(92) end e from events)
+select msg_id, user_id || '&X' "Mrn", 'O|E' || e || ' A' || e || 'Q' || e || 'B' || e "Name", 'R&~' "Race" from own""")
+def hl7_other_marks(spark, d):
+    """Messages with one of two escape marks; an unknown sequence and an open one stay."""
+    def text(e):
+        escaped = "O{e}F{e}E{e}^A{e}Q{e}B{e}"
+        return F.concat(
+            F.lit("MSH|^~"), e, F.lit("&|A|B|C|D|20240101||ADT^A08|1|P|2.3\rPID|1||"), F.col("user_id"), e, F.lit("T"), e,
+            F.lit("X^^^||"), *[c for part in escaped.split("{e}") for c in (F.lit(part), e)][:-1],
+            F.lit("||20000101|F||R"), e, F.lit("T"), e, e, F.lit("R"), e, F.lit("\r"),
+        )
+
+    mark = F.when(F.col("event_id") % 2 == 0, "!").otherwise("\\")
+    messages = b.read(spark, d, "events").select(F.col("event_id").alias("msg_id"), text(mark).alias("raw"))
+    parsed = hl7.patients(messages, ["msg_id"])
+    return hl7.patient_control(parsed, ["msg_id"]).select("msg_id", "Mrn", "Name", "Race")
+
+
+@query("hl7_times", """
+with own as (select event_id msg_id, event_id % 9 n, ts from events),
+said as (select *, date_trunc('second', ts) s from own)
+select msg_id, case n when 0 then date_trunc('year', ts) when 1 then date_trunc('month', ts)
+    when 2 then date_trunc('day', ts) when 3 then date_trunc('minute', ts) when 4 then s
+    when 5 then s + interval 500 milliseconds when 6 then s + interval 5 hours
+    when 7 then date_trunc('day', ts) - interval 90 minutes end "CreateDate",
+  case when n = 8 then 'bad time' end reason from said""")
+def hl7_times(spark, d):
+    """Message times of every precision, with and without an offset; one form is no time."""
+    def written(pattern, tail=""):
+        return F.concat(F.date_format("ts", pattern), F.lit(tail))
+
+    forms = [
+        written("yyyy"), written("yyyyMM"), written("yyyyMMdd"), written("yyyyMMddHHmm"), written("yyyyMMddHHmmss"),
+        written("yyyyMMddHHmmss", ".5"), written("yyyyMMddHHmmss", "-0500"), written("yyyyMMdd", "+0130"), written("yyyy-MM-dd"),
+    ]
+    time = F.get(F.array(*forms), (F.col("event_id") % len(forms)).cast("int"))
+    messages = b.read(spark, d, "events").select(
+        F.col("event_id").alias("msg_id"),
+        F.concat(F.lit("MSH|^~\\&|A|B|C|D|"), time, F.lit("||ADT^A08|1|P|2.3\rPID|1||7^^^||A^B\r")).alias("raw"),
+    )
+    return hl7.intake(messages, ["msg_id"]).select("msg_id", "CreateDate", "reason")
+
+
 @query("hl7_build", with_(PERSON) + """, timed as (
   select *, strftime(epoch_ms(created_ms) - interval 5 hours, '%Y%m%d%H%M%S') stamp from person)
 select mrn, 'MSH|^~\\&|SENDING_APPLICATION|SENDING_FACILITY|RECEIVING_APPLICATION|RECEIVING_FACILITY|' || stamp

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardmill import models
 from wardmill.functions.documents import json_decode
 from wardmill.functions.times import local_to_millis, ntz
 from wardmill.operators import filters, hl7, logs, patients
 from wardmill.operators.search import index_docs
-from wardmill.plans.adhoc import adhoc, adhoc_model, check_schema
+from wardmill.plans.adhoc import adhoc, adhoc_model, check_schema, decode_as
 from wardmill.registry import bindings as b
 from wardmill.registry.base import (
     CONTROL, EMPLOYEE, FAULTY, HIST, MESSAGE, PATIENT_JSON, PERSON, query, with_,
 )
 from wardmill.session import new_folder
-from wardmill.sources.stores import read_hl7_text
+from wardmill.sources.stores import read_documents, read_hl7_text, read_table, write_table
 
 LOG_COLUMNS = (
     'start_time "StartTime", from_store "FromStore", to_store "ToStore", study_id "StudyId", '
@@ -62,6 +63,14 @@ def log_search(spark, d):
     return logs.log_search(b.hist(spark, d), STORE, START, END)
 
 
+@query("log_search_by_day", with_(HIST) + f"select {LOG_COLUMNS} from hist where {IN_RANGE}")
+def log_search_by_day(spark, d):
+    """The log is written by day once; the search reads the days of its range."""
+    folder = new_folder(spark, "hist-by-day")
+    logs.write_by_day(b.hist(spark, d), folder)
+    return logs.log_search(spark.read.parquet(folder), STORE, START, END)
+
+
 @query("scan_hist_jdbc", with_(HIST) + f"""
 select {LOG_COLUMNS} from hist where to_store = 'store_2'
   and start_time between timestamp '2024-01-01 00:00:00' and timestamp '2024-02-01 00:00:00'""")
@@ -79,7 +88,9 @@ EMPLOYEE_COLUMNS = "EMPLOYEE_ID, FIRST_NAME, LAST_NAME, JOB_ID, HIRE_DATE, SALAR
 
 @query("scan_employee_jdbc", with_(EMPLOYEE) + f"select {EMPLOYEE_COLUMNS} from employee")
 def scan_employee_jdbc(spark, d):
-    return b.employee(spark, d).select(*models.EMPLOYEE.names)
+    """Rows as a database gives them, decoded by position to the model's names and types."""
+    rows = b.employee(spark, d).select(*[F.col(c).cast("string") for c in models.EMPLOYEE.names])
+    return decode_as(rows, models.EMPLOYEE)
 
 
 @query("scan_hl7_docs", with_(MESSAGE) + """
@@ -87,7 +98,11 @@ select msg_id, mrn, kind "messageType", created_ms "dateCreated",
   array_to_string(string_split(rtrim(raw, chr(13)), chr(13)), chr(10)) raw,
   len(string_split(rtrim(raw, chr(13)), chr(13))) segments from message""")
 def scan_hl7_docs(spark, d):
-    return b.message_documents(spark, d).select(
+    """The collection is written as nested JSON and read as typed documents."""
+    folder = new_folder(spark, "hl7-documents")
+    b.message_documents(spark, d).write.json(folder)
+    schema = T.StructType([*models.HL7_MESSAGE.fields, T.StructField("msg_id", T.LongType())])
+    return read_documents(spark, folder, schema).select(
         "msg_id", "mrn", "messageType", "dateCreated", F.array_join("raw", "\n").alias("raw"),
         F.size("raw").cast("long").alias("segments"),
     )
@@ -101,7 +116,9 @@ CONTROL_COLUMNS = (
 
 @query("scan_table_stream", with_(PERSON, CONTROL) + f"select {CONTROL_COLUMNS} from control")
 def scan_table_stream(spark, d):
-    return control(spark, d)
+    folder = new_folder(spark, "patient-control")
+    write_table(control(spark, d), "parquet", path=folder)
+    return read_table(spark, "parquet", path=folder)
 
 
 @query("read_hl7_text", with_(MESSAGE) + "select raw from message")
@@ -214,10 +231,10 @@ def error_agg(spark, d):
     return logs.error_agg(b.hist(spark, d, response=False))
 
 
-@query("agg_log", with_(HIST) + f", agg as ({AGG}) select symbol, \"date\", price from agg where price > 1")
+@query("agg_log", with_(HIST) + f", agg as ({AGG}) select symbol, \"date\", price from agg")
 def agg_log(spark, d):
     agg = logs.error_agg(b.hist(spark, d, response=False))
-    return adhoc(spark, "select symbol, date, price from {agg} where price > 1", models.EXECUTION_AGG, agg=agg)
+    return adhoc(spark, "select symbol, date, price from {agg}", models.EXECUTION_AGG, agg=agg)
 
 
 @query("stored_doc_read_json", """

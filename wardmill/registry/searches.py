@@ -9,6 +9,7 @@ from wardmill.plans.adhoc import all_ok as every_ok
 from wardmill.registry import bindings as b
 from wardmill.registry.base import CONTROL, HIST, PERSON, query, sound_of, with_, words_of
 from wardmill.registry.scans import control
+from wardmill.session import new_folder
 
 DOCS = """docs as (
   select City city, DateOfBirth "dateOfBirth", Email email, Ethnicity ethnicity, Gender gender, Mrn mrn,
@@ -100,11 +101,11 @@ def search_query(spark, d):
 select distinct p.doc_id from posting p
 join posting q on q.doc_id = p.doc_id and q."position" = p."position" + 1
 join posting r on r.doc_id = p.doc_id and r."position" = p."position" + 2
-where p.term = 'for' and q.term = 'as' and r.term = 'and'""")
+where p.term = 'and' and q.term = 'attion' and r.term = 'to'""")
 def search_phrase_text(spark, d):
     docs = b.read(spark, d, "documents")
     index = search.postings(docs, ["text"], key="doc_id", sound=False)
-    return search.match_ids(index, [], [("text", ["for", "as", "and"])], key="doc_id")
+    return search.match_ids(index, [], [("text", ["and", "attion", "to"])], key="doc_id")
 
 
 @query("search_words_text", "with " + token_table("documents", "doc_id", ["text"]) + """
@@ -141,6 +142,37 @@ def search_exact(spark, d):
     return search.search_exact(docs, {"gender": "F", "race": "W~B"}).select("mrn", "race", "gender")
 
 
+@query("search_email_whole", INDEXED + """
+select mrn, email from docs where email = 'customer.000000012@example.org'""")
+def search_email_whole(spark, d):
+    docs, index = stored_patients(spark, d)
+    return search.search_fields(docs, index, {"email": "customer.000000012@example.org"}).select("mrn", "email")
+
+
+@query("search_two_words", INDEXED + """
+select mrn, "name", street from docs where "name" = 'CUSTOMER 000000035' and street like '% Main St.'""")
+def search_two_words(spark, d):
+    """Values of two words, with marks that documents lose as well."""
+    docs, index = stored_patients(spark, d)
+    return search.search_fields(docs, index, {"name": "Customer, 000000035", "street": "Main St."}).select("mrn", "name", "street")
+
+
+@query("search_stored_index", INDEXED + """
+select mrn, "name", suggest from docs where mrn in (
+  select mrn from posting where field = 'suggest' group by mrn
+  having bool_or(sound = 'kstmr') and bool_or(starts_with(term, '00001'))) order by mrn limit 10""")
+def search_stored_index(spark, d):
+    """Documents and term table are written once; the search reads what it needs of them."""
+    docs, index = stored_patients(spark, d)
+    folder = new_folder(spark, "search")
+    search.write_index(index, f"{folder}/index")
+    docs.repartitionByRange("mrn").sortWithinPartitions("mrn").write.parquet(f"{folder}/docs")
+    found = search.search_suggest(
+        spark.read.parquet(f"{folder}/docs"), spark.read.parquet(f"{folder}/index"), "kustomer 00001*"
+    )
+    return found.select("mrn", "name", "suggest")
+
+
 @query("all_ok", with_(PERSON) + """
 select bool_and(mrn is not null and mrn <> '') all_ok from person""")
 def all_ok(spark, d):

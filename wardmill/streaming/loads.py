@@ -25,17 +25,18 @@ def read_stream(
 
 
 def start_load(
-    stream: DataFrame, ids: list[str], folder: str, checkpoint: str,
+    stream: DataFrame, ids: list[str], folder: str, checkpoint: str, name: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
     """Load all files not loaded yet, then stop.
 
-    A batch writes folders named by its number, so a batch that runs again after a failure
-    replaces what it wrote. A file that arrives late is loaded whatever its message times are;
+    A batch writes folders named by ``name`` and its number, so a batch that runs again after a
+    failure replaces what it wrote. The name must be the stream's own: another source, or a fresh
+    checkpoint, takes another name, or it would replace rows of this one. A file that arrives late is loaded whatever its message times are;
     the window load, driven by times, would pass it by.
     """
     def load(batch: DataFrame, number: int) -> None:
-        load_messages(prepare(batch), ids, folder, f"batch-{number}")
+        load_messages(prepare(batch), ids, folder, f"{name}-{number}")
 
     return (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
