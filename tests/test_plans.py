@@ -10,7 +10,8 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
-from wardmill.operators import hl7, logs, search, upserts
+import __spark_entry__ as entry
+from wardmill.operators import events, hl7, logs, search, upserts
 from wardmill.plans import loads
 from wardmill.registry import bindings as b
 
@@ -100,3 +101,18 @@ def test_no_cross_joins_or_python(spark, job):
     text = plan(entry.queries()[job](spark, SF_DIR))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
         assert unwanted not in text
+
+
+def test_events_meet_only_the_heads(spark, tmp_path):
+    log = spark.range(10).select(F.lit("u").alias("stream_uuid"), F.col("id").alias("version"))
+    events.stream_heads(log).write.parquet(str(tmp_path / "heads"))
+    batch = spark.range(500).select((F.col("id") % 7).alias("call_id"), F.col("id").alias("seq"), F.lit("a").alias("event_type"), F.lit("{}").alias("body"))
+    added = events.append_events(spark.read.parquet(str(tmp_path / "heads")), batch)
+    assert "explode" not in plan(added) and added.count() == 500
+
+
+def test_registered_searches_read_stored_layouts(spark):
+    text = plan(entry.queries()["log_search_by_day"](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: .*day.*2024-01-05", text) and "EqualTo(to_store,store_1)" in text
+    text = plan(entry.queries()["search_stored_index"](spark, SF_DIR))
+    assert "PartitionFilters" in text and "EqualTo(token,kstmr)" in text

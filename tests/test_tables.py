@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from wardmill import models
 from wardmill.functions.times import ntz
-from wardmill.operators import events, filters, ordering, search, tables, upserts
+from wardmill.operators import events, filters, ordering, patients, search, tables, upserts
 from wardmill.plans import adhoc
 from wardmill.sources.stores import (
-    jdbc_options, read_documents, read_model, write_jdbc, write_table,
+    jdbc_options, read_documents, read_model, read_patients, write_jdbc, write_table,
 )
 
 
@@ -302,6 +302,32 @@ def test_check_schema_counts(spark):
     assert got == {"symbol": ("string", 1), "price": ("string", 1), "date": (None, 0)}
 
 
+def test_check_schema_lists_surplus_columns(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "symbol string, more int, rest double")
+    got = [tuple(r) for r in adhoc.check_schema(df, models.table(symbol=models.STRING)).collect()]
+    assert got == [(0, "symbol", "string", "string", 0), (1, "more", None, "int", 0), (2, "rest", None, "double", 0)]
+
+
+def test_mini_log_is_a_model(spark):
+    got = adhoc.adhoc_model(spark, "ExecutionLogMini", "select timestamp '2024-01-01', 'a', 'b', 'c', 'd', 'e', 'f'")
+    assert got.schema.names == models.EXECUTION_LOG_MINI.names
+
+
+def test_unread_dates_are_rejected(spark):
+    docs = spark.createDataFrame(
+        [(1, '{"dateOfBirth":"soon","createDate":"2024-01-01"}'), (2, '{"dateOfBirth":"2024-01-01"}'), (3, '{"createDate":"x","dateOfBirth":"y"}'), (4, None)],
+        "n int, current string",
+    )
+    got = {r["n"]: r["reason"] for r in patients.reject_unread_dates(docs, ["n"]).collect()}
+    assert got == {1: "unread dateOfBirth", 3: "unread createDate, dateOfBirth"}
+
+
+def test_patient_table(spark):
+    store = FakeStore(spark.createDataFrame([("a", '{"mrn":"7","dateOfBirth":"2024-01-02"}')], "name string, current string"))
+    row = read_patients(SimpleNamespace(read=store), "jdbc:x").first()
+    assert (row["name"], row["Mrn"], row["DateOfBirth"]) == ("a", "7", dt.datetime(2024, 1, 2)) and store.set["dbtable"] == "hl7.patient"
+
+
 def test_all_ok(spark):
     status = spark.createDataFrame([(0,), (0,)], "status int")
     assert adhoc.all_ok(status).first()["all_ok"] is True

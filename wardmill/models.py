@@ -119,6 +119,11 @@ REGISTRY = {
         ["StartTime", "FromStore", "ToStore", "StudyId", "WSI", "Caller"],
         "execution_log",
     ),
+    "ExecutionLogMini": (
+        EXECUTION_LOG_MINI,
+        ["StartTime", "FromStore", "ToStore", "StudyId", "WSI", "Caller"],
+        "execution_log_mini",
+    ),
     "ExecutionHist": (EXECUTION_HIST, ["id"], "wsi_execution_hist"),
     "ExecutionAggregationLog": (EXECUTION_AGG, ["symbol", "date"], "wsi_execution_error_agg"),
     "VersionControl": (VERSION_CONTROL, ["model", "subscriber"], "version_control"),

@@ -20,33 +20,45 @@ def tie_numbers(df: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def sorted_rows(df: DataFrame, order: list[str], unique: bool) -> DataFrame:
+    """The data in ``order`` by one global sort, checkpointed, with each row's partition and place.
+
+    The places are counted twice over the same partitions, which a recomputed sort would not
+    promise. Equal rows are told apart unless the order is ``unique``.
+    """
+    shared_dir(df.sparkSession)
+    if unique:
+        placed = df.orderBy(*order)
+    else:
+        placed = tie_numbers(df, order).orderBy(*order, "_hash", "_tie").drop("_hash", "_tie")
+    rows = placed.checkpoint()
+    return rows.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+
+
+def run_starts(rows: DataFrame, within: list[str]) -> DataFrame:
+    """One row per partition and key: its first place, its rows, and the key's rows in earlier partitions."""
+    runs = rows.groupBy("_part", *within).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+
+
 def positions(
-    df: DataFrame, order: list[str], within: list[str] | None = None, name: str = "position"
+    df: DataFrame, order: list[str], within: list[str] | None = None, name: str = "position",
+    unique: bool = False, offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 0-based place of each row in ``order``, counted afresh for each ``within`` key.
 
-    The data is range-sorted on key, order and a tie number, so neither a key nor a row that
-    occurs very often fills one task. The sorted data is checkpointed: places are counted twice
-    over the same partitions, which a recomputed sort would not promise. Each partition then
-    needs only the number of rows of its keys in earlier partitions, a table with at most one
-    row per key and partition.
+    The data is range-sorted on key, order and, unless the order is ``unique``, a tie number, so
+    neither a key nor a row that occurs very often fills one task. Each partition then needs only
+    the number of rows of its keys in earlier partitions, a table with at most one row per key and
+    partition. ``offsets`` (key columns, offset) moves the places of a key; it meets that table.
     """
     within = within or []
-    spark = df.sparkSession
-    shared_dir(spark)
-    rows = (
-        tie_numbers(df, [*within, *order]).orderBy(*within, *order, "_hash", "_tie")
-        .drop("_hash", "_tie").checkpoint()
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    runs = rows.groupBy("_part", *within).agg(
-        F.min("_row").alias("_first"), F.count("*").alias("_n")
-    )
-    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    rows = sorted_rows(df, [*within, *order], unique)
+    starts = run_starts(rows, within).drop("_n")
+    if offsets is not None:
+        starts = starts.join(offsets.withColumnRenamed("offset", "_offset"), within, "left")
+        starts = starts.withColumn("_before", F.col("_before") + F.coalesce("_offset", F.lit(0))).drop("_offset")
     if not within:
         starts = F.broadcast(starts)  # one row per partition
     keys = {k: f"_{k}_run" for k in within}
@@ -58,18 +70,22 @@ def positions(
     return rows.join(starts, match).select(*df.columns, place.alias(name))
 
 
-def row_index(df: DataFrame, order: list[str], name: str = "row_index") -> DataFrame:
-    return positions(df, order, name=name)
+def row_index(df: DataFrame, order: list[str], name: str = "row_index", unique: bool = False) -> DataFrame:
+    return positions(df, order, name=name, unique=unique)
 
 
-def json_array_lines(df: DataFrame, order: list[str], text: str = "json") -> DataFrame:
+def json_array_lines(df: DataFrame, order: list[str], text: str = "json", unique: bool = False) -> DataFrame:
     """JSON objects as the lines of one JSON array, so parts can be written side by side.
 
-    The first line opens the array and the last line closes it; ``text`` holds the objects.
+    The first line opens the array and the last line closes it; ``text`` holds the objects. The
+    rows stand in order already: written as they are, the parts in name order are the array.
     """
-    last = F.broadcast(df.agg((F.count("*") - 1).alias("_last")))  # one row
-    numbered = row_index(df, order)
-    numbered = numbered.join(last, numbered["row_index"] == last["_last"], "left")
+    rows = sorted_rows(df.select(*df.columns), order, unique)
+    # one row per partition
+    starts = run_starts(rows, []).withColumn("_last", F.sum("_n").over(Window.partitionBy()) - 1)
+    starts = F.broadcast(starts.withColumnRenamed("_part", "_part_run"))
+    place = F.col("_before") + F.col("_row") - F.col("_first")
+    numbered = rows.join(starts, F.col("_part") == F.col("_part_run")).withColumn("row_index", place)
     opening = F.when(F.col("row_index") == 0, "[").otherwise(",")
-    closing = F.when(F.col("_last").isNotNull(), "]").otherwise("")
+    closing = F.when(F.col("row_index") == F.col("_last"), "]").otherwise("")
     return numbered.select("row_index", F.concat(opening, F.col(text), closing).alias("line"))

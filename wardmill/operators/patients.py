@@ -46,6 +46,18 @@ def read_patient(rows: DataFrame, ids: list[str], text: str = "current") -> Data
     )
 
 
+def reject_unread_dates(rows: DataFrame, ids: list[str], text: str = "current") -> DataFrame:
+    """Documents with a date in no known form: the ids, the reason and the document's text."""
+    parsed = rows.select(*ids, F.col(text).alias("_text"), json_decode(F.col(text), PATIENT_DOCUMENT).alias("_document"))
+    unread = F.array_compact(F.array(*[
+        F.when(F.col(f"_document.{name}").isNotNull() & parse_patient_date(F.col(f"_document.{name}")).isNull(), F.lit(name))
+        for name in ("createDate", "dateOfBirth")
+    ]))
+    bad = parsed.withColumn("_unread", unread).filter(F.size("_unread") > 0)
+    reason = F.concat(F.lit("unread "), F.array_join("_unread", ", "))
+    return bad.select(*ids, reason.alias("reason"), F.col("_text").alias(text))
+
+
 def write_patient(rows: DataFrame, ids: list[str], name: str = "current") -> DataFrame:
     """Typed rows to JSON documents, which ``read_patient`` reads back unchanged."""
     columns = []

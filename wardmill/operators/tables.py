@@ -31,6 +31,7 @@ def table_keys(spark: SparkSession, name: str) -> list[str]:
 
 
 def insert_docs(documents: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append documents. There is no key here: a job that runs again appends them again."""
     documents.write.mode("append").format(fmt).save(path)
 
 
@@ -45,7 +46,7 @@ def export_json_lines(df: DataFrame, path: str) -> None:
     df.select(json_row(df.schema).alias("value")).write.text(path)
 
 
-def export_json_array(df: DataFrame, path: str, order: list[str]) -> None:
+def export_json_array(df: DataFrame, path: str, order: list[str], unique: bool = False) -> None:
     """One JSON array over ordered part files: read in name order they are one document."""
-    lines = json_array_lines(df.withColumn("json", json_row(df.schema)), order)
-    lines.orderBy("row_index").select("line").write.text(path)
+    lines = json_array_lines(df.withColumn("json", json_row(df.schema)), order, unique=unique)
+    lines.select("line").write.text(path)

@@ -45,7 +45,8 @@ def check_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per model field: expected and actual type, and values the model does not admit.
 
     ``bad_values`` counts the NULLs of a field declared required and the values that do not cast
-    to the field's type. All fields are counted in one pass over the data.
+    to the field's type. Columns beyond the model are listed too, with no expected type. All
+    fields are counted in one pass over the data.
     """
     actual = dict(zip(schema.names, df.schema.fields, strict=False))
     counts, facts = [], []
@@ -58,13 +59,16 @@ def check_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
             bad = F.count_if(lost if f.nullable else lost | value.isNull())
         counts.append(bad.alias(f.name))
         facts.append((f.name, f.dataType.simpleString(), got.dataType.simpleString() if got else None))
+    for n, extra in enumerate(df.schema.fields[len(schema):]):
+        counts.append(F.lit(0).cast("long").alias(f"_extra{n}"))
+        facts.append((extra.name, None, extra.dataType.simpleString()))
     totals = df.agg(*counts)
     rows = [
         F.struct(
-            F.lit(i).alias("position"), F.lit(name).alias("field"), F.lit(want).alias("expected"),
-            F.lit(got).cast("string").alias("actual"), F.col(name).alias("bad_values"),
+            F.lit(i).alias("position"), F.lit(name).alias("field"), F.lit(want).cast("string").alias("expected"),
+            F.lit(got).cast("string").alias("actual"), F.col(total).alias("bad_values"),
         )
-        for i, (name, want, got) in enumerate(facts)
+        for i, ((name, want, got), total) in enumerate(zip(facts, totals.columns, strict=True))
     ]
     return totals.select(F.inline(F.array(*rows)))
 

@@ -171,14 +171,15 @@ select substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-3' || substr(h, 14, 3) ||
   || substr('89ab', 1 + (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4, 1) || substr(h, 18, 3) || '-'
   || substr(h, 21, 12) stream_uuid, stream_type, "version", event_type, body from placed""")
 def append_events(spark, d):
-    """Each day's events are one call; the second half of the month goes on from the first."""
+    """Each day's events are one call; the second half of the month goes on from the heads of the first."""
     day = F.to_date("ts")
     rows = b.read(spark, d, "events").select(
         day.alias("call_id"), F.col("event_id").alias("seq"), "event_type", F.col("props").alias("body"), "ts"
     )
     later = F.col("ts") >= ntz("2024-01-16 00:00:00")
     log = events.append_events(None, rows.filter(~later).drop("ts"))
-    log = log.unionByName(events.append_events(log, rows.filter(later).drop("ts")))
+    heads = events.stream_heads(log)
+    log = log.unionByName(events.append_events(heads, rows.filter(later).drop("ts")))
     return log.select("stream_uuid", "stream_type", "version", "event_type", "body")
 
 

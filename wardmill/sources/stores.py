@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardmill.models import REGISTRY
+from wardmill.operators.patients import read_patient
 from wardmill.plans.adhoc import decode_as
 
 
@@ -50,6 +51,8 @@ STORE_TABLES = {
     "VersionControl": ("hl7.version_control", "start_time"),
     "Employee": ("HR.EMPLOYEES", "HIRE_DATE"),
 }
+# The patient table holds one JSON document per row and has no time column to split on.
+PATIENT_STORE = ("hl7.patient", "name", "current")
 
 
 def read_model(
@@ -63,8 +66,18 @@ def read_model(
     return decode_as(found.select(*REGISTRY[model][0].names), REGISTRY[model][0])
 
 
+def read_patients(spark: SparkSession, url: str, **options) -> DataFrame:
+    """The patient table: the stored name and the typed columns of its document."""
+    table, name, document = PATIENT_STORE
+    found = read_jdbc(spark, url, table, **options)
+    return read_patient(found.select(name, F.col(document).cast("string").alias(document)), [name], document)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 10_000, **options: str) -> None:
-    """Append rows to a database table in batches, one connection per partition."""
+    """Append rows to a database table in batches, one connection per partition.
+
+    A job that runs again appends its rows again; the caller's key or run number must tell them apart.
+    """
     (
         df.write.format("jdbc").mode("append")
         .options(url=url, dbtable=table, batchsize=str(batch), **options).save()
