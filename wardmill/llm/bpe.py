@@ -1,8 +1,8 @@
 """Byte-level byte-pair encoding and decoding with Spark's higher-order functions.
 
 A word is an array of token ids, first one per byte. A fold joins, step by step, the neighbouring pair
-of least rank, the first of equals. The rank map is a constant of the query: an array with a perfect
-hash, so a look-up reads two elements, where a map literal would be searched from end to end. It is
+of least rank, the first of equals. The rank map is a constant of the query: a sparse table in two
+arrays, so a look-up reads two elements, where a map literal would be searched from end to end. It is
 held by a one-row table and enters as a scalar subquery, which goes to the tasks once with the plan
 instead of being printed into it. Its size follows from the vocabulary.
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from wardmill.llm.shared import stored
 
 # Places for words kept encoded in the query; a bound on memory, not on the words that are encoded.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 # Stands before and behind a word's ids; no token has this number.
 END = (1 << 16) - 1
 # Makes \s mean all white space, as it does in the tokenizer's library.
@@ -46,58 +47,41 @@ def pairs_of(ranks: dict[bytes, int]) -> dict[int, int]:
 
 
 class PairTable:
-    """The pairs in two arrays, a perfect hash; ``find`` is the look-up of a pair as an expression.
+    """The pairs as rows of a sparse table laid over one another; ``find`` looks up a pair.
 
-    A pair's place is one hash moved by the shift of its group, a second hash. An entry holds the
-    pair and its rank in one long, so a look-up is two element reads and no comparison: the entry
-    less the pair is the rank, and any other entry gives ``NONE`` or more.
+    The row of a left id starts at its offset and holds its pairs at offset plus right id, in places
+    that no other row uses. An entry holds the left id and the rank, so an entry that is not of the
+    row asked for differs in the upper bits and gives ``NONE`` or more.
     """
 
-    BITS, GROUP_BITS = 18, 15
-    PLACE, GROUP = (0x6C8E9CF5, 22), (0x5851F42D, 24)
     NONE = 1 << 16
-    TRIES = 50
 
     def __init__(self, pairs: dict[int, int]):
-        factor, how = self.PLACE
-        for number in range(self.TRIES):  # two pairs of a group may share a place; then another factor
-            self.place = (factor + 2 * 7919 * number, how)
-            filled = self._fill(pairs)
-            if filled:
-                break
-        else:
-            raise ValueError("the vocabulary is too large for the pair table")
-        self.slots, self.shifts = filled
-
-    @staticmethod
-    def _hash(key: int, how: tuple[int, int], bits: int) -> int:
-        return ((key * how[0]) >> how[1]) & ((1 << bits) - 1)
-
-    def _fill(self, pairs: dict[int, int]) -> tuple[list[int], list[int]] | None:
-        groups: dict[int, list[int]] = {}
+        rows: dict[int, list[int]] = {}
         for key in pairs:
-            groups.setdefault(self._hash(key, self.GROUP, self.GROUP_BITS), []).append(key)
-        slots, shifts = [-1] * (1 << self.BITS), [0] * (1 << self.GROUP_BITS)
-        for group, keys in sorted(groups.items(), key=lambda g: -len(g[1])):
-            places = [self._hash(k, self.place, self.BITS) for k in keys]
-            if len(set(places)) < len(keys):
-                return None
-            free = (s for s in range(1 << self.BITS) if all(slots[p ^ s] < 0 for p in places))
-            shifts[group] = shift = next(free, -1)
-            if shift < 0:
-                return None
-            for key, place in zip(keys, places):
-                slots[place ^ shift] = (key << 16) | pairs[key]
-        return slots, shifts
-
-    def find(self, tables: Column, key: Column) -> Column:
-        def hashed(how: tuple[int, int], bits: int) -> Column:
-            wide = key * F.lit(how[0]).cast("long")
-            return F.shiftright(wide, how[1]).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
-
-        shift = F.get(tables["shifts"], hashed(self.GROUP, self.GROUP_BITS).cast("int"))
-        entry = F.get(tables["slots"], hashed(self.place, self.BITS).bitwiseXOR(shift).cast("int"))
-        return F.pmod(entry - key * 65536, F.lit(1 << 62))
+            rows.setdefault(key >> 16, []).append(key & 65535)
+        self.offsets = [0] * (END + 1)
+        slots = np.full(16 << 16, END << 16, np.int64)
+        free = np.ones(len(slots), bool)
+        low = 0
+        for left, rights in sorted(rows.items(), key=lambda r: (-len(r[1]), r[0])):
+            right = np.sort(rights)
+            low += int(free[low:].argmax())
+            begin, offset = max(low, int(right[0])), -1
+            while offset < 0:  # the first place that is free for the first pair and all others
+                good = begin + np.flatnonzero(free[begin: begin + 4096])
+                for r in right[1:]:
+                    good = good[free[good - right[0] + r]]
+                offset = int(good[0] - right[0]) if len(good) else -1
+                begin += 4096
+            self.offsets[left] = offset
+            free[offset + right] = False
+            slots[offset + right] = [(left << 16) | pairs[left << 16 | int(r)] for r in right]
+        self.slots = slots[: max(self.offsets) + END + 1]
+
+    def find(self, tables: Column, left: Column, right: Column) -> Column:
+        entry = F.get(tables["slots"], F.get(tables["offsets"], left) + right)
+        return entry.bitwiseXOR(F.shiftleft(left.cast("long"), 16)).cast("long")
 
 
 def let(value: Column, body) -> Column:
@@ -127,9 +111,10 @@ class BytePairs:
         names = [""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             names[rank] = token.hex()
+        numbers = [i.to_bytes(4, "little").hex() for i in range(len(names))]
         self.tables = spark.createDataFrame(pa.table({
-            "slots": [self.table.slots], "shifts": [self.table.shifts],
-            "bytes": [[ranks[bytes([b])] for b in range(256)]], "pieces": [names],
+            "slots": [self.table.slots.tolist()], "offsets": pa.array([self.table.offsets], pa.list_(pa.int32())),
+            "bytes": pa.array([[ranks[bytes([b])] for b in range(256)]], pa.list_(pa.int32())), "pieces": [names], "numbers": [numbers],
         }))
 
     def words(self, text: Column) -> Column:
@@ -143,14 +128,14 @@ class BytePairs:
         """
         digits = F.hex(F.encode(word, "UTF-8"))
         size = F.octet_length(word)
-        end = F.array(F.lit(END).cast("long"))
+        end = F.array(F.lit(END))
         start = F.concat(end, let(digits, lambda hexed: F.transform(
             F.sequence(F.lit(0), size - 1),
             lambda i: F.get(tables["bytes"], F.conv(F.substring(hexed, i * 2 + 1, 2), 16, 10).cast("int")),
         )), end)
 
         def pair(left: Column, right: Column) -> Column:
-            return self.table.find(tables, left * 65536 + right)
+            return self.table.find(tables, left, right)
 
         def state(ids: Column) -> Column:
             ranks = F.zip_with(
@@ -161,9 +146,9 @@ class BytePairs:
         def merge(old: Column, _: Column) -> Column:
             ids, ranks = old["ids"], old["ranks"]
 
-            def join(found: Column) -> Column:
-                least, at = found["least"], found["at"]
-                return F.when(least >= PairTable.NONE, old).otherwise(F.struct(
+            def join(at: Column) -> Column:
+                least = F.get(ranks, at - 1).cast("int")
+                return F.when(F.get(ranks, at - 1) >= PairTable.NONE, old).otherwise(F.struct(
                     F.concat(
                         F.slice(ids, F.lit(1), at - 1), F.array(least), F.slice(ids, at + 2, F.size(ids))
                     ).alias("ids"),
@@ -174,24 +159,21 @@ class BytePairs:
                     ).alias("ranks"),
                 ))
 
-            def where(least: Column) -> Column:
-                return F.struct(least.alias("least"), F.array_position(ranks, least).cast("int").alias("at"))
-
-            return let(let(F.array_min(ranks), where), join)
+            return let(F.array_position(ranks, F.array_min(ranks)).cast("int"), join)
 
         def inner(last: Column) -> Column:
-            return F.transform(F.slice(last["ids"], F.lit(2), F.size(last["ids"]) - 2), lambda i: i.cast("int"))
+            return F.slice(last["ids"], F.lit(2), F.size(last["ids"]) - 2)
 
         return F.aggregate(F.sequence(F.lit(1), size), let(start, state), merge, inner)
 
     def encoded(self, df: DataFrame, words: str, name: str) -> DataFrame:
         """``df`` with ``name``: the ids of each word of the array ``words``."""
         return with_constant(
-            df, self.tables.drop("pieces"), name, lambda t: F.transform(words, lambda w: self.word_ids(t, w))
+            df, self.tables.drop("pieces", "numbers"), name, lambda t: F.transform(words, lambda w: self.word_ids(t, w))
         )
 
     def frequent(self, docs: DataFrame, slots: int = FREQUENT) -> DataFrame:
-        """One row: the word of each slot, the most frequent that falls there, and its ids as text.
+        """One row: the word of each slot, the most frequent that falls there, and its ids.
 
         All documents are counted, each distinct word once per document. The list holds one word per
         slot at most, so its size is bounded by ``slots``.
@@ -202,7 +184,7 @@ class BytePairs:
             F.max(F.struct("n", "word"))["word"].alias("word")
         )
         kept = self.encoded(kept.withColumn("words", F.array("word")), "words", "found")
-        kept = kept.select("slot", "word", F.array_join(F.get("found", 0), " ").alias("ids"))
+        kept = kept.select("slot", "word", F.get("found", 0).alias("ids"))
         every = docs.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
         listed = every.join(kept, "slot", "left").agg(F.array_sort(F.collect_list(F.struct("slot", "word", "ids"))).alias("l"))
         return stored(listed.select(F.col("l.word").alias("names"), F.col("l.ids").alias("codes")), "frequent-words")
@@ -211,40 +193,37 @@ class BytePairs:
         """``docs`` (id, text) with ``ids``, the token ids of each text."""
         rows = docs.withColumn("words", self.words(F.col("text")))
 
-        def listed(both: Column, word: Column) -> Column:
-            return let(slot_of(word, slots), lambda s: F.when(F.get(both["names"], s) == word, F.get(both["codes"], s)))
-
+        rows = rows.withColumn("slots", F.transform("words", lambda w: slot_of(w, slots)))
         known = self.frequent(docs, slots)
-        rows = with_constant(rows, known, "codes", lambda both: F.transform("words", lambda w: listed(both, w)))
+        rows = with_constant(rows, known, "codes", lambda both: F.zip_with(
+            "words", "slots", lambda w, s: F.when(F.get(both["names"], s) == w, F.get(both["codes"], s))
+        ))
         rare = F.array_distinct(F.filter(
             F.zip_with("words", "codes", lambda w, c: F.when(c.isNull(), w)), lambda w: w.isNotNull()
         ))
         rows = self.encoded(rows.withColumn("rare", rare), "rare", "rare_ids")
 
         def word_or_list(found: Column) -> Column:
-            return F.zip_with("words", "codes", lambda w, c: F.when(
-                c.isNotNull(), F.split(c, " ").cast("array<int>")
-            ).otherwise(F.get(found["ids"], (F.array_position(found["words"], w) - 1).cast("int"))))
+            return F.zip_with("words", "codes", lambda w, c: F.when(c.isNotNull(), c).otherwise(F.get(found["ids"], (F.array_position(found["words"], w) - 1).cast("int"))))
 
         # Bound outside the lambda: a column used only inside one would be worked out for every word.
         ids = F.flatten(let(F.struct(F.col("rare").alias("words"), F.col("rare_ids").alias("ids")), word_or_list))
         return rows.select("id", "text", ids.alias("ids"))
 
-    def decoded(self, df: DataFrame, ids: str, name: str) -> DataFrame:
-        """``df`` with ``name``: the bytes of the tokens of ``ids``, one after the other."""
+    def looked_up(self, df: DataFrame, ids: str, table: str, name: str) -> DataFrame:
+        """``df`` with ``name``: the binary pieces of a table for the ids, one after the other."""
         found = with_constant(
-            df, self.tables.select("pieces"), "_pieces", lambda t: F.transform(ids, lambda i: F.get(t["pieces"], i))
+            df, self.tables.select(table), "_pieces", lambda t: F.transform(ids, lambda i: F.get(t[table], i))
         )
         return found.select(*df.columns, F.unhex(F.array_join("_pieces", "")).alias(name))
 
+    def decoded(self, df: DataFrame, ids: str, name: str) -> DataFrame:
+        """``df`` with ``name``: the bytes of the tokens of ``ids``."""
+        return self.looked_up(df, ids, "pieces", name)
 
-def ids_binary(ids: Column) -> Column:
-    """Ids as little-endian unsigned 32-bit integers."""
-    def digits(i: Column) -> Column:
-        both = F.lpad(F.lower(F.hex(i)), 8, "0")
-        return F.concat(*[F.substring(both, at, 2) for at in (7, 5, 3, 1)])
-
-    return F.unhex(F.array_join(F.transform(ids, digits), ""))
+    def packed(self, df: DataFrame, ids: str, name: str) -> DataFrame:
+        """``df`` with ``name``: ``ids`` as little-endian unsigned 32-bit integers."""
+        return self.looked_up(df, ids, "numbers", name)
 
 
 def slot_of(word: Column, slots: int) -> Column:
@@ -254,7 +233,8 @@ def slot_of(word: Column, slots: int) -> Column:
 def encode_documents(
     docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", slots: int = FREQUENT
 ) -> DataFrame:
-    """``id``, ``text``, ``ids`` (token ids) and ``decoded`` (the bytes the ids stand for) of each row.
+    """``id``, ``text``, ``ids`` (token ids), ``packed`` (the ids as little-endian 32-bit integers) and
+    ``decoded`` (the bytes the ids stand for) of each row.
 
     Each match of ``pattern`` is encoded by itself; there are no special tokens. A null or empty text
     has no ids and decodes to no bytes. Repeated rows and null ids stay as they are. No rows give no
@@ -263,4 +243,4 @@ def encode_documents(
     """
     pairs = BytePairs(docs.sparkSession, path, pattern)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return pairs.decoded(pairs.text_ids(rows, slots), "ids", "decoded")
+    return pairs.packed(pairs.decoded(pairs.text_ids(rows, slots), "ids", "decoded"), "ids", "packed")

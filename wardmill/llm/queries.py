@@ -80,7 +80,7 @@ def op6_byte_bpe(spark, d):
     found = bpe.encode_documents(read(spark, d, "documents"), path, pattern)
     return found.select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.ids_binary(F.col("ids")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
