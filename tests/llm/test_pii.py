@@ -12,7 +12,7 @@ from wardmill.llm import pii
 TEXTS = [
     "mail bosbt.42@mail8.example.com now, Bosbt.42@mail8.example.com", "card 4041894974608795, or 4041 8949 7460 8795; 4041-8949-7460-8795.",
     "bad card 4041894974608796", "+1 (988) 555-2485 or 988-555-2485, 188-555-2485", "ip 42.144.35.254 and 300.1.1.1 and 1.2.3.4.5",
-    "born 1980-02-29, 29.02.1980, 2/29/1980, 1981-02-29, 1980/1/5", "ssn 123-45-6789 000-12-3456 666-12-3456 123-00-1234",
+    "born 1980-02-29, 29.02.1980, 2/29/1980, 1981-02-29, 1980/01/05", "ssn 123-45-6789 000-12-3456 666-12-3456 123-00-1234",
     "iban DE89 3704 0044 0532 0130 00 DE89370400440532013000 GB82 WEST 1234 5698 7654 32 DE00370400440532013000",
     "call +49 30 1234567", "a@b.c 1.1.1.1", "x" * 5000 + " 10.0.0.1 " + "y" * 5000,
 ]
@@ -34,6 +34,13 @@ def test_pseudonyms_keep_their_format_and_can_be_undone(spark):
     assert [r.text for r in hidden(spark, TEXTS, "other")] != [r.text for r in out]
 
 
+def test_one_digit_dates_come_back_as_the_same_day(spark):
+    out = hidden(spark, ["on 1980/1/5, 5.1.1980 and 1/5/1980"])
+    assert len(out[0].found) == 3
+    again = hidden(spark, [out[0].text], back=True)[0].text
+    assert [tuple(map(int, re.findall(r"\d+", d))) for d in re.findall(r"[\d/.]*\d", again)] == [(1980, 1, 5), (5, 1, 1980), (1, 5, 1980)]
+
+
 def luhn(number):
     digits = [int(c) for c in number][::-1]
     return sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])

@@ -208,7 +208,8 @@ def abroad(text: Column, key: str, back: bool) -> Column:
 def date(text: Column, key: str, back: bool) -> Column:
     """A day of the calendar: year first, or day first with dots, or month first with slashes or dashes.
 
-    Another day of the same 400 years in the same layout; numbers keep at least their width.
+    Another day of the same 400 years in the same layout; a number written with one digit may take
+    two, so the key restores the day, and the text only if days and months have two digits.
     """
     parts = F.transform(F.split(text, "[-/.]"), lambda p: F.struct(p.cast("int").alias("n"), F.length(p).alias("w")))
 

@@ -119,8 +119,8 @@ class Landmarks:
 
     def values(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.words)))
-        for begin in range(0, len(words), 1024):
-            some = words[begin: begin + 1024]
+        for begin in range(0, len(words), 128):  # bounds the table of occurrences by landmarks
+            some = words[begin: begin + 128]
             number, feature, weight = subsequences(some)
             known = self.place[feature] < len(self.features)
             order = np.flatnonzero(known)[np.argsort(number[known], kind="stable")]
@@ -172,11 +172,11 @@ class Machine:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         out = np.zeros(len(words))
-        for begin in range(0, len(words), 65536):
-            some = words[begin: begin + 65536]
+        for begin in range(0, len(words), 8192):
+            some = words[begin: begin + 8192]
             number, feature, weight = subsequences(some)
             sums = np.bincount(number, self.weights[feature] * weight, len(some))
-            out[begin: begin + 65536] = sums / norms(some)
+            out[begin: begin + 8192] = sums / norms(some)
         return out + self.bias
 
     def margins(self, texts: list[str]) -> np.ndarray:
@@ -235,7 +235,8 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     if not len(y) or abs(y.sum()) == len(y):
         share = float((y > 0).mean()) if len(y) else 0.0
         return Machine(np.zeros(LETTERS**3, np.float32), 0.0, 1e-3, float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -30, 30)))
-    bags = [{clean_word(t) for t in sentence_words(x)} or {""} for x in texts]
+    shared: dict[str, str] = {}  # one object per word, however many texts hold it
+    bags = [{shared.setdefault(w, w) for w in map(clean_word, sentence_words(x))} or {""} for x in texts]
     toxic, other = Counter(), Counter()
     for bag, sign in zip(bags, y):
         (toxic if sign > 0 else other).update(bag)
@@ -253,24 +254,27 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     root = vectors[:, keep] / np.sqrt(values[keep])
     others = landmarks.values(negatives) @ root
 
-    def fit(positives: list[str], more: list[str]) -> Machine:
-        x = np.concatenate([landmarks.values(positives) @ root, others, landmarks.values(more) @ root])
+    def fit(positives: Counter, more: Counter) -> Machine:
+        counts = [positives, Counter(negatives), more]
+        x = np.concatenate([landmarks.values(list(positives)) @ root, others, landmarks.values(list(more)) @ root])
+        times = np.array([n for c in counts for n in c.values()], np.float64)
         signs = np.where(np.arange(len(x)) < len(positives), 1.0, -1.0)
-        cost = 5.0 * len(x) / np.where(signs > 0, len(positives), len(x) - len(positives))
-        w, bias = train_svm(x, signs, cost)
+        share = np.where(signs > 0, times[signs > 0].sum(), times[signs < 0].sum())
+        w, bias = train_svm(x, signs, 5.0 * times.sum() * times / share)
         return Machine(landmarks.folded(root @ w), bias, 1.0, 0.0)
 
     words = sorted(set().union(*bags))
     # Sure words stand for a text; elsewhere the machine picks.
-    sure = [w for b in toxic_bags for w in sorted(b & strong)]
-    machine = fit(sure or ranked[: max(1, len(ranked) // 50)], [])
+    sure = Counter(w for b in toxic_bags for w in sorted(b & strong))
+    machine = fit(sure or Counter(ranked[: max(1, len(ranked) // 50)]), Counter())
     for _ in range(ROUNDS):
         score = dict(zip(words, machine.word_scores(words).tolist()))
         picked = [max(sorted(b), key=score.__getitem__) for b in toxic_bags if not b & strong]
-        positives = sure + [w for w in picked if not other[w]] or picked
-        hardest = [max(sorted(b - strong) or [""], key=lambda w: score.get(w, -9.0)) for b, s in zip(bags, y) if s < 0]
+        positives = sure + Counter(w for w in picked if not other[w]) or Counter(picked)
+        hardest = Counter(max(sorted(b - strong) or [""], key=lambda w: score.get(w, -9.0)) for b, s in zip(bags, y) if s < 0)
         machine = fit(positives, hardest)
-    machine.slope, machine.offset = _platt(machine.margins(texts), y)
+    margins = [machine.margins(texts[i: i + 100]) for i in range(0, len(texts), 100)]
+    machine.slope, machine.offset = _platt(np.concatenate(margins), y)
     machine.known = {}
     return machine
 
