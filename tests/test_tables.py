@@ -81,6 +81,13 @@ def test_half_open_range(spark):
     assert filters.range_filter(one, "dateCreated", 1558806288000, 1558806323000, False, True).count() == 0
 
 
+def test_pages_by_last_key(spark):
+    df = spark.range(100).repartition(5)
+    first = [r["id"] for r in filters.page(df, ["id"], 10).collect()]
+    assert [r["id"] for r in filters.page(df, ["id"], 10, after=first[-1]).collect()] == list(range(10, 20))
+    assert [r["id"] for r in filters.page(df, ["id"], 10, start=10).collect()] == list(range(10, 20))
+
+
 def test_positions_within_hot_key(spark):
     """Most rows in one key, many equal order values, some NULL keys."""
     rand = random.Random(3)
