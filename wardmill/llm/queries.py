@@ -106,7 +106,42 @@ def op7_url_filter(spark, d):
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
-@query("op8_license_scan")
+def license_sql() -> str:
+    """The licence scan of documents in SQL, its template terms as a table of values."""
+    weight, vectors, other = licenses.weights(licenses.TEMPLATES)
+    rows = ", ".join(
+        f"('{term}', {weight[term]!r}, '{name}', {part!r})" for name, vector in vectors.items() for term, part in vector.items()
+    )
+    return f"""
+with vector(term, weight, template, part) as (values {rows}),
+weight as (select distinct term, weight from vector),
+line as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line,
+  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 place from documents),
+word as (select doc_id, place, unnest(regexp_extract_all(lower(line), '{licenses.TERM}')) term from line),
+counted as (select doc_id, place, term, count(*) n from word group by all),
+valued as (select c.doc_id, c.place, c.term, n * coalesce(weight, cast({other!r} as double)) v
+  from counted c left join weight w on w.term = c.term),
+norm as (select doc_id, place, sqrt(sum(v * v)) norm from valued group by all),
+dot as (select doc_id, place, template, sum(v * part) dot from valued join vector using (term) group by all),
+scored as (select doc_id, place, template, round(dot / norm, 6) score from dot join norm using (doc_id, place)),
+best as (select doc_id, place, max(score) score, max_by(template, (score, template)) template
+  from scored where score >= {licenses.THRESHOLD} group by all),
+own as (select doc_id, arg_min(template, (-score, place)) template, max(score) score, arg_min(place, (-score, place)) place,
+  count(*) lines from best group by doc_id),
+written as (select doc_id, count(*) filter (trim(line) <> '') lines from line group by doc_id),
+marked as (select d.doc_id, concat_ws('/', source, lang, cast(d.doc_id as varchar)) path, own.template, own.score, own.place,
+    regexp_extract(concat_ws('/', source, lang, cast(d.doc_id as varchar)), '^(.*)/', 1) folder, own.lines = written.lines is_file
+  from documents d join written using (doc_id) left join own using (doc_id)),
+given as (select folder up, arg_min(template, (-score, template)) template from marked where is_file group by folder),
+nearest as (select m.folder, arg_max(up, length(up)) up, arg_max(g.template, length(up)) template
+  from (select distinct folder from marked) m join given g on m.folder = up or up = '' or starts_with(m.folder, up || '/')
+  group by m.folder)
+select doc_id, path, coalesce(m.template, n.template) license, score, place,
+  case when m.template is null then n.up end folder
+from marked m left join nearest n using (folder)"""
+
+
+@query("op8_license_scan", license_sql())
 def op8_license_scan(spark, d):
     """Documents as files named by their id in the folders source/lang."""
     docs = read(spark, d, "documents")
