@@ -44,7 +44,7 @@ def test_pipeline_stages_equal_plain_python(spark, tmp_path):
 
     one = written(toxic(spark, docs, SMALL), "one")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-    machine = toxicity.train(*toxicity.training_texts(docs, labels))
+    machine = toxicity.fitted(toxicity.training_rows(docs, labels))
     rows = [r for r in docs.collect() if machine.scores([r.text or ""])[0] < toxicity.REJECT]
     assert Counter(one.collect()) == Counter(rows) and len(rows) < docs.count()
 

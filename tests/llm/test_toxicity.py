@@ -67,10 +67,10 @@ def test_folded_weights_equal_the_sum_over_landmarks():
 def test_held_out_rows_are_not_learnt(spark):
     df = spark.createDataFrame([(i, str(i)) for i in range(60)] + [(None, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, None), (None, 1), (999, 1)], "doc_id long, toxic int")
-    learnt, _ = toxicity.training_texts(df, labels)
-    assert sorted(map(int, learnt)) == [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
-    some, marks = toxicity.training_texts(df, labels, most=5)
-    assert len(some) == 10 and sum(marks) == 5
+    learnt = toxicity.training_rows(df, labels).collect()
+    assert sorted(int(r.text) for r in learnt) == [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    some = toxicity.training_rows(df, labels, most=5).collect()
+    assert len(some) == 10 and sum(r.toxic for r in some) == 5
     held = {r.doc_id: r.h for r in df.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("h")).collect()}
     assert all(held[i] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in range(60)) and held[None] is False
 

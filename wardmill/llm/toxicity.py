@@ -30,6 +30,8 @@ DECAY, SPAN = 0.7, 5
 LETTERS = 64
 LANDMARKS = 256
 ROUNDS = 3
+# First letters that may mark a family of words.
+STEM = 4
 # Most labelled texts of each label that the machine is trained on.
 TRAIN_TEXTS = 2000
 # Most words that stand for the other texts.
@@ -213,20 +215,28 @@ def surprise(up: float, down: float, share: float) -> float:
     return up * np.log(part / share) + (down * np.log((1 - part) / (1 - share)) if down else 0.0)
 
 
-def sure_words(toxic_bags: list[set[str]], other: Counter, share: float) -> set[str]:
-    """Words that mark toxic texts beyond chance.
+def sure_words(toxic_bags: list[set[str]], other: Counter, other_begins: Counter, share: float) -> set[str]:
+    """Words that mark toxic texts beyond chance, or whose first letters do.
+
+    ``other`` and ``other_begins`` count the other texts with a word and with a beginning.
 
     Copies of a text are one piece of evidence: bags with the same least word hash, as near copies
     mostly have, share one vote.
     """
     marks = [min(zlib.crc32(w.encode()) for w in bag) for bag in toxic_bags]
     votes = Counter(marks)
-    counts: dict[str, float] = {}
-    for bag, mark in zip(toxic_bags, marks):
-        for word in bag:
-            counts[word] = counts.get(word, 0.0) + 1 / votes[mark]
-    least = np.log(len(counts.keys() | other.keys())) + 5  # chance alone gives hardly any such word
-    return {w for w, n in counts.items() if surprise(n, other[w], share) > least}
+
+    def sure(parts: list[set[str]], others: Counter) -> set[str]:
+        counts: dict[str, float] = {}
+        for own, mark in zip(parts, marks):
+            for part in own:
+                counts[part] = counts.get(part, 0.0) + 1 / votes[mark]
+        least = np.log(len(counts.keys() | others.keys())) + 5  # chance alone gives hardly any
+        return {p for p, n in counts.items() if surprise(n, others[p], share) > least}
+
+    whole = sure(toxic_bags, other)
+    begun = sure([{w[:STEM] for w in bag if len(w) > STEM} for bag in toxic_bags], other_begins)
+    return whole | {w for bag in toxic_bags for w in bag if w[:STEM] in begun and len(w) > STEM and not other[w]}
 
 
 def train(texts: list[str], labels: list[int]) -> Machine:
@@ -243,7 +253,8 @@ def train(texts: list[str], labels: list[int]) -> Machine:
     up, down = (y > 0).sum(), (y < 0).sum()
     odds = {w: n * np.log((n / up) / ((other[w] + 0.5) / down)) for w, n in toxic.items()}
     toxic_bags = [b for b, s in zip(bags, y) if s > 0]
-    strong = sure_words(toxic_bags, other, up / (up + down))
+    other_begins = Counter(p for b, s in zip(bags, y) if s < 0 for p in {w[:STEM] for w in b if len(w) > STEM})
+    strong = sure_words(toxic_bags, other, other_begins, up / (up + down))
     ranked = sorted(odds, key=lambda w: (-odds[w], w))
     by_hash = sorted(other.keys() - strong, key=lambda w: (zlib.crc32(w.encode()), w))
     negatives = by_hash[:TRAIN_WORDS]
@@ -283,8 +294,8 @@ def is_held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``most`` labelled rows of each label that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> DataFrame:
+    """Rows (toxic, text) of at most ``most`` labelled rows of each label that are not held out.
 
     Rows are picked by a hash of their id from the labels alone; the texts are then joined to them.
     """
@@ -295,10 +306,26 @@ def training_texts(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS)
     picked = known.filter("toxic = 1").orderBy(ranked, "id").limit(most).unionByName(
         known.filter("toxic = 0").orderBy(ranked, "id").limit(most)
     )
-    rows = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(
+    return docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).join(
         F.broadcast(picked), "id"  # at most twice ``most`` rows
-    ).select("toxic", "text", F.xxhash64("id", "text").alias("h")).distinct().orderBy("h", "text").collect()
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    ).distinct().select("toxic", "text")
+
+
+def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = sorted((text, toxic) for batch in batches for text, toxic in zip(batch["text"], batch["toxic"]))
+    machine = train([t for t, _ in rows], [y for _, y in rows])
+    yield pd.DataFrame({
+        "weights": [machine.weights.tobytes()], "bias": [machine.bias], "slope": [machine.slope], "offset": [machine.offset],
+    })
+
+
+def fitted(rows: DataFrame) -> Machine:
+    """The machine trained on rows (toxic, text), of which there is a bounded number, in one task."""
+    kind = "weights binary, bias double, slope double, offset double"
+    row = rows.repartition(1).mapInPandas(_fit, kind).first()
+    if row is None:
+        return train([], [])
+    return Machine(np.frombuffer(row["weights"], np.float32), row["bias"], row["slope"], row["offset"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS):
@@ -311,7 +338,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS):
     * No labelled rows: 0 for all texts (within 1e-12); one label only: near that label for all.
     * Null ids are in no training set; repeated rows are learnt once. Long texts are scored whole.
     """
-    machine = train(*training_texts(docs, labels, most))
+    machine = fitted(training_rows(docs, labels, most))
     parts = machine.weights, machine.bias, machine.slope, machine.offset
 
     @F.pandas_udf("double")
