@@ -71,3 +71,28 @@ def test_odd_rows(spark):
         assert found.columns == [*documents(spark).columns, "passages"]
         assert [r for r in found.collect() if r.passages] == [] and found.count() == len(rows())
         assert decontaminate.mark_passages(documents(spark, []), items).collect() == []
+
+
+def test_copies_with_every_few_words_replaced(spark):
+    items = [(i, " ".join(f"q{i}w{j}" for j in range(40))) for i in range(9)]
+    docs = []
+    for i, text in items:
+        own, every = text.split(), 5 + i % 3
+        edit = " ".join("new" if j % every == every - 1 else w for j, w in enumerate(own))
+        docs.append((100 * i, prose(i, 30) + " " + edit + " " + prose(i + 50, 30)))
+        # An item with no other copy, with exact copies of its own, and with more of them than edited ones.
+        docs += [(100 * i + n, prose(n, 20) + " " + text) for n in range(1, 1 + i // 3 * 3)]
+    df, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, p.item): p.score for r in decontaminate.mark_passages(df, table).collect() for p in r.passages}
+    assert got == {(d, d // 100): plain_score(words(items[d // 100][1]), words(t)) for d, t in docs}
+    assert all(got[100 * i, i] >= 0.7 for i, _ in items)
+
+
+def test_bound_leaves_out_no_passage():
+    pick = random.Random(7)
+    for _ in range(300):
+        a = [pick.randrange(6) for _ in range(pick.randint(1, 12))]
+        b = [pick.randrange(9) for _ in range(pick.randint(1, 30))]
+        for least in (0.3, 0.5, 0.9):
+            if plain_score(a, b) >= least:
+                assert decontaminate.may_reach(np.unique(np.array(a, np.uint64)), len(a), np.array(b, np.uint64), least)

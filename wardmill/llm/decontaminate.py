@@ -1,10 +1,10 @@
-"""Benchmark passages in training texts: rare word n-grams as seeds, then Smith-Waterman alignment.
+"""Benchmark passages in training texts: word n-grams as seeds, then Smith-Waterman alignment.
 
-A first pass counts in how many documents each n-gram of the test items occurs. An item's seeds are
-its n-grams that are no more frequent than the middle one of its own: every item keeps at least half
-of them, also an item that was copied to a third of all documents. A second pass looks for seeds,
-joins the passage around each to its item and aligns the two word by word. Words that were changed,
-left out or put in cost part of the score only.
+Every n-gram of an item is a seed, however frequent: an edited copy may have kept any of them, and
+only one. A pass over the documents looks for seeds and joins the passage around each to its item. A
+passage that holds too few of the item's words to reach the score, as one around a frequent n-gram
+does, is left; the others are aligned word by word. Words that were changed, left out or put in cost
+part of the score only.
 
 Words are letters and digits: white space and ASCII punctuation separate, A-Z count as a-z.
 The items travel with the job, in blocks of at most ``ITEM_WORDS`` words; more items make more blocks,
@@ -51,36 +51,21 @@ class Items:
         self.keys, self.key_of = np.unique(everywhere, return_inverse=True)
         self.item_of = np.repeat(np.arange(len(own)), [len(o) for o in own])
         self.place_of = np.concatenate([*(np.arange(len(o)) for o in own), np.empty(0, int)]).astype(np.int64)
-        self.use(np.ones(len(everywhere), bool))
-
-    def use(self, rows: np.ndarray) -> None:
-        """Look for these (item, place) rows only."""
-        order = np.flatnonzero(rows)[np.argsort(self.key_of[rows], kind="stable")]
-        self.rows = order
-        self.starts = np.searchsorted(self.key_of[order], np.arange(len(self.keys) + 1))
+        self.rows = np.argsort(self.key_of, kind="stable")
+        self.starts = np.searchsorted(self.key_of[self.rows], np.arange(len(self.keys) + 1))
         self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.keys[np.unique(self.key_of[order])] & _U((1 << 20) - 1)).astype(np.int64)] = True
-
-    def choose_seeds(self, counts: dict[int, int]) -> None:
-        """Keep the n-grams of each item that are no more frequent than its middle one."""
-        per_key = np.array([counts.get(int(k), 0) for k in self.keys.astype(np.int64)], np.int64)
-        seen = per_key[self.key_of]
-        rows = np.zeros(len(seen), bool)
-        for item in range(len(self.words)):
-            own = np.arange(*np.searchsorted(self.item_of, [item, item + 1]))
-            if len(own):
-                rows[own] = seen[own] <= np.sort(seen[own])[(len(own) - 1) // 2]
-        self.use(rows)
+        self.filter[(self.keys & _U((1 << 20) - 1)).astype(np.int64)] = True
+        self.vocabulary = [np.unique(w) for w in self.words]
 
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and keys of the n-grams in use that a run of words holds."""
+        """Places and keys of the items' n-grams that a run of words holds."""
         places, keys = [], []
         for size in self.sizes:
             found = grams(words, size)
             at = np.flatnonzero(self.filter[(found & _U((1 << 20) - 1)).astype(np.int64)])
             key = np.searchsorted(self.keys, found[at])
             key = np.minimum(key, len(self.keys) - 1)
-            same = (self.keys[key] == found[at]) & (self.starts[key + 1] > self.starts[key])
+            same = self.keys[key] == found[at]
             places.append(at[same])
             keys.append(key[same])
         if not places:
@@ -106,6 +91,20 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def may_reach(vocabulary: np.ndarray, size: int, words: np.ndarray, least: float) -> bool:
+    """Whether ``words`` hold enough of an item's words for an alignment with the share ``least``.
+
+    A score of ``least`` needs that share of the item's ``size`` words as matches, and each further
+    word of the text costs as much as half a match, so the alignment's length is bounded too.
+    """
+    if not len(words):
+        return False
+    known = vocabulary[np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)] == words
+    inside = np.concatenate([[0], np.cumsum(known)])
+    width = min(len(words), int(np.ceil(size * (3 - 2 * least))))
+    return (inside[width:] - inside[:-width]).max() >= least * size - 1e-9
+
+
 def passages(items: Items, words: np.ndarray, least: float) -> list[dict]:
     """The best passage for each item that a text holds, as word places in the text."""
     places, keys = items.hits(words)
@@ -126,6 +125,8 @@ def passages(items: Items, words: np.ndarray, least: float) -> list[dict]:
                 spans.append([begin, end])
         best = (0.0, 0, 0)
         for begin, end in spans:
+            if not may_reach(items.vocabulary[item], len(own), words[begin:end], least):
+                continue
             score, stop = align(own, words[begin:end])
             share = score / (MATCH * len(own))
             if share > best[0]:
@@ -136,22 +137,6 @@ def passages(items: Items, words: np.ndarray, least: float) -> list[dict]:
     return out
 
 
-def _counts(texts: list[str | None]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(texts)
-        counts = np.zeros(len(items.keys), np.int64)
-        for batch in (piece for batch in batches for piece in pieces(batch, "t")):
-            words, bounds = word_hashes(batch.column("t"), punctuation=True)
-            places, keys = items.hits(words)
-            own = np.searchsorted(bounds, places, "right") - 1  # n-grams over two texts count too: they only rank seeds
-            both = np.unique(own * len(items.keys) + keys)
-            counts += np.bincount(both % len(items.keys), minlength=len(items.keys)) if len(both) else 0
-        seen = np.flatnonzero(counts)
-        yield pa.record_batch({"gram": pa.array(items.keys[seen].astype(np.int64)), "n": pa.array(counts[seen])})
-
-    return run
-
-
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> list[list]:
     """Items with words in blocks of bounded size, each a list of rows (id, text)."""
     rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
@@ -166,20 +151,13 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int)
     return [b for b in blocks if b]
 
 
-def finder(docs: DataFrame, text_col: str, ids: list, texts: list[str | None], least: float):
-    """A function of a text column: the passages of one block of items.
-
-    The pass over ``docs`` that ranks the seeds runs here.
-    """
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    seen = rows.mapInArrow(_counts(texts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = {r["gram"]: r["n"] for r in seen.collect()}  # at most one row per n-gram of the block
+def finder(ids: list, texts: list[str | None], least: float):
+    """A function of a text column: the passages of one block of items."""
     name = "string" if any(isinstance(i, str) for i in ids) else "long"
 
     @F.arrow_udf(f"array<struct<item:{name},score:double,begin:int,end:int>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         items = Items(texts)
-        items.choose_seeds(counts)
         kind = pa.list_(pa.struct([
             ("item", pa.string() if name == "string" else pa.int64()), ("score", pa.float64()),
             ("begin", pa.int32()), ("end", pa.int32()),
@@ -217,6 +195,6 @@ def mark_passages(
     kind = f"array<struct<item:{'string' if text_ids else 'bigint'},score:double,begin:int,end:int>>"
     out = F.array().cast(kind)
     for block in item_blocks(items, item_id, item_text, block_words):
-        found = finder(docs, text_col, [r["id"] for r in block], [r["t"] for r in block], least)
+        found = finder([r["id"] for r in block], [r["t"] for r in block], least)
         out = F.concat(out, found(F.col(text_col)).cast(kind))
     return docs.withColumn(name, out)
