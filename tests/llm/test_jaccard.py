@@ -73,6 +73,20 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     assert Counter((r.id, r.n, r.component) for r in found.collect()) == plain(table, 4, 85)
 
 
+def test_links_between_blocks_of_a_shared_passage(spark, monkeypatch):
+    """Two short texts meet only through a passage that many long ones hold, mostly in another block."""
+    monkeypatch.setattr(jaccard, "BLOCK", 400)
+    texts = []
+    for seed in range(6):
+        passage = " ".join(f"p{seed}x{i}" for i in range(40))
+        texts += [f"{passage} a{seed}x b{seed}x", f"{passage} c{seed}x d{seed}x"]
+        texts += [f"{passage} {prose(100 * seed + i, 200)}" for i in range(12)]
+    table = list(enumerate(texts))
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    found = jaccard.similar_documents(docs, words=4, percent=85)
+    assert Counter((r.id, r.n, r.component) for r in found.collect()) == plain(table, 4, 85)
+
+
 def test_odd_rows_and_names(spark):
     got = Counter((r.id, r.component) for r in jaccard.similar_documents(documents(spark)).collect())
     assert got[(6, -5)] == 2 and got[(None, 5)] == 1 and got[(None, None)] == 1 and got[(0, 0)] == 1 and got[(4, 3)] == 1

@@ -386,6 +386,11 @@ def possible(members: DataFrame, percent: int, forest: bool) -> DataFrame:
     return _in_runs(members, _possible(percent, forest)).distinct()
 
 
+def partners(pairs: DataFrame) -> DataFrame:
+    """The names in ``pairs``, each once."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges that join all sets linked by ``pairs``, checked by tries of each set and its partners."""
     members = pairs.select(F.col("a").alias("group"), F.explode(F.array("a", "b")).alias("name"))
@@ -458,11 +463,14 @@ def similar_documents(
     named = named.select("name", "s.k", "s.n", "s.bits")
     members = stored(candidate_groups(sets).join(named, "name"), "members")
     first = stored(possible(in_blocks(members.withColumn("part", F.col("name")), True, "bits", "part"), percent, True), "pairs")
-    # One document of each set with a possible partner is read again, for its whole set.
-    partners = first.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    ones = members.select("name", "k").distinct().join(partners, "name", "left_semi").select("k")
-    again = rows.join(ones, "k", "left_semi").dropDuplicates(["k"]).select("t")
-    whole = stored(again.mapInArrow(_sets(classes, words, _whole), "name long, n long, codes binary"), "whole-sets")
+
+    def whole_sets(names: DataFrame) -> DataFrame:
+        """Whole sets by name: one document of each is read again."""
+        ones = members.select("name", "k").distinct().join(names, "name", "left_semi").select("k")
+        again = rows.join(ones, "k", "left_semi").dropDuplicates(["k"]).select("t")
+        return stored(again.mapInArrow(_sets(classes, words, _whole), "name long, n long, codes binary"), "whole-sets")
+
+    whole = whole_sets(partners(first))
     edges = stored(linked(first, whole, percent), "links")
     roots = components(edges)
     # Groups whose sets are not all in one component: every possible pair of different ones.
@@ -472,6 +480,10 @@ def similar_documents(
     open_groups = parts.groupBy("group").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("group")
     second = possible(in_blocks(parts.join(open_groups, "group"), False, "bits", "part"), percent, False)
     second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    # Sets whose only possible partners are in other blocks of a group have no pair in the first part.
+    more = stored(partners(second).join(whole.select("name"), "name", "left_anti"), "partners")
+    if not more.isEmpty():
+        whole = whole.unionByName(whole_sets(more))
     roots = components(stored(edges.unionByName(linked(second, whole, percent)), "links"))
     least = sets.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"))
     part = least.join(roots, least["name"] == roots["node"], "left").select("name", "id", F.coalesce("root", "name").alias("root"))
