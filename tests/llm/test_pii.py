@@ -73,6 +73,29 @@ def test_no_two_values_share_a_pseudonym(spark):
     assert days.select(pii.pseudonym(F.col("v"), "k")["new"].alias("n")).distinct().count() == 3000
 
 
+def test_values_before_digits_or_capitals(spark):
+    texts = {
+        "4111 1111 1111 1111 12/27": ["card"], "4111111111111111 123": ["card"], "BE68 5390 0754 7034 USD": ["iban"],
+        "12 4111-1111-1111-1111 12": ["card"], "4111 1111 1111 1112 988-555-2485": ["phone"],
+        "25/12/1980 and 31-1-1980": ["date", "date"], "4111 1111 1111 1111 5500 0000 0000 0004": ["card", "card"],
+        "BE68 5390 0754 7034 JOHN@x.com": ["iban", "email"], "32/12/1980 31/02/1980": [], "4111111111111112 123": [],
+    }
+    for (old, kinds), new in zip(texts.items(), hidden(spark, list(texts))):
+        assert [f.kind for f in new.found] == kinds, old
+        assert (new.text == old) == (not kinds) and "4111111111111111" not in re.sub(r"[ -]", "", new.text)
+        for card in (re.sub(r"\D", "", f.new) for f in new.found if f.kind == "card"):
+            assert len(card) == 16 and luhn(card) % 10 == 0
+
+
+def test_late_days_first_stay_so_and_come_back(spark):
+    first = datetime.date(1801, 1, 1)
+    days = [first + datetime.timedelta(n) for n in range(0, 146097, 61)]
+    texts = [d.strftime("%d/%m/") + f"{d.year:04}" for d in days if d.day > 12]
+    out = [r.text for r in hidden(spark, texts)]
+    assert len(set(out)) == len(texts) and all(13 <= int(t[:2]) <= 31 and t != old for t, old in zip(out, texts))
+    assert [r.text for r in hidden(spark, out, back=True)] == texts
+
+
 def test_odd_rows(spark):
     got = Counter((r.id, r.text, len(r.found)) for r in pii.hide_private(documents(spark), "k").collect())
     assert got == Counter((r[0], r[1], 0) for r in rows())

@@ -20,10 +20,29 @@ ROUNDS = 8
 CYCLE = (189, 773)
 CYCLE_START = "1801-01-01"
 
+# Days after the 12th of a month in that time, 9 * 9833: those that can only be read day first.
+LATE_CYCLE = (9, 9833)
+# Length of account numbers by country.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _sized(size: int, countries: str) -> str:
+    """An account number of one length, in groups of four or without spaces."""
+    groups, rest = divmod(size - 4, 4)
+    last = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}"
+
+
 # Fixed formats. Each match is one value; what stands around it must not continue it.
 PATTERNS = {
     "email": r"(?<![\w.+%-])[\w.+%-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:" + "|".join(_sized(*x) for x in IBAN_SIZES.items())
+    + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4})(?![-/.]?\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
@@ -31,7 +50,12 @@ PATTERNS = {
     "abroad": r"(?<![\d+])\+\d{1,3}[ .-](?:\d{2,4}[ .-]?){2,5}(?<=\d)(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
-ANY = "|".join(PATTERNS.values())
+# A match is a whole run of digits, so that no card is cut by what stands before it.
+ANY = "|".join((PATTERNS | {"card": r"(?<!\d)\d(?:[ -]?\d){12,}+"}).values())
+# A card within a longer run: no group but the last has less than three digits.
+CARD_PART = r"^\d{3,}(?:[ -]\d{3,})*(?:[ -]\d{1,2})?$"
+# The most pieces, separators counted, that a value within a match has.
+PIECES = 37
 # A text without these holds no value at all, and is not searched.
 HINT = r"[0-9@]"
 
@@ -208,13 +232,16 @@ def abroad(text: Column, key: str, back: bool) -> Column:
 def date(text: Column, key: str, back: bool) -> Column:
     """A day of the calendar: year first, or day first with dots, or month first with slashes or dashes.
 
+    With slashes or dashes, a day after the 12th may stand first; it becomes another such day.
     Another day of the same 400 years in the same layout; a number written with one digit may take
     two, so the key restores the day, and the text only if days and months have two digits.
     """
     parts = F.transform(F.split(text, "[-/.]"), lambda p: F.struct(p.cast("int").alias("n"), F.length(p).alias("w")))
 
     def new(p: Column) -> Column:
-        year_first, day_first = F.get(p, 0)["w"] == 4, text.contains(".")
+        year_first = F.get(p, 0)["w"] == 4
+        late = ~year_first & ~text.contains(".") & (F.get(p, 0)["n"] > 12)
+        day_first = text.contains(".") | late
         year = F.when(year_first, F.get(p, 0)["n"]).otherwise(F.get(p, 2)["n"])
         month = F.when(year_first | day_first, F.get(p, 1)["n"]).otherwise(F.get(p, 0)["n"])
         day = F.when(year_first, F.get(p, 2)["n"]).when(day_first, F.get(p, 0)["n"]).otherwise(F.get(p, 1)["n"])
@@ -224,10 +251,31 @@ def date(text: Column, key: str, back: bool) -> Column:
         size = CYCLE[0] * CYCLE[1]
         place, cycle = F.pmod(number, F.lit(size)), F.floor(number / size)
         marks = F.array(symbol(F.floor(place / CYCLE[1]), CYCLE[0]), symbol(place % CYCLE[1], CYCLE[1]))
+        months = F.pmod((year - 1801) * 12 + month - 1, F.lit(4800))
+        rank = place - 12 * (months + 1)  # among the days after the 12th
+        late_marks = F.array(symbol(F.floor(rank / LATE_CYCLE[1]), LATE_CYCLE[0]), symbol(rank % LATE_CYCLE[1], LATE_CYCLE[1]))
+
+        def late_place(number: Column) -> Column:
+            """The place of a day after the 12th by its rank; its month is at most two from the average."""
+            guess = F.floor(number * 4800 / (LATE_CYCLE[0] * LATE_CYCLE[1]))
+
+            def fits(m: Column) -> Column:
+                day_ = F.date_add(F.lit(CYCLE_START).cast("date"), (number + 12 * (m + 1)).cast("int"))
+                return ((F.year(day_) - 1801) * 12 + F.month(day_) - 1 == m) & (F.dayofmonth(day_) > 12)
+
+            return number + 12 * (F.get(F.filter(F.sequence(guess - 2, guess + 2), fits), 0) + 1)
+
+        def late_written(v: Column) -> Column:
+            return let(F.get(v, 0) * LATE_CYCLE[1] + F.get(v, 1), lambda number: let(late_place(number), at_place))
 
         def written(v: Column) -> Column:
-            days = cycle * size + F.get(v, 0) * CYCLE[1] + F.get(v, 1)
-            moved = F.date_add(F.lit(CYCLE_START).cast("date"), days.cast("int"))
+            return at_place(F.get(v, 0) * CYCLE[1] + F.get(v, 1))
+
+        def at_place(there: Column) -> Column:
+            days = cycle * size + there
+            return let(F.date_add(F.lit(CYCLE_START).cast("date"), days.cast("int")), laid_out)
+
+        def laid_out(moved: Column) -> Column:
             y, m, d = F.year(moved), F.month(moved), F.day(moved)
             order = F.when(year_first, F.array(y, m, d)).when(day_first, F.array(d, m, y)).otherwise(F.array(m, d, y))
             fields = F.zip_with(p, order, lambda old, n: F.lpad(n.cast("string"), F.greatest(old["w"], F.length(n.cast("string"))), F.lit("0")))
@@ -238,7 +286,11 @@ def date(text: Column, key: str, back: bool) -> Column:
             )
 
         kind = F.concat(F.lit("date"), cycle.cast("string"))
-        return F.when(good.isNotNull() & year.between(201, 9800), let(feistel(marks, kind, key, back), written))
+        is_date = good.isNotNull() & year.between(201, 9800)
+        late_kind = F.concat(F.lit("late-date"), cycle.cast("string"))
+        return F.when(is_date & late, let(feistel(late_marks, late_kind, key, back), late_written)).when(
+            is_date, let(feistel(marks, kind, key, back), written)
+        )
 
     return let(parts, new)
 
@@ -283,13 +335,60 @@ def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     return out
 
 
+def parts_of(value: Column, key: str, back: bool) -> Column:
+    """Array of (kind, new) of a match that is no value as a whole: the values within it, and what is between.
+
+    Values begin and end at spaces or dashes. From each place the longest is taken, and the search goes on behind it.
+    """
+    kind = "array<struct<kind:string,new:string>>"
+
+    def searched(pieces: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            def tried(j: Column) -> Column:
+                def named(part: Column) -> Column:
+                    made = pseudonym(part, key, back)
+                    return let(made, lambda m: F.struct(
+                        m["kind"].alias("kind"), m["new"].alias("new"), j.alias("end"),
+                        F.when(m["kind"] == "card", part.rlike(CARD_PART)).when(
+                            m["kind"].isin("ssn", "date"),
+                            (F.coalesce(F.get(pieces, i - 1), F.lit("")) != "-") & (F.coalesce(F.get(pieces, j + 1), F.lit("")) != "-"),
+                        ).otherwise(m["kind"].isNotNull()).alias("good"),
+                    ))
+
+                return let(F.array_join(F.slice(pieces, i + 1, j - i + 1), ""), named)
+
+            ends = F.sequence(F.least(i + PIECES - 1, F.size(pieces) - 1), i)
+            best = F.get(F.filter(F.transform(ends, tried), lambda x: x["good"]), 0)
+
+            def taken(b: Column) -> Column:
+                piece = F.struct(b["kind"].alias("kind"), F.coalesce(b["new"], F.get(pieces, i)).alias("new"))
+                return F.struct(F.concat(state["out"], F.array(piece)).alias("out"), (F.coalesce(b["end"], i) + 1).alias("next"))
+
+            return F.when(i < state["next"], state).otherwise(let(best, taken))
+
+        start = F.struct(F.array().cast(kind).alias("out"), F.lit(0).alias("next"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(pieces) - 1), start, step, lambda s: s["out"])
+
+    return let(F.split(value, "(?<=[ -])|(?=[ -])"), searched)
+
+
+def pseudonyms(match: Column, key: str, back: bool) -> Column:
+    """Array of (kind, new) of a match: one if it is a value, or has no space or dash to be cut at."""
+    def cut(whole: Column) -> Column:
+        return F.when(whole["kind"].isNotNull() | ~match.rlike("[ -]"), F.array(whole)).otherwise(parts_of(match, key, back))
+
+    return let(pseudonym(match, key, back), cut)
+
+
 def hide_private(
     docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False
 ) -> DataFrame:
     """``id``, ``text`` with its private values replaced, and ``found``: array of (kind, new) in text order.
 
     Kinds are those of ``PATTERNS``. A value that fails its check stays as it is. ``back`` with the
-    same key restores the values. The first pattern that matches at a place decides.
+    same key restores the values. The first pattern that matches at a place decides; a match that
+    fails its check is searched for shorter values that begin and end at its spaces or dashes. The key
+    may not undo those: a new value can pass together with the digits behind it, as one in ten cards do.
 
     * Null texts stay null and empty texts empty, with nothing found; null ids and repeated rows stay.
     * Texts are searched whole. Repeated values get the same pseudonym in all rows.
@@ -299,13 +398,13 @@ def hide_private(
     hint = F.col("text").rlike(HINT)
     matches = F.when(hint, F.regexp_extract_all(F.col("text"), F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("matches", matches)
-    made = F.transform("matches", lambda m: pseudonym(m, key, back))
+    made = F.transform("matches", lambda m: pseudonyms(m, key, back))
     rows = rows.withColumn("made", F.when(F.size("matches") > 0, made))
     between = F.split(F.col("text"), ANY, -1)
     joined = F.array_join(F.flatten(F.zip_with(
-        between, F.concat(F.col("made"), F.array(F.lit(None).cast("struct<kind:string,new:string>"))),
-        lambda b, m: F.array(b, F.coalesce(m["new"], F.lit(""))),
+        between, F.concat(F.col("made"), F.array(F.array().cast("array<struct<kind:string,new:string>>"))),
+        lambda b, m: F.array(b, F.array_join(F.transform(m, lambda x: x["new"]), "")),
     )), "")
     text = F.when(F.size("matches") > 0, joined).otherwise(F.col("text"))
-    found = F.coalesce(F.filter("made", lambda m: m["kind"].isNotNull()), F.array().cast("array<struct<kind:string,new:string>>"))
+    found = F.coalesce(F.filter(F.flatten("made"), lambda m: m["kind"].isNotNull()), F.array().cast("array<struct<kind:string,new:string>>"))
     return rows.select("id", text.alias("text"), found.alias("found"))
