@@ -30,7 +30,7 @@ def test_equals_check(spark, name):
 
 
 def test_all_are_registered():
-    assert sorted({int(n[2:].split("_")[0]) for n in mine(entry.queries())}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in mine(entry.queries())}) == list(range(1, 14))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
 
 

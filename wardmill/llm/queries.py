@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls
+from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls, warc
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -180,3 +180,23 @@ def op10_jaccard_join(spark, d):
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
     )
+
+
+@query("op13_warc", """
+with page as (select page_id, coalesce(html, '') html from pages),
+record as (select page_id, strlen(html) payload_bytes, sha1(html) hex from page),
+parts as (select *, list_transform(range(8), lambda i: cast('0x' || substr(hex, 5 * i + 1, 5) as int)) v from record),
+named as (select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') payload_digest
+  from parts),
+first as (select *, max(page_id) over (partition by payload_digest) original from named)
+select page_id, payload_bytes, payload_digest, case when page_id = original then 'response' else 'revisit' end record_type,
+  case when page_id <> original then original end refers_to
+from first""")
+def op13_warc(spark, d):
+    folder = warc.write_archives(read(spark, d, "pages"))
+    found = warc.resolve_revisits(warc.read_archives(spark, folder))
+    return found.select(
+        F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("original").cast("long").alias("refers_to"),
+    )
