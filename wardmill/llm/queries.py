@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls, warc
+from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls, variants, warc
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -182,6 +182,48 @@ def op10_jaccard_join(spark, d):
     )
 
 
+VARIANTS = """
+with recursive crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t),
+run as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{6,}')) run from documents),
+keyed as (select run, doc_id || ':' || run k from run),
+hexed as (select run, strlen(k) size, hex(encode(k)) x from keyed),
+hashed as (select run, xor(list_reduce(list_prepend(4294967295, list_transform(range(size),
+    lambda i: cast('0x' || substr(x, 2 * i + 1, 2) as bigint))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) h from hexed, crc),
+word as (select case when h % 31 = 0 then substr(run, 1, cast(h % length(run) as bigint))
+    || substr(run, cast(h % length(run) as bigint) + 2) else run end word from hashed),
+v as materialized (select word, count(*) n from word where length(word) >= 7 group by word having count(*) >= 2),
+place as (select word, n, unnest(range(length(word))) i from v),
+cut as materialized (select word, n, i, substr(word, 1, i) || substr(word, i + 2) d from place),
+shorter as (select distinct c.word, v.word near from cut c join v on v.word = c.d),
+pair as (select a.word, b.word near from cut a join cut b on a.i = b.i and a.d = b.d and a.word <> b.word
+  union select word, near from shorter union select near, word from shorter),
+near as (select p.word, count(*) n_near, arg_min(near, (-v.n, near)) near, max(v.n) near_n
+  from pair p join v on v.word = p.near group by p.word),
+form as materialized (select v.word, v.n, coalesce(n_near, 0) n_near, case when near_n >= 10 * v.n then near end form,
+    case when near_n >= 10 * v.n then near_n end form_n from v left join near on near.word = v.word),
+way(word, stop, step) as (select word, word, 0 from form
+  union all select way.word, form.form, step + 1 from way join form on form.word = way.stop where form.form is not null),
+root as (select word, arg_max(stop, step) root from way group by word)
+select word, form, root, n, n_near, form_n from form join root using (word)"""
+
+
+def spoiled(doc_id, run):
+    """The run without one letter where its checksum says so."""
+    mark = F.crc32(F.encode(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run), "UTF-8"))
+    place = (mark % F.char_length(run)).cast("int")
+    cut = F.concat(F.substring(run, F.lit(1), place), F.substring(run, place + 2, F.char_length(run)))
+    return F.when(mark % 31 == 0, cut).otherwise(run)
+
+
+@query("op11_spelling_variants", VARIANTS)
+def op11_spelling_variants(spark, d):
+    found = variants.variants(read(spark, d, "documents"), change=spoiled)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query("op13_warc", """
 with page as (select page_id, coalesce(html, '') html from pages),
 record as (select page_id, strlen(html) payload_bytes, sha1(html) hex from page),
