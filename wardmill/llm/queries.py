@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardmill.llm import bpe, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls, variants, warc
+from wardmill.llm import bpe, collocations, decontaminate, jaccard, licenses, lines, pii, tokens, topk, toxicity, urls, variants, warc
 from wardmill.registry.base import CHECKS, QUERIES, query  # noqa: F401
 
 LINE_KEY = (
@@ -224,6 +224,31 @@ def op11_spelling_variants(spark, d):
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+@query("op12_collocations", r"""
+with piece as (select coalesce(lang, 'und') lang, row_number() over () id, unnest(regexp_split_to_array(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
+word as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from piece),
+total as (select lang, sum(len(w)) n from word group by lang),
+gram as (select lang, w, m, unnest(range(1, len(w) - m + 2)) i from word, unnest(range(1, 6)) t(m) where len(w) >= m),
+phrase as materialized (select lang, m, array_to_string(w[i:i + m - 1], ' ') phrase, any_value(w[i:i + m - 1]) words, count(*) a
+  from gram group by all having count(*) >= 100),
+cut as (select lang, phrase, words, m, a, unnest(range(1, m)) k from phrase where m > 1),
+scored as (select c.lang, c.phrase, c.a, k, l.a l, r.a r, n,
+    (1000::hugeint * c.a * n) // (l.a::hugeint * r.a) score
+  from cut c join phrase l on l.lang = c.lang and l.m = k and l.phrase = array_to_string(c.words[1:k], ' ')
+  join phrase r on r.lang = c.lang and r.m = c.m - k and r.phrase = array_to_string(c.words[k + 1:], ' ')
+  join total on total.lang = c.lang),
+best as (select *, row_number() over (partition by lang, phrase order by score, k) place from scored),
+inner_ as (select lang, words, a, s, unnest(range(1, m - s + 2)) i from phrase, unnest(range(2, 5)) t(s) where s < m),
+longer as (select lang, array_to_string(words[i:i + s - 1], ' ') phrase, max(a) a from inner_ group by all),
+kept as (select b.* from best b left join longer g on g.lang = b.lang and g.phrase = b.phrase
+  where place = 1 and (g.a is null or 100 * g.a < 100 * b.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) "rank" from kept)
+select lang, "rank", phrase, a, l, r, cast(n as bigint) n, cast(score as bigint) score from ranked where "rank" <= 2000""")
+def op12_collocations(spark, d):
+    return collocations.collocations(read(spark, d, "documents"))
+
+
 @query("op13_warc", """
 with page as (select page_id, coalesce(html, '') html from pages),
 record as (select page_id, strlen(html) payload_bytes, sha1(html) hex from page),
