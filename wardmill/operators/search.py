@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,24 +140,31 @@ def match_ids(
     )
 
 
+# Finds the keys of matching documents from an index, words per field and phrases per field.
+Match = Callable[..., DataFrame]
+
+
 def top_docs(docs: DataFrame, ids: DataFrame, rows: int, start: int = 0, key: str = KEY) -> DataFrame:
     """The documents of one page of matching keys, in key order."""
     chosen = ids.orderBy(key).offset(start).limit(rows)
     return docs.join(chosen, key, "left_semi").orderBy(key).limit(rows)
 
 
-def search_suggest(docs: DataFrame, index: DataFrame, text: str, rows: int = ROWS) -> DataFrame:
-    """Documents whose suggest field matches every space-separated word."""
+def search_suggest(docs: DataFrame, index: Any, text: str, rows: int = ROWS, match: Match = match_ids) -> DataFrame:
+    """Documents whose suggest field matches every space-separated word.
+
+    ``index`` is what ``match`` reads: a term table, or a stored index with its dictionary.
+    """
     words = [("suggest", w) for w in text.split(" ") if w]
-    return top_docs(docs, match_ids(index, words), rows)
+    return top_docs(docs, match(index, words), rows)
 
 
 def search_query(
-    docs: DataFrame, index: DataFrame, words: dict[str, str], phrases: dict[str, str],
-    rows: int = ROWS,
+    docs: DataFrame, index: Any, words: dict[str, str], phrases: dict[str, str],
+    rows: int = ROWS, match: Match = match_ids,
 ) -> DataFrame:
     """Documents that match a word per field and a phrase per field."""
-    ids = match_ids(index, list(words.items()), [(f, p.split()) for f, p in phrases.items()])
+    ids = match(index, list(words.items()), [(f, p.split()) for f, p in phrases.items()])
     return top_docs(docs, ids, rows)
 
 
@@ -173,7 +182,7 @@ def search_exact(docs: DataFrame, fields: dict[str, str], key: str = KEY, rows:
 
 
 def search_fields(
-    docs: DataFrame, index: DataFrame, fields: dict[str, str], rows: int = ROWS
+    docs: DataFrame, index: Any, fields: dict[str, str], rows: int = ROWS, match: Match = match_ids
 ) -> DataFrame:
     """Documents that match every field: string fields by value, text fields by word."""
     exact = {f: v for f, v in fields.items() if f not in SOUND_FIELDS + WORD_FIELDS}
@@ -182,7 +191,7 @@ def search_fields(
         docs = docs.filter(reduce(Column.__and__, [exact_match(f, v) for f, v in exact.items()]))
     if not words:
         return docs.orderBy(F.col(KEY).asc_nulls_last()).limit(rows)
-    ids = match_ids(index, words)
+    ids = match(index, words)
     if not exact:
         return top_docs(docs, ids, rows)
     return docs.join(ids, KEY, "left_semi").orderBy(KEY).limit(rows)

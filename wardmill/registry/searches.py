@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardmill.operators import search
+from wardmill.operators import search, term_search
 from wardmill.plans.adhoc import all_ok as every_ok
 from wardmill.registry import bindings as b
 from wardmill.registry.base import CONTROL, HIST, PERSON, query, sound_of, with_, words_of
@@ -173,6 +173,48 @@ def search_stored_index(spark, d):
     return found.select("mrn", "name", "suggest")
 
 
+def text_index(spark, d):
+    """The stored index of the documents' texts, with its dictionary and word pairs."""
+    folder = new_folder(spark, "text-index")
+    term_search.write_search_index(b.read(spark, d, "documents"), folder, [], ["text"], "doc_id")
+    return term_search.read_search_index(spark, folder, "doc_id")
+
+
+@query("search_rare_first", "with " + token_table("documents", "doc_id", ["text"]) + """
+select doc_id from posting group by doc_id
+having bool_or(term = 'the') and bool_or(term = 'and') and bool_or(term = 'worthless') and bool_or(starts_with(term, 'ou'))""")
+def search_rare_first(spark, d):
+    """Three very common clauses are read for the documents of the rare one only."""
+    words = [("text", w) for w in ("the", "AND", "worthless", "ou*")]
+    return term_search.match_rare_first(text_index(spark, d), words)
+
+
+@query("search_phrase_pairs", "with " + token_table("documents", "doc_id", ["text"]) + """
+select distinct p.doc_id from posting p
+join posting q on q.doc_id = p.doc_id and q."position" = p."position" + 1
+join posting r on r.doc_id = p.doc_id and r."position" = p."position" + 2
+where p.term = 'of' and q.term = 'the' and r.term = 'and'""")
+def search_phrase_pairs(spark, d):
+    """A phrase of the commonest words, read from the places of its word pairs."""
+    return term_search.match_rare_first(text_index(spark, d), [], [("text", ["of", "the", "and"])])
+
+
+@query("search_fields_rare_first", INDEXED + """
+select mrn, gender, city from docs where gender = 'F' and mrn in (
+  select mrn from posting where field = 'name' group by mrn having bool_or(sound = 'kstmr') and bool_or(starts_with(term, '00001')))
+  and mrn in (select p.mrn from posting p join posting q on q.mrn = p.mrn and q.field = p.field and q."position" = p."position" + 1
+    where p.field = 'street' and p.sound = 'mn' and q.sound = 'st') order by mrn limit 10""")
+def search_fields_rare_first(spark, d):
+    """Patients by sound, prefix and phrase from the stored index, the commonest clauses last."""
+    docs = search.index_docs(control(spark, d))
+    folder = new_folder(spark, "patient-index")
+    term_search.write_search_index(docs, folder, search.SOUND_FIELDS, search.WORD_FIELDS)
+    index = term_search.read_search_index(spark, folder)
+    women = docs.filter("gender = 'F'")
+    name = term_search.match_rare_first(index, [("name", "kustomer"), ("name", "00001*")], [("street", ["Main", "St."])])
+    return search.top_docs(women.join(name, "mrn", "left_semi"), name, 10).select("mrn", "gender", "city")
+
+
 @query("all_ok", with_(PERSON) + """
 select bool_and(mrn is not null and mrn <> '') all_ok from person""")
 def all_ok(spark, d):
