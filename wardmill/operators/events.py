@@ -14,10 +14,11 @@ from wardmill.operators.ordering import positions
 def name_streams(batch: DataFrame, call: str, seq: str) -> DataFrame:
     """Add the stream of each call: the type of the call's first event names it.
 
-    A call with very many events is split by the skew join.
+    Events without a call are one call together. A call with very many events is split by the skew join.
     """
-    first = batch.groupBy(call).agg(F.min_by("event_type", seq).alias("stream_type"))
-    return batch.join(first, call).withColumn("stream_uuid", stream_uuid(F.col("stream_type")))
+    first = batch.groupBy(F.col(call).alias("_call")).agg(F.min_by("event_type", seq).alias("stream_type"))
+    named = batch.join(first, F.col(call).eqNullSafe(F.col("_call"))).drop("_call")
+    return named.withColumn("stream_uuid", stream_uuid(F.col("stream_type")))
 
 
 def stream_heads(*rows: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import time as clock
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,55 +100,92 @@ def run_patient_window(
         "last_loaded", window_end(F.col("last_loaded"), ntz(now), PATIENT_WINDOW, PATIENT_GAP).alias("end")
     ).first()
     rows = incremental_filter_load(messages, ids, ntz(begin["last_loaded"]), ntz(now), time)
-    count = write_load(rows, folder, PATIENT_CONTROL_ID, load_label(begin["last_loaded"])).count()
+    label, attempt = load_label(begin["last_loaded"]), new_attempt()
+    _, seen = write_load(rows, folder, PATIENT_CONTROL_ID, label, attempt)
+    list_load(spark, folder, [PATIENT_CONTROL_ID], label, attempt)
     advance_control(spark, folder, PATIENT_CONTROL_ID, begin["end"])
-    return count
+    return seen["rows"]
 
 
-# Tables of a load folder. Each load writes its own sub-folder, so running it again replaces
-# what it wrote before. The messages and their rejects are two partitions of one table.
+# Tables of a load folder. Each attempt of a load writes folders of its own and is listed once all its tables
+# are complete; of several attempts the last listed one counts. The messages and their rejects are two
+# partitions of one table.
 MESSAGES, LOADED, REJECTED = "messages", "loaded", "rejected"
 MESSAGE_TABLE, PATIENT_TABLE = "ca_hl_7", "ca_patient"
+LISTED = "name string, load string, attempt string, at long"
 
 
-def write_load(rows: DataFrame, folder: str, table: str, label: str, *partitions: str) -> DataFrame:
-    """Write one load of a table and read it back."""
-    target = f"{folder}/{table}/load={label}"
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy(*partitions).parquet(target)
-    )
-    return rows.sparkSession.read.schema(rows.schema).parquet(target)
+def new_attempt() -> str:
+    return f"t{uuid.uuid4().hex}"
+
+
+def write_load(
+    rows: DataFrame, folder: str, table: str, label: str, attempt: str, counts: dict[str, Column] | None = None,
+    *partitions: str,
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write one attempt of a load of a table; gives the table read back, and ``counts`` of its rows.
+
+    The counts are observed by the write itself, so nothing is read again to be counted.
+    """
+    target = f"{folder}/{table}/load={label}/attempt={attempt}"
+    seen = Observation()
+    wanted = counts or {"rows": F.count("*")}
+    rows.observe(seen, *[c.alias(name) for name, c in wanted.items()]).write.partitionBy(*partitions).parquet(target)
+    found = seen.get
+    written = rows.sparkSession.read.schema(rows.schema).parquet(target)
+    return written, {name: found.get(name) or 0 for name in wanted}
+
+
+def list_load(spark: SparkSession, folder: str, names: list[str], label: str, attempt: str) -> None:
+    """Make the tables of an attempt visible together: their rows are one file."""
+    rows = [(name, label, attempt, clock.time_ns()) for name in names]
+    spark.createDataFrame(rows, LISTED).coalesce(1).write.mode("append").parquet(f"{folder}/loads")
+
+
+def listed_attempts(spark: SparkSession, folder: str, name: str) -> list[str]:
+    """The attempt that counts of each load of a table: one name per load."""
+    spark.createDataFrame([], LISTED).write.mode("ignore").parquet(f"{folder}/loads")
+    rows = spark.read.schema(LISTED).parquet(f"{folder}/loads").filter(F.col("name") == name)
+    return [r["attempt"] for r in rows.groupBy("load").agg(F.max_by("attempt", "at").alias("attempt")).collect()]
 
 
 def loaded(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """All loads of a table, with their labels as column ``load``."""
+    """All listed loads of a table, with their labels as column ``load``. Only their folders are read."""
+    name = MESSAGES if table in (MESSAGE_TABLE, "rejects") else table
+    rows = spark.read.parquet(f"{folder}/{name}")
+    rows = rows.filter(F.col("attempt").isin(listed_attempts(spark, folder, name))).drop("attempt")
     if table == MESSAGE_TABLE:
-        return spark.read.parquet(f"{folder}/{MESSAGES}").filter(F.col("status") == LOADED).drop("reason")
+        return rows.filter(F.col("status") == LOADED).drop("reason")
     if table == "rejects":
-        return spark.read.parquet(f"{folder}/{MESSAGES}").filter(F.col("status") == REJECTED)
-    return spark.read.parquet(f"{folder}/{table}")
+        return rows.filter(F.col("status") == REJECTED)
+    return rows
 
 
-def load_and_count(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
-    """Load messages as ``load_messages`` does; gives the rows of each table and of the rejects."""
+def load_and_count(
+    messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw",
+    write_control: Callable[..., tuple[DataFrame, dict[str, int]]] = write_load,
+) -> dict[str, int]:
+    """Load messages as ``load_messages`` does; gives the rows of each table and of the rejects.
+
+    ``write_control`` writes the control rows.
+    """
     status = F.when(F.col("reason").isNull(), LOADED).otherwise(REJECTED)
     rows = intake(messages, ids, text).withColumn("status", status)
-    written = write_load(rows, folder, MESSAGES, label, "status")
+    attempt, spark = new_attempt(), messages.sparkSession
+    kinds = {kind: F.count_if(F.col("status") == kind) for kind in (LOADED, REJECTED)}
+    written, counts = write_load(rows, folder, MESSAGES, label, attempt, kinds, "status")
     good = written.filter(F.col("status") == LOADED).select("Id", "CreateDate")
-    control = write_load(good, folder, HL7_CONTROL, label)
-    return {
-        MESSAGE_TABLE: good.count(), HL7_CONTROL: control.count(),
-        REJECTED: written.filter(F.col("status") == REJECTED).count(),
-    }
+    _, control = write_control(good, folder, HL7_CONTROL, label, attempt)
+    list_load(spark, folder, [MESSAGES, HL7_CONTROL], label, attempt)
+    return {MESSAGE_TABLE: counts[LOADED], HL7_CONTROL: control["rows"], REJECTED: counts[REJECTED]}
 
 
 def load_messages(messages: DataFrame, ids: list[str], folder: str, label: str, text: str = "raw") -> dict[str, int]:
     """Load readable messages and their control rows, keeping the others with a reason.
 
     The source is read and parsed once, for loaded and rejected messages together. The control
-    rows are two columns read back from what was written, so both tables hold the same messages.
-    The result is the number of rows found in each table after it was written.
+    rows are two columns read back from what was written, so both tables hold the same messages, and
+    both become visible at once. The result is the number of rows that each write counted.
     """
     counts = load_and_count(messages, ids, folder, label, text)
     return {name: counts[name] for name in (MESSAGE_TABLE, HL7_CONTROL)}
@@ -162,7 +201,10 @@ def load_patients(spark: SparkSession, folder: str, label: str) -> dict[str, int
     tables = {
         PATIENT_TABLE: patient_documents(parsed, []), PATIENT_CONTROL_ID: patient_control(parsed, [])
     }
-    return {name: write_load(rows, folder, name, label).count() for name, rows in tables.items()}
+    attempt = new_attempt()
+    counts = {name: write_load(rows, folder, name, label, attempt)[1]["rows"] for name, rows in tables.items()}
+    list_load(spark, folder, list(tables), label, attempt)
+    return counts
 
 
 def file_to_tables(messages: DataFrame, folder: str, label: str = "file") -> dict[str, int]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardmill import models
 from wardmill.functions.times import local_to_millis, ntz
-from wardmill.operators import events, filters, logs, tables, upserts
+from wardmill.operators import events, file_versions, filters, logs, tables, upserts
 from wardmill.plans import loads
 from wardmill.registry import bindings as b
 from wardmill.registry.base import FAULTY, HIST, MESSAGE, PERSON, query, with_
@@ -20,6 +20,7 @@ from wardmill.registry.scalars import CSV
 from wardmill.registry.scans import LOG_COLUMNS
 from wardmill.session import new_folder
 from wardmill.sources.stores import read_hl7_text
+from wardmill.streaming.events import CALLS, start_append
 from wardmill.streaming.loads import read_stream, start_load
 
 # Orders before this day are the table, later ones the updates.
@@ -74,6 +75,21 @@ def log_and_retries(spark, d):
     return log, tries
 
 
+LATER = VERSIONS.replace(f"""where o_orderdate >= timestamp '{SPLIT}'""", f"""where o_orderdate >= timestamp '{SPLIT}' and 'customer_' || o_custkey >= 'customer_6'""")
+
+
+@query("upsert_touched_files", with_(LATER) + """
+select * from updates union all
+select base.* from base anti join updates using (model, subscriber)""")
+def upsert_touched_files(spark, d):
+    """A table of file versions; the updates' keys lie in some of its files, and only those are written again."""
+    base, updates = versions(spark, d)
+    folder, keys = new_folder(spark, "file-versions"), ["subscriber", "model"]
+    file_versions.create_files(base, folder, keys)
+    file_versions.upsert_files(folder, updates.filter("subscriber >= 'customer_6'"), keys, "seq")
+    return file_versions.read_version(spark, folder)
+
+
 @query("upsert_log", with_(HIST) + "," + RETRY.replace("{all}", "n = 2"))
 def upsert_log(spark, d):
     log, tries = log_and_retries(spark, d)
@@ -161,6 +177,45 @@ def last_loaded(spark, d):
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
+# The uuid of a stream whose type has the hash h.
+STREAM_UUID = """substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-3' || substr(h, 14, 3) || '-'
+  || substr('89ab', 1 + (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4, 1) || substr(h, 18, 3) || '-'
+  || substr(h, 21, 12) stream_uuid"""
+
+
+@query("append_events_null_call", f"""
+with own as (select event_id, event_type, props body, case when event_id % 5 > 0 then event_id // 10 end call_id from events),
+typed as (select *, first_value(event_type) over (partition by call_id order by event_id) stream_type from own),
+placed as (select *, row_number() over (partition by stream_type order by call_id nulls first, event_id) "version",
+  md5('ns:URL' || stream_type) h from typed)
+select {STREAM_UUID}, stream_type, "version", event_type, body from placed""")
+def append_events_null_call(spark, d):
+    """A fifth of the events has no call; they are one call together."""
+    seq = F.col("event_id")
+    call = F.when(seq % 5 > 0, F.floor(seq / 10))
+    rows = b.read(spark, d, "events").select(call.alias("call_id"), seq.alias("seq"), "event_type", F.col("props").alias("body"))
+    return events.append_events(None, rows).select("stream_uuid", "stream_type", "version", "event_type", "body")
+
+
+@query("append_events_stream", f"""
+with typed as (select event_id, event_type, props body, event_id // 10 call_id,
+    first_value(event_type) over (partition by event_id // 10 order by event_id) stream_type from events),
+placed as (select *, row_number() over (partition by stream_type order by call_id % 3, call_id, event_id) "version",
+  md5('ns:URL' || stream_type) h from typed)
+select {STREAM_UUID}, stream_type, "version", event_type, body from placed""")
+def append_events_stream(spark, d):
+    """Calls of ten events arrive in three batches; the stream is stopped and started again between them."""
+    seq = F.col("event_id")
+    event = F.struct(seq.alias("seq"), "event_type", F.col("props").alias("body"))
+    calls = b.read(spark, d, "events").groupBy(F.floor(seq / 10).alias("call_id")).agg(F.collect_list(event).alias("events"))
+    folder = new_folder(spark, "event-stream")
+    for number in range(3):
+        calls.filter(F.col("call_id") % 3 == number).write.mode("append").parquet(f"{folder}/calls")
+        stream = spark.readStream.schema(CALLS).parquet(f"{folder}/calls")
+        start_append(stream, f"{folder}/log", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/log").select("stream_uuid", "stream_type", "version", "event_type", "body")
+
+
 @query("append_events", """
 with typed as (
   select event_id, event_type, props body, cast(ts as date) call_id, ts >= timestamp '2024-01-16 00:00:00' later,
@@ -260,6 +315,32 @@ def write_pair(spark, d):
     )
 
 
+@query("write_pair_atomic", with_(FAULTY, GOOD) + """,
+step as (select 'failed' step, timestamp '2024-01-16 00:00:00' until union all select 'again', timestamp '2024-02-01 00:00:00')
+select step, 'ca_hl_7' table_name, mrn "Id", created_s "CreateDate" from good join step on created < until
+union all select step, 'ca_hl_7_control', mrn, created_s from good join step on created < until""")
+def write_pair_atomic(spark, d):
+    """The second load's control rows cannot be written at first: what is seen then, and after it ran again."""
+    def fail(*_):
+        raise OSError("the control rows cannot be written")
+
+    folder, messages = new_folder(spark, "load"), b.faulty_messages(spark, d)
+    later = F.col("created") >= ntz("2024-01-16 00:00:00")
+    loads.load_messages(messages.filter(~later), ["msg_id"], folder, "first")
+    try:
+        loads.load_and_count(messages.filter(later), ["msg_id"], folder, "second", write_control=fail)
+    except OSError:
+        pass
+
+    def seen(step):
+        both = [loads.loaded(spark, folder, t).select(F.lit(t).alias("table_name"), "Id", "CreateDate") for t in ("ca_hl_7", "ca_hl_7_control")]
+        return reduce(DataFrame.unionByName, both).withColumn("step", F.lit(step))
+
+    failed = seen("failed")
+    loads.load_messages(messages.filter(later), ["msg_id"], folder, "second")
+    return failed.unionByName(seen("again")).select("step", "table_name", "Id", "CreateDate")
+
+
 @query("load_counts", with_(FAULTY, GOOD) + """
 select 'ca_hl_7' table_name, count(*) "rows" from good union all
 select 'ca_hl_7_control', count(*) from good union all
@@ -267,10 +348,8 @@ select 'ca_patient', count(*) from good union all
 select 'ca_patient_control', count(*) from good""")
 def load_counts(spark, d):
     folder = new_folder(spark, "load")
-    loads.file_to_tables(b.faulty_messages(spark, d).select("raw"), folder)
-    names = ["ca_hl_7", "ca_hl_7_control", "ca_patient", "ca_patient_control"]
-    named = [loads.loaded(spark, folder, n).select(F.lit(n).alias("table_name")) for n in names]
-    return reduce(DataFrame.unionByName, named).groupBy("table_name").agg(F.count("*").alias("rows"))
+    counts = loads.file_to_tables(b.faulty_messages(spark, d).select("raw"), folder)
+    return spark.createDataFrame(list(counts.items()), "table_name string, rows long")
 
 
 @query("file_to_tables", with_(MESSAGE) + """

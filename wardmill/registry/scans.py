@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 from wardmill import models
 from wardmill.functions.documents import json_decode
 from wardmill.functions.times import local_to_millis, ntz
-from wardmill.operators import filters, hl7, logs, patients
+from wardmill.operators import filters, hl7, logs, paged, patients
 from wardmill.operators.search import index_docs
+from wardmill.plans import aggregates
 from wardmill.plans.adhoc import adhoc, adhoc_model, check_schema, decode_as
 from wardmill.registry import bindings as b
 from wardmill.registry.base import (
@@ -237,6 +238,17 @@ def agg_log(spark, d):
     return adhoc(spark, "select symbol, date, price from {agg}", models.EXECUTION_AGG, agg=agg)
 
 
+@query("error_agg_incremental", with_(HIST) + AGG)
+def error_agg_incremental(spark, d):
+    """Three loads, the second of them run twice, first over a part of its calls; read from the stored counts."""
+    rows, folder = b.hist(spark, d, response=False), new_folder(spark, "error-counts")
+    at, one, two = F.col("start_time"), ntz("2024-01-11 00:00:00"), ntz("2024-01-20 12:00:00")
+    aggregates.add_errors(rows.filter((at >= one) & (at < ntz("2024-01-15 00:00:00"))), folder, "b")
+    for label, own in {"a": at < one, "b": (at >= one) & (at < two), "c": at >= two}.items():
+        aggregates.add_errors(rows.filter(own), folder, label)
+    return aggregates.agg_log(spark, folder)
+
+
 @query("stored_doc_read_json", """
 select event_id "key", cast(json_extract_string(props, '$.k') as bigint) k from events""")
 def stored_doc_read_json(spark, d):
@@ -349,3 +361,14 @@ def search_page(spark, d):
 @query("search_all_page", with_(PERSON) + "select mrn, email from person order by mrn limit 100 offset 5")
 def search_all_page(spark, d):
     return filters.page(index_docs(control(spark, d)), ["mrn"], 100, 5).select("mrn", "email")
+
+
+@query("search_page_deep", with_(PERSON) + """,
+place as (select mrn, email, row_number() over (order by mrn) - 1 place, count(*) over () total from person)
+select mrn, email from place where place >= total // 2 and place < total // 2 + 100""")
+def search_page_deep(spark, d):
+    """A hundred documents from the middle of all, read from one file or two."""
+    docs, folder = index_docs(control(spark, d)).select("mrn", "email"), new_folder(spark, "paged")
+    paged.write_paged(docs, folder, ["mrn"], file_rows=500)
+    total = spark.read.parquet(f"{folder}/directory").agg(F.sum("rows")).first()[0]
+    return paged.read_page(spark, folder, ["mrn"], 100, total // 2)

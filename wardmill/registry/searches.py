@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardmill.operators import search, term_search
+from wardmill.operators import search, segments, term_search
 from wardmill.plans.adhoc import all_ok as every_ok
 from wardmill.registry import bindings as b
 from wardmill.registry.base import CONTROL, HIST, PERSON, query, sound_of, with_, words_of
@@ -215,6 +215,27 @@ def search_fields_rare_first(spark, d):
     return search.top_docs(women.join(name, "mrn", "left_semi"), name, 10).select("mrn", "gender", "city")
 
 
+@query("index_segments", """with now_docs as (
+  select doc_id, case when doc_id % 7 = 0 then 'given again in ' || coalesce(lang, 'no') || ' words' else text end text
+  from documents where doc_id % 11 <> 1 or doc_id % 5 = 4), """ + token_table("now_docs", "doc_id", ["text"]) + """
+select field, term, "position", doc_id from posting""")
+def index_segments(spark, d):
+    """Documents indexed in five batches: the fourth withdraws some of the first ones, the last gives some again."""
+    docs, folder = b.read(spark, d, "documents").select("doc_id", "text", "lang"), new_folder(spark, "segments")
+    batch, gone, again = F.col("doc_id") % 5, F.col("doc_id") % 11 == 1, F.col("doc_id") % 7 == 0
+    text = F.concat(F.lit("given again in "), F.coalesce("lang", F.lit("no")), F.lit(" words"))
+    for number in range(5):
+        rows = docs.filter(batch == number)
+        withdrawn = None
+        if number == 3:
+            rows, withdrawn = rows.filter(~gone), docs.filter(gone & (batch < 3))
+        if number == 4:
+            rows = rows.filter(~again).unionByName(docs.filter(again & (~gone | (batch == 4))).withColumn("text", text))
+        segments.add_batch(rows, folder, [], ["text"], withdrawn, key="doc_id", fanout=3)
+    index = segments.read_segments(spark, folder, key="doc_id")
+    return index.select("field", "term", F.col("position").cast("long").alias("position"), "doc_id")
+
+
 @query("all_ok", with_(PERSON) + """
 select bool_and(mrn is not null and mrn <> '') all_ok from person""")
 def all_ok(spark, d):
