@@ -18,23 +18,26 @@ from wardmill.operators.manifests import read_list, write_list
 from wardmill.operators.upserts import any_null, upsert
 
 FILES = "file string, rows long"
+# Rows of a file: what one touched key makes an upsert read and write again.
+FILE_ROWS = 1_000_000
 
 
-def write_files(rows: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+def write_files(rows: DataFrame, folder: str, keys: list[str], file_rows: int = FILE_ROWS) -> DataFrame:
     """Write rows by key to new files; gives their names and row numbers."""
     path = f"{folder}/data/{uuid.uuid4().hex}"
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    laid = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    laid.write.option("maxRecordsPerFile", file_rows).parquet(path)
     spark = rows.sparkSession
     written = spark.read.schema(rows.schema).parquet(path)
     return written.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
 
 
-def create_files(rows: DataFrame, folder: str, keys: list[str]) -> None:
+def create_files(rows: DataFrame, folder: str, keys: list[str], file_rows: int = FILE_ROWS) -> None:
     """The first version of a table."""
     spark = rows.sparkSession
     spark.createDataFrame([(rows.schema.json(),)], "schema string").coalesce(1).write.parquet(f"{folder}/schema")
     number, _ = read_list(spark, folder, FILES)
-    write_list(write_files(rows, folder, keys), folder, number + 1)
+    write_list(write_files(rows, folder, keys, file_rows), folder, number + 1)
 
 
 def read_files(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
@@ -57,6 +60,7 @@ def touched_files(base: DataFrame, updates: DataFrame, keys: list[str]) -> list[
 
 def upsert_files(
     folder: str, updates: DataFrame, keys: list[str], seq: str | None = None, set_columns: list[str] | None = None,
+    file_rows: int = FILE_ROWS,
 ) -> int:
     """Upsert a table of file versions as ``upserts.upsert`` does; gives the new version's number.
 
@@ -69,5 +73,5 @@ def upsert_files(
     touched = set(touched_files(read_files(spark, folder, names), updates, keys)) if names else set()
     merged = upsert(read_files(spark, folder, sorted(touched)), updates, keys, seq, set_columns)
     kept = spark.createDataFrame([f for f in files if f["file"] not in touched], FILES)
-    write_list(kept.unionByName(write_files(merged, folder, keys)), folder, number + 1)
+    write_list(kept.unionByName(write_files(merged, folder, keys, file_rows)), folder, number + 1)
     return number + 1

@@ -85,7 +85,7 @@ def upsert_touched_files(spark, d):
     """A table of file versions; the updates' keys lie in some of its files, and only those are written again."""
     base, updates = versions(spark, d)
     folder, keys = new_folder(spark, "file-versions"), ["subscriber", "model"]
-    file_versions.create_files(base, folder, keys)
+    file_versions.create_files(base, folder, keys, file_rows=500)
     file_versions.upsert_files(folder, updates.filter("subscriber >= 'customer_6'"), keys, "seq")
     return file_versions.read_version(spark, folder)
 
