@@ -3,8 +3,9 @@
 Texts are laid out as words with one blank after each. Prefix sums of a polynomial over these bytes give a
 64-bit fingerprint of every n-gram with a few array operations. Words are fingerprinted first, then pairs and
 so on: an n-gram can be frequent only if the two shorter ones in it are, so each level passes over the texts
-with a filter of the frequent fingerprints of the level before. The filter has ``FILTER_BITS`` bits, whatever
-the corpus; when it fills, more n-grams are counted and the results stay.
+with a filter of the frequent fingerprints of the level before. A first pass shuffles only the first half of
+each fingerprint, a few bytes each, to find those that can be frequent at all; the second pass counts them. Filters
+have ``FILTER_BITS`` bits, whatever the corpus; when one fills, more n-grams are counted and the results stay.
 
 A task reduces the n-grams of some megabytes to one row per fingerprint: a second fingerprint, the number of
 occurrences, and a pointer to one of them (document, first and last byte). Within the task all occurrences are
@@ -18,6 +19,7 @@ ones. Only phrases that share all 96 bits would be taken for one.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,9 @@ from wardmill.llm.words import mixed
 # Bits of the filter of frequent fingerprints.
 FILTER_BITS = 26
 # Bytes of text taken at a time.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+# Buckets of a sketch that a task keeps before it hands them on; a range of them has about as many in all.
+ENTRIES = 1 << 20
 # Language of documents without one.
 NO_LANG = "und"
 
@@ -210,44 +214,119 @@ def reduced(block: Block, at: np.ndarray, size: int, keys: np.ndarray) -> tuple[
     )
 
 
-def _level(size: int, lanes):
-    """Rows of the n-grams of one size. With size 1 also one of each language with its number of words, pointing to no bytes."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, powers = Filter(lanes.value) if lanes is not None else None, {}
-        for batch in batches:
+class Walk:
+    """The blocks of some batches, each with its documents' numbers and language seeds."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        self.batches, self.powers = batches, {}
+
+    def __iter__(self) -> Iterator[tuple[Block, np.ndarray, np.ndarray, np.ndarray]]:
+        """A block, and for each of its texts the document, the language's seed, and where the text began in front of it."""
+        for batch in self.batches:
             docs = batch.column("doc").to_numpy()
             names = batch.column("lang").dictionary_encode()
             langs = names.indices.to_numpy()
-            lang_seeds = np.array([lang_seed(n) for n in names.dictionary.to_pylist()], _U)
+            seeds = np.array([lang_seed(n) for n in names.dictionary.to_pylist()], _U)
             for data, bounds, numbers, before in blocks(batch.column("text")):
-                block = Block(data, bounds, powers)
-                if not len(block.first):
-                    continue
-                seeds = lang_seeds[langs[numbers]]
-
-                def pointed(at, size, keys, marks, counts):
-                    text, begin = block.text[at], block.begins[at]
-                    end = block.ends[at + size - 1] if size else begin
-                    shift = before - bounds[text]
-                    columns = [
-                        keys.view(np.int64), marks, counts.astype(np.int64), docs[numbers[text]],
-                        (begin + shift).astype(np.int32), (end + shift).astype(np.int32),
-                    ]
-                    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in ROWS.split(", ")])
-
-                if size == 1:
-                    own = langs[numbers][block.text]
-                    which, first, counts = np.unique(own, return_index=True, return_counts=True)
-                    yield pointed(first, 0, mixed(lang_seeds[which]), np.zeros(len(which), np.int32), counts)
-                at = block.grams(size)
-                if known:
-                    shorter = block.grams(size - 1)
-                    often = np.zeros(len(block.first) + 1, bool)
-                    often[shorter] = known.has(block.keys(shorter, size - 1, seeds))
-                    at = at[often[at] & often[at + 1]]
-                if len(at):
-                    first, keys, counts = reduced(block, at, size, block.keys(at, size, seeds))
-                    yield pointed(first, size, keys, block.marks(first, size), counts)
+                block = Block(data, bounds, self.powers)
+                if len(block.first):
+                    yield block, docs[numbers], seeds[langs[numbers]], before - bounds[:-1]
+
+
+def candidates(block: Block, size: int, seeds: np.ndarray, shorter: Filter | None) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of a block whose two shorter ones may be frequent: where they begin, and their fingerprints."""
+    at = block.grams(size)
+    if shorter and len(at):
+        inner = block.grams(size - 1)
+        often = np.zeros(len(block.first) + 1, bool)
+        often[inner] = shorter.has(block.keys(inner, size - 1, seeds))
+        at = at[often[at] & often[at + 1]]
+    return at, block.keys(at, size, seeds)
+
+
+def packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending bucket numbers and counts in few bytes: differences, their bytes by place."""
+    steps = np.diff(buckets, prepend=np.uint32(0)).astype("<u4")
+    planes = np.concatenate([a.astype("<u4").view(np.uint8).reshape(-1, 4).T.ravel() for a in (steps, counts)])
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(told: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(told), np.uint8).reshape(2, 4, -1)
+    steps, counts = (np.ascontiguousarray(p.T).view("<u4").ravel() for p in planes)
+    return np.cumsum(steps, dtype=np.uint64).astype(np.uint32), counts
+
+
+def added(buckets: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each bucket once, in order, with its count up to ``least``, which is enough to know."""
+    order = np.argsort(buckets)
+    buckets, counts = buckets[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+    return buckets[starts], np.minimum(np.add.reduceat(counts.astype(np.int64), starts), least).astype(np.uint32)
+
+
+def _sketch(size: int, lanes, least: int, bits: int):
+    """Counts of the first 32 bits of fingerprints, a row for each range of them: what n-grams cannot be frequent."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shorter = Filter(lanes.value) if lanes is not None else None
+        held, entries = [], 0
+
+        def told():
+            buckets, counts = added(*(np.concatenate(part) for part in zip(*held)), least)
+            cuts = np.searchsorted(buckets >> np.uint32(32 - bits), np.arange((1 << bits) + 1))
+            ranges = np.flatnonzero(np.diff(cuts))
+            parts = [packed(buckets[cuts[r]: cuts[r + 1]], counts[cuts[r]: cuts[r + 1]]) for r in ranges]
+            return pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(parts, pa.binary())], ["range", "told"])
+
+        for block, _, seeds, _ in Walk(batches):
+            _, keys = candidates(block, size, seeds, shorter)
+            if len(keys):
+                held.append(added((keys >> _U(32)).astype(np.uint32), np.ones(len(keys), np.uint32), least))
+                entries += len(held[-1][0])
+            if entries > ENTRIES:
+                yield told()
+                held, entries = [], 0
+        if held:
+            yield told()
+
+    return rows
+
+
+def _often(least: int):
+    """The buckets of a range with enough n-grams, as the least fingerprint of each."""
+    def rows(frame):
+        import pandas as pd
+
+        buckets, counts = added(*(np.concatenate(part) for part in zip(*map(unpacked, frame["told"]))), least)
+        return pd.DataFrame({"key": (buckets[counts >= least].astype(_U) << _U(32)).view(np.int64)})
+
+    return rows
+
+
+def _level(size: int, lanes):
+    """Rows of the n-grams of one size. With size 1 also one of each language with its number of words, pointing to no bytes."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = Filter(lanes.value)
+        for block, docs, seeds, shift in Walk(batches):
+            def pointed(at, size, keys, marks, counts):
+                text, begin = block.text[at], block.begins[at]
+                end = block.ends[at + size - 1] if size else begin
+                columns = [
+                    keys.view(np.int64), marks, counts.astype(np.int64), docs[text],
+                    (begin + shift[text]).astype(np.int32), (end + shift[text]).astype(np.int32),
+                ]
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in ROWS.split(", ")])
+
+            if size == 1:
+                which, first, counts = np.unique(seeds[block.text], return_index=True, return_counts=True)
+                yield pointed(first, 0, mixed(which), np.zeros(len(which), np.int32), counts)
+            at = block.grams(size)
+            keys = block.keys(at, size, seeds)
+            often = wanted.has(keys)
+            at, keys = at[often], keys[often]
+            if len(at):
+                first, keys, counts = reduced(block, at, size, keys)
+                yield pointed(first, size, keys, block.marks(first, size), counts)
 
     return rows
 
@@ -284,9 +363,14 @@ def frequent_phrases(
         F.xxhash64(id_col, text_col).alias("doc"), F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
+    size_of = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = max(4, (size_of // (4 * ENTRIES)).bit_length())
     found, lanes = [], None
     for size in range(1, most_words + 1):
-        rows = texts.mapInArrow(_level(size, lanes), ROWS)
+        told = texts.mapInArrow(_sketch(size, lanes, least, bits), "range int, told binary")
+        often = told.groupBy("range").applyInPandas(_often(least), "key long")
+        wanted = spark.sparkContext.broadcast(key_filter(often))
+        rows = texts.mapInArrow(_level(size, wanted), ROWS)
         summed = rows.groupBy("key", "mark").agg(
             F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("doc", "first", "last")]
         )
