@@ -52,3 +52,12 @@ def test_odd_rows(spark):
     found = licenses.scan_licenses(documents(spark), F.lit("a/b"))
     assert found.count() == documents(spark).count() and found.filter("license is not null").count() == 0
     assert licenses.scan_licenses(documents(spark, []), F.lit("a")).collect() == []
+
+
+def test_lines_of_very_many_terms(spark):
+    """A line of 20,000 joined words ends no task, and the licence beside it is found."""
+    long = "a." * 20_000 + "b-" * 20_000
+    texts = [f"Released under the MIT License\n{long}", f"{long} license", f"license {'x ' * 20_000}"]
+    docs = spark.createDataFrame([(i, t, f"f/{i}") for i, t in enumerate(texts)], "doc_id long, text string, path string")
+    found = {r.id: r.license for r in licenses.scan_licenses(docs, F.col("path")).collect()}
+    assert found[0] == "MIT" and len(found) == 3

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import re
 from collections import Counter
 
@@ -105,3 +106,76 @@ def test_odd_rows(spark):
 def test_main_path_has_no_python(spark):
     plan = pii.hide_private(documents(spark), "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def permuted(symbols, kind, key):
+    """The network in plain Python, over (value, number of values)."""
+    now, half = [v for v, _ in symbols], len(symbols) // 2
+    for number in range(pii.ROUNDS):
+        first = number % 2 == 0
+        name = "|".join([key, kind, str(number), ",".join(map(str, now[half:] if first else now[:half]))])
+        for i, (_, size) in enumerate(symbols):
+            if (i < half) == first:
+                now[i] = (now[i] + int(hashlib.sha256(f"{name}|{i}".encode()).hexdigest()[:14], 16)) % size
+    return now
+
+
+def plain(kind, text, key):
+    """Pseudonyms of valid values in plain Python."""
+    if kind == "ip":
+        return ".".join(map(str, permuted([(int(p), 256) for p in text.split(".")], "ip", key)))
+    if kind == "email":
+        local, host = text.split("@")
+        runs = [next(((a, n) for a, n in pii.RUNS if a <= ord(c) < a + n), None) for c in local]
+        new = iter(permuted([(ord(c) - r[0], r[1]) for c, r in zip(local, runs) if r], "email@" + host.lower(), key))
+        return "".join(chr(r[0] + next(new)) if r else c for c, r in zip(local, runs)) + "@" + host
+    if kind == "card":
+        digits = permuted([(int(c), 10) for c in text[:-1]], "card", key)
+        body = "".join(map(str, digits))
+        return body + str(-luhn(body + "0") % 10)
+    if kind == "phone":
+        fixed = {0: 2, 3: 2}
+        digits = [int(c) for c in text if c.isdigit()]
+        moved = permuted([(d - fixed.get(i, 0), 10 - fixed.get(i, 0)) for i, d in enumerate(digits)], "phone", key)
+        new = iter(str(v + fixed.get(i, 0)) for i, v in enumerate(moved))
+        return re.sub(r"\d", lambda _: next(new), text)
+    if kind == "iban":
+        own = [(ord(c) - 48, 10) if c.isdigit() else (ord(c) - 65, 26) for c in text[4:]]
+        body = "".join(chr(v + (48 if r == 10 else 65)) for v, (_, r) in zip(permuted(own, "iban" + text[:2], key), own))
+        rest = int("".join(str(int(c, 36)) for c in body + text[:2] + "00")) % 97
+        return text[:2] + f"{98 - rest:02}" + body
+    day = (datetime.date.fromisoformat(text) - datetime.date(1801, 1, 1)).days
+    cycle, place = divmod(day, 189 * 773)
+    one, two = permuted([(place // 773, 189), (place % 773, 773)], f"date{cycle}", key)
+    return (datetime.date(1801, 1, 1) + datetime.timedelta(cycle * 189 * 773 + one * 773 + two)).isoformat()
+
+
+def test_equals_plain_python(spark):
+    values = {
+        "ip": ["1.2.3.4", "255.0.10.9"], "email": ["a.B-9@x.org", "João_Żółw+λ.東京@Mail.example.com", "𝔸b@x.org", "Иван1@y.ru"],
+        "card": ["4111111111111111", "5500000000000004", "4222222222222"], "phone": ["988-555-2485", "(212) 555-0101"],
+        "iban": ["DE89370400440532013000", "GB82WEST12345698765432"], "date": ["1980-02-29", "2024-12-31", "0201-01-01", "9800-12-31"],
+    }
+    given = [(kind, v) for kind, own in values.items() for v in own]
+    for key in ("k", "another key"):
+        for (kind, value), row in zip(given, hidden(spark, [f"x: {v}, y" for _, v in given], key)):
+            assert row.text == f"x: {plain(kind, value, key)}, y" and [f.kind for f in row.found] == [kind]
+
+
+def test_letters_of_any_script_are_private(spark):
+    texts = ["João@x.com", "write to émile.zola@x.fr!", "東京@x.jp"]
+    out = hidden(spark, texts)
+    for old, new in zip(texts, out):
+        before, after = (t.split("@")[0].split(" ")[-1] for t in (old, new.text))
+        assert len(new.found) == 1 and all(a != b for a, b in zip(before, after) if a not in ".") or before[:2] != after[:2]
+    assert [r.text for r in hidden(spark, [r.text for r in out], back=True)] == texts
+
+
+def test_texts_of_very_many_parts(spark):
+    """Long runs of labels, words, digits and groups end no task."""
+    n = 20_000
+    texts = [
+        "x a@b" + ".c" * n, "a." * 1_000 + "b@c.de", "9" * n, "1.2." * n, "@" * n, "a@" * n, "a@b" * n, "+1" * n,
+    ]
+    found = hidden(spark, texts)
+    assert [len(r.found) for r in found][:2] == [1, 1] and found[2].text == texts[2] and len(found) == len(texts)

@@ -47,6 +47,8 @@ TEMPLATES = {
 COMMON = {"a", "all", "by", "is", "of", "source", "terms", "the", "this", "to", "under", "use", "v", "version", "work"}
 COMMON_PART = 0.2
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+# The same for texts of any length: possessive loops do not recurse.
+LONG_TERM = r"[a-z0-9]++(?:[.-][a-z0-9]++)*+"
 
 
 def weights(templates: dict[str, str]) -> tuple[dict[str, float], dict[str, dict[str, float]], float]:
@@ -115,7 +117,7 @@ def statements(files: DataFrame, templates: dict[str, str], threshold: float) ->
     key = "|".join(re.escape(t) for t in key_terms(vectors, threshold))
     lines = files.filter(hint).select("k", F.posexplode(F.split(lowered, "\n", -1)).alias("place", "line"))
     lines = lines.filter(F.col("line").rlike(rf"(?<![a-z0-9])(?:{key})(?![a-z0-9])"))
-    lines = lines.withColumn("terms", F.regexp_extract_all("line", F.lit(TERM), 0))
+    lines = lines.withColumn("terms", F.regexp_extract_all("line", F.lit(LONG_TERM), 0))
     most = may_reach(F.col("terms"), weight, vectors, other)
     words = lines.filter(most >= threshold - 1e-6).select("k", "place", F.explode("terms").alias("term"))
     counts = words.groupBy("k", "place", "term").agg(F.count("*").alias("n"))

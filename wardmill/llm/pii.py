@@ -38,9 +38,19 @@ def _sized(size: int, countries: str) -> str:
     return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}"
 
 
-# Fixed formats. Each match is one value; what stands around it must not continue it.
+# What stands before the @ of an address: letters, marks and digits of any script, and some signs.
+LOCAL = r"[\p{L}\p{M}\p{N}_.+%-]"
+# Runs of letters and digits whose members become one another: their first code points and sizes. Fixed values:
+# ASCII; Latin-1 and the mixed-case pairs behind it; Greek, Cyrillic, Hebrew, Arabic, Thai; kana, CJK, Hangul.
+RUNS = [
+    (0x30, 10), (0x41, 26), (0x61, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8), (0x100, 128), (0x391, 17), (0x3A3, 7),
+    (0x3AC, 35), (0x410, 32), (0x430, 32), (0x450, 16), (0x5D0, 27), (0x621, 26), (0x641, 10), (0xE01, 46), (0x3041, 86),
+    (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172),
+]
+# Fixed formats. Each match is one value; what stands around it must not continue it. Loops over groups without a
+# bound are possessive: they do not recurse, however long a text is.
 PATTERNS = {
-    "email": r"(?<![\w.+%-])[\w.+%-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?<!{LOCAL}){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "iban": r"(?<![A-Za-z0-9])(?:" + "|".join(_sized(*x) for x in IBAN_SIZES.items())
     + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4})(?![-/.]?\d)",
@@ -295,25 +305,46 @@ def date(text: Column, key: str, back: bool) -> Column:
     return let(parts, new)
 
 
+def run_of(code: Column) -> Column:
+    """The run (first, size) a code point stands in; null if in none."""
+    out = None
+    for first, size in RUNS:
+        here = F.struct(F.lit(first).alias("first"), F.lit(size).alias("size"))
+        inside = code.between(first, first + size - 1)
+        out = F.when(inside, here) if out is None else out.when(inside, here)
+    return out
+
+
 def email(text: Column, key: str, back: bool) -> Column:
-    """Letters and digits before the @ become others of their sort; the host is kept."""
-    local = F.regexp_extract(text, r"^[^@]*", 0)
-    own = F.filter(chars(local), lambda c: c.rlike("[A-Za-z0-9]"))
+    """Letters and digits before the @ become others of their run; the host is kept.
+
+    Letters outside ``RUNS`` stay, the others change around them.
+    """
+    local, host = F.regexp_extract(text, r"^[^@]*", 0), F.regexp_extract(text, r"@.*$", 0)
+
+    def known(c: Column) -> Column:
+        return let(F.ascii(c), lambda code: F.struct(code.alias("code"), run_of(code).alias("run"), c.alias("c")))
+
+    def written(own: Column) -> Column:
+        mine = F.filter(own, lambda x: x["run"].isNotNull())
+        marks = F.transform(mine, lambda x: symbol(x["code"] - x["run"]["first"], x["run"]["size"]))
 
-    def mark(c: Column) -> Column:
-        code = F.ascii(c)
-        return F.when(code < 58, symbol(code - 48, 10)).when(code < 91, symbol(code - 65, 26)).otherwise(symbol(code - 97, 26))
+        def placed(moved: Column) -> Column:
+            new = F.zip_with(mine, moved, lambda x, v: F.decode(
+                F.unhex(F.lpad(F.hex(x["run"]["first"] + v), 4, "0")), "UTF-16BE"))
 
-    moved = feistel(F.transform(own, mark), F.concat(F.lit("email"), F.lower(F.regexp_extract(text, r"@.*$", 0))), key, back)
+            def put(state: Column, x: Column) -> Column:
+                hit = x["run"].isNotNull()
+                return F.struct(
+                    F.concat(state["out"], F.when(hit, F.get(new, state["at"])).otherwise(x["c"])).alias("out"),
+                    (state["at"] + hit.cast("int")).alias("at"),
+                )
 
-    def written(both: Column) -> Column:
-        def char(c: Column, v: Column) -> Column:
-            code = F.ascii(c)
-            return F.char(v + F.when(code < 58, 48).when(code < 91, 65).otherwise(97))
+            return F.concat(F.aggregate(own, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), put, lambda s: s["out"]), host)
 
-        return F.concat(refilled(local, "[A-Za-z0-9]", F.zip_with(both["own"], both["moved"], char)), F.regexp_extract(text, r"@.*$", 0))
+        return F.when(F.size(mine) > 0, let(feistel(marks, F.concat(F.lit("email"), F.lower(host)), key, back), placed))
 
-    return F.when(F.size(own) > 0, let(F.struct(own.alias("own"), moved.alias("moved")), written))
+    return let(F.transform(chars(local), known), written)
 
 
 KINDS = {"email": email, "iban": iban, "date": date, "ip": ip, "ssn": ssn, "phone": phone, "abroad": abroad, "card": card}
@@ -385,7 +416,8 @@ def hide_private(
 ) -> DataFrame:
     """``id``, ``text`` with its private values replaced, and ``found``: array of (kind, new) in text order.
 
-    Kinds are those of ``PATTERNS``. A value that fails its check stays as it is. ``back`` with the
+    Kinds are those of ``PATTERNS``. A value that fails its check stays as it is, and so do forms that are
+    none of them: IPv6 addresses, ten bare digits, dates with month names, and years before 201 or after 9800. ``back`` with the
     same key restores the values. The first pattern that matches at a place decides; a match that
     fails its check is searched for shorter values that begin and end at its spaces or dashes. The key
     may not undo those: a new value can pass together with the digits behind it, as one in ten cards do.
