@@ -56,6 +56,19 @@ def test_backlog_equals_windows(spark, tmp_path):
     assert ends == {0: 180, 1: 180, 2: 180, 3: 360, 4: 2160, 5: 2160}
 
 
+def test_a_window_reads_the_days_it_covers(spark, tmp_path):
+    source = timed(spark, 0, 10, 180, 2000, 2160, 20_000)
+    loads.write_by_day(source, str(tmp_path / "by-day"))
+    by_day, now = spark.read.parquet(str(tmp_path / "by-day")), START + dt.timedelta(minutes=21_000)
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    assert loads.run_windows(by_day, ["n"], one, now, dt.timedelta(days=2)) == loads.run_windows(source, ["n"], two, now, dt.timedelta(days=2)) == 6
+    assert ids(spark, one) == ids(spark, two)
+    window = loads.in_window(by_day, "created", START, START + dt.timedelta(hours=3), True)
+    assert window.select(F.col("_metadata.file_path")).distinct().count() == 1
+    scan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in scan and "2024-01-01" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_no_messages(spark, tmp_path):
     folder = str(tmp_path / "load")
     assert loads.run_windows(timed(spark, 0).limit(0), ["n"], folder, START) == 0

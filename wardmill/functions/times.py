@@ -62,24 +62,39 @@ def local_to_millis(ts: Column, tz: str = "UTC") -> Column:
     return F.timestamp_diff("SECOND", ntz(EPOCH), utc).cast("double") * F.lit(1000.0)
 
 
+# A time as most messages write it, in whole days or seconds, and the general form.
+PLAIN_TIME = r"\A\d{8}(?:\d{6})?\z"
+TIME_FORM = r"^(\d{4}(?:\d{2}){0,5})(?:\.(\d{1,6})\d*)?([+-]\d{4})?(?![\d.+-])"
+
+
+def from_digits(digits: Column) -> Column:
+    """The text of a time from its 14 digits, year to second."""
+    parts = [F.substring(digits, start, size) for start, size in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+    day, clock = F.concat_ws("-", *parts[:3]), F.concat_ws(":", *parts[3:])
+    return F.concat_ws(" ", day, clock)
+
+
 def hl7_time(text: Column, zone: str | None = "UTC") -> Column:
     """HL7 time of any precision, year to microsecond, to a timestamp; NULL if it is none.
 
     A time with an offset becomes wall-clock time of ``zone``, so times of one instant are equal;
-    without an offset, or with no zone asked for, it is taken as it stands.
+    without an offset, or with no zone asked for, it is taken as it stands. Times of 8 or 14 digits, as
+    nearly all are, are cut at fixed places.
     """
-    form = r"^(\d{4}(?:\d{2}){0,5})(?:\.(\d{1,6})\d*)?([+-]\d{4})?(?![\d.+-])"
-    digits = F.regexp_extract(text, form, 1)
-    full = F.concat(digits, F.substr(F.lit("00000101000000"), F.length(digits) + 1))
-    iso = F.regexp_replace(full, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
-    fraction = F.regexp_extract(text, form, 2)
-    wall = F.when(digits != "", F.concat(iso, F.lit("."), F.rpad(fraction, 6, "0")).try_cast("timestamp_ntz"))
-    if zone is None:
-        return wall
-    offset = F.regexp_extract(text, form, 3)
-    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
-    utc = F.timestamp_add("MINUTE", F.when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes), wall)
-    return F.when(offset == "", wall).otherwise(in_zone(utc, zone))
+    padding = F.lit("00000101000000")
+    plain = from_digits(F.concat(text, F.substr(padding, F.length(text) + 1))).try_cast("timestamp_ntz")
+    digits = F.regexp_extract(text, TIME_FORM, 1)
+    full = F.concat(digits, F.substr(padding, F.length(digits) + 1))
+    fraction = F.regexp_extract(text, TIME_FORM, 2)
+    told = F.concat(from_digits(full), F.lit("."), F.rpad(fraction, 6, "0"))
+    wall = F.when(digits != "", told.try_cast("timestamp_ntz"))
+    other = wall
+    if zone is not None:
+        offset = F.regexp_extract(text, TIME_FORM, 3)
+        minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
+        utc = F.timestamp_add("MINUTE", F.when(F.startswith(offset, F.lit("-")), minutes).otherwise(-minutes), wall)
+        other = F.when(offset == "", wall).otherwise(in_zone(utc, zone))
+    return F.when(text.rlike(PLAIN_TIME), plain).otherwise(other)
 
 
 def window_end(start: Column, now: Column, length: str, gap: str = "INTERVAL 0 SECONDS") -> Column:

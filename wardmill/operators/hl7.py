@@ -41,27 +41,22 @@ def mark(n: int) -> Column:
     return F.substring("marks", n, 1)
 
 
+# Stand around the letter of a known escape sequence until its mark takes their place: no text may hold them.
+OPENED, CLOSED = "\ufdd0", "\ufdd1"
+
+
 def unescape(value: Column) -> Column:
     """Escape sequences back to the marks they stand for, from left to right in one pass.
 
     Sequences stand between two of the message's own escape marks. One that is unknown, or not
-    closed, stays as it is; the mark that ends an unknown one may open the next.
+    closed, stays as it is; the mark that ends an unknown one may open the next. One pattern finds all
+    known ones before any mark is put in, and only in texts that hold the escape mark.
     """
-    letters = F.create_map(*[c for letter, n in ESCAPES.items() for c in (F.lit(letter), mark(n))])
-    start = F.struct(F.lit("").alias("out"), F.lit(False).alias("inside"))
-
-    def read(state: Column, part: Column) -> Column:
-        known = F.try_element_at(letters, part["text"])
-        closed = state["inside"] & ~part["last"] & known.isNotNull()
-        added = F.when(closed, known).when(state["inside"], F.concat(mark(4), part["text"])).otherwise(part["text"])
-        return F.struct(F.concat(state["out"], added).alias("out"), (~closed).alias("inside"))
-
-    def folded(parts: Column) -> Column:
-        marked = F.transform(parts, lambda p, i: F.struct(p.alias("text"), (i == F.size(parts) - 1).alias("last")))
-        return F.aggregate(marked, start, read, lambda s: s["out"])
-
-    pieces = F.split(value, quoted(mark(4)), -1)
-    return F.when(F.contains(value, mark(4)), F.get(F.transform(F.array(pieces), folded), 0)).otherwise(value)
+    escape = quoted(mark(4))
+    out = F.regexp_replace(value, F.concat(escape, F.lit(f"([{''.join(ESCAPES)}])"), escape), F.lit(f"{OPENED}$1{CLOSED}"))
+    for letter, n in ESCAPES.items():
+        out = F.replace(out, F.lit(f"{OPENED}{letter}{CLOSED}"), mark(n))
+    return F.when(F.contains(value, mark(4)), out).otherwise(value)
 
 
 def once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:

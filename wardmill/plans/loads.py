@@ -16,6 +16,7 @@ from wardmill.functions.times import millis_to_utc, ntz, window_end
 from wardmill.models import TABLE_DATE_CONTROL
 from wardmill.operators.filters import between
 from wardmill.operators.hl7 import intake, patient_control, patient_documents, patients
+from wardmill.operators.logs import DAY
 from wardmill.operators.upserts import last_per_key, upsert
 
 HL7_CONTROL, PATIENT_CONTROL_ID = "ca_hl_7_control", "ca_patient_control"
@@ -242,13 +243,28 @@ def time_of(df: DataFrame, time: str) -> Column:
     return millis_to_utc(F.col(time)) if in_millis(df, time) else F.col(time)
 
 
+def write_by_day(messages: DataFrame, folder: str, time: str = "created") -> None:
+    """Write messages in folders by day, sorted by time, so that a window reads its own days only.
+
+    A message without a time lies in no day and in no window.
+    """
+    rows = messages.withColumn(DAY, F.to_date(time_of(messages, time)))
+    rows.repartitionByRange(DAY, time).sortWithinPartitions(DAY, time).write.partitionBy(DAY).parquet(folder)
+
+
 def in_window(df: DataFrame, time: str, start: dt.datetime, end: dt.datetime, from_start: bool) -> DataFrame:
-    """Messages up to the end of a window, with or without those exactly on its start."""
+    """Messages up to the end of a window, with or without those exactly on its start.
+
+    Of a source written by day, only the folders of the window's days are read.
+    """
     if in_millis(df, time):
         low, high = ((at - EPOCH_TIME) // dt.timedelta(milliseconds=1) for at in (start, end))
     else:
         low, high = ntz(start), ntz(end)
-    return df.filter(between(time, low, high, from_start, True))
+    inside = between(time, low, high, from_start, True)
+    if DAY in df.columns:
+        inside = inside & between(DAY, F.lit(start.date()), F.lit(end.date()))
+    return df.filter(inside)
 
 
 def first_time(df: DataFrame, time: str) -> dt.datetime | None:
@@ -278,7 +294,7 @@ def run_windows(
     """Load window after window up to ``now``; gives the number of messages loaded.
 
     The first window is closed at both ends, later ones only at the end, so no message is in
-    two windows. Each window is read once. Only after an empty one is the rest searched for its
+    two windows. Each window is read once, from a source written by day (``write_by_day``) only its days. Only after an empty one is the rest searched for its
     next message, and the windows before that are skipped; many open windows are better loaded
     by ``run_backlog``. The control row moves on only after the window's tables are written.
     """
