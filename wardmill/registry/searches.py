@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardmill.functions import metaphone
 from wardmill.operators import search, segments, term_search
 from wardmill.plans.adhoc import all_ok as every_ok
 from wardmill.registry import bindings as b
@@ -60,6 +61,49 @@ def stored_patients(spark, d):
     return docs, search.patient_index(docs)
 
 
+def metaphone_sql(words: str) -> str:
+    """The codes of the column ``term`` of some words: the rules as a chain of cases, read in a recursion."""
+    def chain(part: int) -> str:
+        value = (lambda x: str(x)) if part == 1 else (lambda x: f"'{x}'")
+        letters = " ".join(
+            f"when c in ({', '.join(repr(x) for x in own)}) then case "
+            + " ".join(f"when regexp_matches(m, '{rule[0]}') then {value(rule[part])}" for rule in rules) + " end"
+            for own, rules in metaphone.RULES.items()
+        )
+        return f"case {letters} else {value(1 if part == 1 else '')} end"
+
+    return f"""read_ as (
+  select term, translate(term, '{metaphone.LETTERS[0]}', '{metaphone.LETTERS[1]}') w, null::int place, '' one, '' two from ({words})
+  union all
+  select term, w, coalesce(place, 0) + used, one || add1, two || add2 from (
+    select *, {chain(1)} used, {chain(2)} add1, {chain(3)} add2 from (
+      select * replace (coalesce(place, case when regexp_matches(w, '{metaphone.SILENT}') then 1 else 0 end) as place),
+        substr(w, coalesce(place, case when regexp_matches(w, '{metaphone.SILENT}') then 1 else 0 end) + 1, 1) c,
+        substr(w, 1, coalesce(place, case when regexp_matches(w, '{metaphone.SILENT}') then 1 else 0 end)) || '|'
+          || substr(w, coalesce(place, case when regexp_matches(w, '{metaphone.SILENT}') then 1 else 0 end) + 1) m
+      from read_ where place is null or place < length(w)))),
+code as (select term, left(one, {metaphone.LENGTH}) one, left(two, {metaphone.LENGTH}) two from read_ where place >= length(w))"""
+
+
+@query("phonetic_double", "with recursive " + metaphone_sql(f"select distinct unnest({words_of('text')}) term from documents") + """
+select term, one, two from code""")
+def phonetic_double(spark, d):
+    """The two codes of each word of the documents."""
+    words = search.postings(b.read(spark, d, "documents"), ["text"], key="doc_id", sound=False).select("term").distinct()
+    codes = words.select("term", metaphone.double_metaphone(F.col("term")).alias("c"))
+    return codes.select("term", "c.one", "c.two")
+
+
+@query("index_phonetic_double", INDEXED.replace("with ", "with recursive ", 1) + ", " + metaphone_sql("select distinct term from word") + """
+select field, unnest(case when one = '' and two = '' then [word.term] else list_distinct(list_filter([one, two], lambda x: x <> '')) end) token,
+  word.term term, "position", mrn from word join code on code.term = word.term""")
+def index_phonetic_double(spark, d):
+    """Patients indexed by both codes of each word."""
+    index = search.postings(search.index_docs(control(spark, d)), search.SOUND_FIELDS, sound=False)
+    found = metaphone.double_postings(index).withColumn("position", F.col("position").cast("long"))
+    return found.select("field", "token", "term", "position", "mrn")
+
+
 @query("update_index", with_(PERSON, CONTROL, DOCS) + """,
 now_docs as (select docs.* replace (case when c_acctbal > 0 then street else 'former address' end as street)
   from docs join customer on c_custkey = cast(mrn as bigint)),
