@@ -125,13 +125,25 @@ def test_bounds_leave_out_no_link():
     sets = sorted((np.unique(pick.integers(0, 2**60, 90, dtype=np.uint64)[: pick.integers(1, 90)]) for _ in range(20)), key=len)
     near = [np.unique(np.r_[s[1:], s[:1] + np.uint64(1)]) for s in sets]
     both = sorted(sets + near, key=len)
-    pairs = jaccard.possible_pairs(
-        np.array([len(s) for s in both]), [jaccard.parity_bits(s).tobytes() for s in both], np.arange(len(both)), 60, False
-    )
+    sizes, bits = np.array([len(s) for s in both]), [jaccard.parity_bits(s).tobytes() for s in both]
+    part = np.arange(len(both))
+    jaccard.possible_pairs(sizes, bits, part, 60)
+    marked = jaccard.may_link_others(sizes, bits, np.arange(len(both)), 60)
     for i, j in itertools.combinations(range(len(both)), 2):
         common = len(np.intersect1d(both[i], both[j]))
         if 100 * common >= 60 * (len(both[i]) + len(both[j]) - common):
-            assert (i, j) in pairs
+            assert part[i] == part[j] and marked[i] and marked[j]
+    # Sets of one part need no other.
+    assert not jaccard.may_link_others(sizes, bits, np.zeros(len(both), int), 60).any()
+
+
+def test_very_many_short_sets_that_share_a_passage(spark):
+    """One group of 6,000 sets of a few codes, some of them linked: no block gives more links than it has sets."""
+    texts = [f"common words of all rows {i} {i % 7}" for i in range(5_700)]
+    texts += [f"common words of all rows and then some more of them so that one word is little {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.id: r.component for r in jaccard.similar_documents(docs, words=4, percent=85).collect()}
+    assert all(found[i] == i for i in range(5_700)) and {found[i] for i in range(5_700, 6_000)} == {5_700}
 
 
 def test_word_hashes_follow_words():

@@ -11,9 +11,11 @@ Word counts that fix the order come from all documents, as a table of fixed size
 counts with all words of its bucket. Any order gives the same links; this one gives short lists.
 
 Equal sets are one set from the start, so copies cost a row each and no pairs. Before whole sets are
-moved, a bound from their sizes and from a bit string of the set's size leaves only pairs that are
-linked or nearly so. Components are exact: first a spanning part of those pairs is checked; then, in
-groups whose sets are not all in one component yet, every remaining pair of different components.
+moved, a bound from their sizes and from a bit string of the set's size leaves only sets that are
+linked with one of their group or nearly so. Components are exact: first a spanning part of the possible
+pairs is checked; then, in groups whose sets are not all in one component yet, the sets that may still be
+linked with another component are dealt whole, and a trie of each block is walked with all of them. Only
+checked links between different components leave a block, so it gives fewer links than it has sets.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ BUCKETS = 1 << 20
 CHUNKS = 256
 # A word class is the bit length of its count; codes of classes up to this one have at most 2**20 rows.
 GROUPED_CLASS = 20
-# Codes in one block of a join.
-BLOCK = 1 << 21
+# Codes and sets in one block of a join.
+BLOCK, BLOCK_SETS = 1 << 21, 1 << 12
 
 _U = np.uint64
 
@@ -312,11 +314,10 @@ def _folded(bits: bytes, size: int) -> np.ndarray:
     return own.view(_U)
 
 
-def possible_pairs(sizes: np.ndarray, bits: list[bytes], part: np.ndarray, percent: int, forest: bool) -> list[tuple[int, int]]:
+def possible_pairs(sizes: np.ndarray, bits: list[bytes], part: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of different parts that sizes and parity bits allow to be linked.
 
-    ``sizes`` ascend. With ``forest``, a found pair joins its parts, so few pairs are given that join
-    all that all pairs would; without, all pairs.
+    ``sizes`` ascend. A found pair joins its parts, so few pairs are given that join all that all pairs would.
     """
     found = []
     places = np.array([8 * len(b) for b in bits])
@@ -336,14 +337,13 @@ def possible_pairs(sizes: np.ndarray, bits: list[bytes], part: np.ndarray, perce
         both = sizes[near] + sizes[i]
         allowed = both - 2 * (-(-percent * both // (100 + percent)))
         for j in near[differ <= allowed].tolist():
-            if part[j] != part[i] or not forest:
+            if part[j] != part[i]:
                 found.append((i, j))
-                if forest:
-                    part[part == part[j]] = part[i]
+                part[part == part[j]] = part[i]
     return found
 
 
-def _possible(percent: int, forest: bool):
+def _possible(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for rows in _runs(batches):
@@ -351,7 +351,7 @@ def _possible(percent: int, forest: bool):
                 order = np.lexsort((names, sizes))
                 names, bits = names[order], rows.column("bits").to_pylist()
                 part = np.unique(rows.column("part").to_numpy()[order], return_inverse=True)[1]
-                pairs = possible_pairs(sizes[order], [bits[i] for i in order], part, percent, forest)
+                pairs = possible_pairs(sizes[order], [bits[i] for i in order], part, percent)
                 yield [(int(min(names[i], names[j])), int(max(names[i], names[j]))) for i, j in pairs]
 
         yield from _pair_batches(found())
@@ -359,14 +359,52 @@ def _possible(percent: int, forest: bool):
     return run
 
 
+def may_link_others(sizes: np.ndarray, bits: list[bytes], part: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets sizes and parity bits allow to be linked with a set of another part. ``sizes`` ascend."""
+    marked = np.zeros(len(sizes), bool)
+    places = np.array([8 * len(b) for b in bits])
+    for size in np.unique(places):
+        # Sets with bits of this size, and the larger ones they may be linked with, folded to it.
+        own = np.flatnonzero(places == size)
+        last = int(np.searchsorted(sizes, 100 * sizes[own[-1]] // percent, "right"))
+        table = np.stack([_folded(bits[j], int(size)) for j in range(own[0], last)])
+        for i in own.tolist():
+            end = int(np.searchsorted(sizes, 100 * sizes[i] // percent, "right"))
+            near = np.arange(i + 1, end)
+            near = near[(part[near] != part[i]) & ~(marked[near] & marked[i])]
+            if not len(near):
+                continue
+            differ = np.bitwise_count(table[near - own[0]] ^ table[i - own[0]]).sum(axis=1)
+            both = sizes[near] + sizes[i]
+            near = near[differ <= both - 2 * (-(-percent * both // (100 + percent)))]
+            if len(near):
+                marked[i] = True
+                marked[near] = True
+    return marked
+
+
+def _near(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches):
+            sizes = rows.column("n").to_numpy()
+            order = np.argsort(sizes, kind="stable")
+            part, bits = rows.column("part").to_numpy()[order], rows.column("bits").to_pylist()
+            marked = may_link_others(sizes[order], [bits[i] for i in order], part, percent)
+            chosen = pa.array(order[marked])
+            yield from rows.select(["group", "block", "name", "part"]).take(chosen).to_batches()
+
+    return run
+
+
 def _linked(percent: int):
+    """Links that join parts; a set is a part of its own where no part is given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
             for rows in _runs(batches):
                 names = rows.column("name").to_numpy()
                 sets = [np.frombuffer(c, _U) for c in rows.column("codes").to_pylist()]
                 order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-                part = np.arange(len(sets))
+                part = np.unique(rows.column("part").to_numpy()[order], return_inverse=True)[1]
                 pairs = Trie([sets[i] for i in order]).links(percent, part)
                 yield [(int(names[order[i]]), int(names[order[j]])) for i, j in pairs]
 
@@ -381,9 +419,9 @@ def _in_runs(rows: DataFrame, work) -> DataFrame:
     return dealt.mapInArrow(work, "a long, b long")
 
 
-def possible(members: DataFrame, percent: int, forest: bool) -> DataFrame:
+def possible(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets that may be linked, from ``members`` with (group, block, name, n, bits, part)."""
-    return _in_runs(members, _possible(percent, forest)).distinct()
+    return _in_runs(members, _possible(percent)).distinct()
 
 
 def partners(pairs: DataFrame) -> DataFrame:
@@ -394,11 +432,17 @@ def partners(pairs: DataFrame) -> DataFrame:
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Edges that join all sets linked by ``pairs``, checked by tries of each set and its partners."""
     members = pairs.select(F.col("a").alias("group"), F.explode(F.array("a", "b")).alias("name"))
-    members = members.distinct().join(sets, "name")
-    blocks = in_blocks(members, True, "codes")
+    members = members.distinct().join(sets, "name").withColumn("part", F.col("name"))
+    blocks = in_blocks(members, True, "codes", "part")
     return _in_runs(blocks, _linked(percent))
 
 
+def near_sets(members: DataFrame, percent: int) -> DataFrame:
+    """Rows (group, block, name, part) of sets that may be linked with another part of their block."""
+    dealt = in_blocks(members, False, "bits", "part").repartition("group", "block").sortWithinPartitions("group", "block")
+    return dealt.mapInArrow(_near(percent), "group long, block int, name long, part long")
+
+
 def candidate_groups(prefixes: DataFrame) -> DataFrame:
     """Rows (group, name): sets that share a prefix code, groups of the same sets given once."""
     codes = prefixes.filter(F.col("prefix").isNotNull()).select("name", F.explode("prefix").alias("code"))
@@ -414,13 +458,13 @@ def candidate_groups(prefixes: DataFrame) -> DataFrame:
 
 
 def in_blocks(members: DataFrame, pivot: bool, *columns: str) -> DataFrame:
-    """Members (group, name, n) dealt to blocks of about ``BLOCK`` codes, with ``columns`` carried.
+    """Members (group, name, n) dealt to blocks of about ``BLOCK`` codes and ``BLOCK_SETS`` sets, with ``columns`` carried.
 
     With ``pivot``, a block gets the sets hashed to it and the group's least set, which ties the
     blocks together. Without, every pair of parts of a group is a block, so every pair of sets meets.
     """
-    sizes = members.groupBy("group").agg(F.sum("n").alias("all"), F.min("name").alias("pivot"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("all") / BLOCK).cast("int"))
+    sizes = members.groupBy("group").agg(F.sum("n").alias("all"), F.count("*").alias("sets"), F.min("name").alias("pivot"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.greatest(F.col("all") / BLOCK, F.col("sets") / BLOCK_SETS)).cast("int"))
     rows = members.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     if pivot:
@@ -462,7 +506,7 @@ def similar_documents(
     named = sets.filter("bits is not null").groupBy("name").agg(F.min(F.struct("k", "n", "bits")).alias("s"))
     named = named.select("name", "s.k", "s.n", "s.bits")
     members = stored(candidate_groups(sets).join(named, "name"), "members")
-    first = stored(possible(in_blocks(members.withColumn("part", F.col("name")), True, "bits", "part"), percent, True), "pairs")
+    first = stored(possible(in_blocks(members.withColumn("part", F.col("name")), True, "bits", "part"), percent), "pairs")
 
     def whole_sets(names: DataFrame) -> DataFrame:
         """Whole sets by name: one document of each is read again."""
@@ -478,13 +522,13 @@ def similar_documents(
         "group", "name", "n", "bits", F.coalesce("root", "name").alias("part")
     ), "parts")
     open_groups = parts.groupBy("group").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("group")
-    second = possible(in_blocks(parts.join(open_groups, "group"), False, "bits", "part"), percent, False)
-    second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs")
-    # Sets whose only possible partners are in other blocks of a group have no pair in the first part.
-    more = stored(partners(second).join(whole.select("name"), "name", "left_anti"), "partners")
+    near = stored(near_sets(parts.join(open_groups, "group"), percent), "near-sets")
+    # Sets without a possible pair in the first part have not been built yet.
+    more = stored(near.select("name").distinct().join(whole.select("name"), "name", "left_anti"), "partners")
     if not more.isEmpty():
         whole = whole.unionByName(whole_sets(more))
-    roots = components(stored(edges.unionByName(linked(second, whole, percent)), "links"))
+    second = _in_runs(near.join(whole.select("name", "codes"), "name"), _linked(percent))
+    roots = components(stored(edges.unionByName(second), "links"))
     least = sets.filter("name is not null").groupBy("name").agg(F.min("id").alias("id"))
     part = least.join(roots, least["name"] == roots["node"], "left").select("name", "id", F.coalesce("root", "name").alias("root"))
     ids = part.groupBy("root").agg(F.min("id").alias("component"))
