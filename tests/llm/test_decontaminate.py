@@ -52,9 +52,9 @@ def test_copies_and_edited_copies(spark):
                 want.setdefault((doc, item), []).append(score)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     table = spark.createDataFrame(items, "item_id long, text string")
-    for block in (1 << 20, 40):
+    for need, bits in ((4, 1 << 20), (1, 1 << 10), (9, 1 << 26)):
         got = {}
-        for r in decontaminate.mark_passages(df, table, block_words=block).collect():
+        for r in decontaminate.mark_passages(df, table, need=need, most_bits=bits).collect():
             for p in r.passages:
                 got.setdefault((r.doc_id, p.item), []).append(p.score)
                 assert 0 <= p.begin < p.end <= len(words(r.text))
@@ -96,3 +96,56 @@ def test_bound_leaves_out_no_passage():
         for least in (0.3, 0.5, 0.9):
             if plain_score(a, b) >= least:
                 assert decontaminate.may_reach(np.unique(np.array(a, np.uint64)), len(a), np.array(b, np.uint64), least)
+
+
+def edited(text, how, every):
+    """A copy whose every so many words are replaced, left out, or followed by a new one."""
+    out = []
+    for j, w in enumerate(text.split()):
+        last = j % every == every - 1
+        out += {"replace": ["new"] if last else [w], "drop": [] if last else [w], "add": [w, "new"] if last else [w]}[how]
+    return " ".join(out)
+
+
+def test_every_copy_that_reaches_the_score_is_found(spark):
+    items = [(i, " ".join(f"q{i}w{j}" for j in range(size))) for i, size in enumerate([40, 41, 12, 7, 3])]
+    docs = [
+        (number, f"{prose(number, 37)} {edited(items[i][1], how, every)} {prose(number + 1, 20)}")
+        for number, (i, how, every) in enumerate((i, h, e) for i in range(5) for h in ("replace", "drop", "add") for e in (1, 2, 3, 4, 5))
+    ]
+    df, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(d, i): plain_score(words(text), words(t)) for d, t in docs for i, text in items}
+    got = {(r.doc_id, p.item): p.score for r in decontaminate.mark_passages(df, table).collect() for p in r.passages}
+    assert got == {k: v for k, v in want.items() if v >= 0.5}
+    assert {(2, 0), (3, 0), (5 + 2, 0), (10, 0)} <= got.keys()
+
+
+def test_seeds_of_random_alignments():
+    """No edit that keeps the score leaves fewer places with a seed than the bound says."""
+    pick = random.Random(4)
+    for _ in range(3000):
+        size = pick.randint(2, 12)
+        item, text, places = list(range(size)), [], {}
+        for w in item:
+            kind = pick.random()
+            if kind < 0.6:
+                places[w] = len(text)
+                text.append(w)
+            elif kind < 0.8:
+                text.append(99)
+            if pick.random() < 0.3:
+                text.append(99)
+        near = sum(any(w + a in places and 0 < places[w + a] - at < 3 for a in (1, 2)) for w, at in places.items())
+        for least in (0.4, 0.5, 0.8):
+            if plain_score(item, text) >= least:
+                assert near >= decontaminate.seeds_needed(size, least)
+
+
+def test_words_that_many_items_share(spark):
+    """The common words of 10,000 items are no seeds of theirs, and a text full of them meets no item."""
+    shared = "which of the following is"
+    items = spark.range(10_000).selectExpr("id item_id", f"concat('{shared} ', array_join(transform(sequence(1, 12), j -> concat('q', id, 'w', j)), ' ')) text")
+    copy = f"{shared} " + " ".join(f"q77w{j}" for j in range(1, 13))
+    docs = spark.createDataFrame([(1, " ".join([shared] * 200)), (2, f"so {copy} or"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: [p.item for p in r.passages] for r in decontaminate.mark_passages(docs, items).collect()}
+    assert got == {1: [], 2: [77], 3: []}
