@@ -1,15 +1,20 @@
-"""Licences of files: sparse TF-IDF cosine of their lines to templates, then inheritance by folder.
+"""Licences of files: sparse TF-IDF cosine of their headers and of whole files to templates, then inheritance.
 
-A line's terms are weighted by how few templates use them, common words less; a term that no template
-uses weighs most.
-The cosine to each template is a join of the line's terms with the templates' terms, summed per line.
-Lines are looked at only if they hold a key term: the heaviest terms of a template, so many that the
-others alone cannot reach the threshold. A bound on the cosine, which takes repeated terms for
-different ones, then leaves the lines worth joining. So no line that would match is left out.
+A file is compared by its parts: the whole text, its blocks (adjacent lines that hold a letter or
+digit), its comments (adjacent lines that begin with a comment mark), the sentences of its blocks, which
+may run over lines, and its lines. So a notice is found wrapped or not, beside other words or not, and a
+licence file as a whole. Templates are notices, titles, tags and the full texts of short licences.
+
+1. The template terms are weighted by how few of all files hold them; a term that no template uses weighs
+   as much as one that no file holds. That is a count per template term, a few hundred rows.
+2. Files and parts go on only if they hold a key term: the heaviest terms of a template, so many that the
+   others alone cannot reach the threshold. A bound from the number of foreign terms leaves out the parts
+   they alone keep below it. So no part that would match is left out.
+3. The cosine to each template is a join of the part's terms with the templates' terms, summed per part.
 
 A file without a statement of its own has the licence of the nearest folder above that has a licence
-file: one named so, or one that holds nothing but licence statements. Folders are resolved once each,
-by joining their parent folders with the folders of licence files.
+file: one named so, or one whose whole text reaches a template. Folders are resolved once each, by
+joining their parent folders with the folders of licence files.
 
 Only built-in expressions run here.
 """
@@ -19,128 +24,147 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.llm.licence_texts import RESERVED, templates
 from wardmill.llm.shared import stored
 
 THRESHOLD = 0.6
 FILE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
-
-# Short forms of well-known licence statements, by their public identifiers.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "MIT": "Released under the MIT License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
-    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3",
-    "MPL-2.0": "Subject to the terms of the Mozilla Public License, v. 2.0",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license",
-    "CC-BY-4.0": "Licensed under CC BY 4.0",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0",
-    "Proprietary": "All rights reserved",
-}
-# Words of any text; they count a little only.
-COMMON = {"a", "all", "by", "is", "of", "source", "terms", "the", "this", "to", "under", "use", "v", "version", "work"}
-COMMON_PART = 0.2
+TEMPLATES = templates()
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 # The same for texts of any length: possessive loops do not recurse.
 LONG_TERM = r"[a-z0-9]++(?:[.-][a-z0-9]++)*+"
+COMMENT = r"^[ \t]*(#|//|/\*|\*|--|;|%|<!--|\(\*)"
+SENTENCE_END = r"[.;!?][ \t\r\n]+"
+
+
+def terms_of(text: str) -> Counter:
+    return Counter(re.findall(TERM, text.lower()))
+
+
+def term_weight(files: int, holding: int) -> float:
+    return math.log((1 + files) / (1 + holding)) + 1
+
 
+def file_counts(texts: Column, files: DataFrame, texts_of: list[tuple[str, str]]) -> tuple[int, dict[str, int]]:
+    """The number of files, and of those that hold each template term."""
+    known = sorted(set().union(*(terms_of(t) for _, t in texts_of)))
+    found = F.array_intersect(F.regexp_extract_all(texts, F.lit(LONG_TERM), 0), F.array(*map(F.lit, known)))
+    counts = files.select(F.explode(F.concat(F.array(F.lit("")), found)).alias("term")).groupBy("term").count()
+    rows = {r["term"]: r["count"] for r in counts.collect()}
+    return rows.pop("", 0), rows
 
-def weights(templates: dict[str, str]) -> tuple[dict[str, float], dict[str, dict[str, float]], float]:
-    """Weight of each template term, unit vectors of the templates, and the weight of other terms."""
-    terms = {name: Counter(re.findall(TERM, text.lower())) for name, text in templates.items()}
-    uses = Counter(t for counts in terms.values() for t in counts)
-    weight = {
-        t: (math.log((1 + len(templates)) / (1 + n)) + 1) * (COMMON_PART if t in COMMON else 1) for t, n in uses.items()
-    }
-    vectors = {}
-    for name, counts in terms.items():
-        size = math.sqrt(sum((n * weight[t]) ** 2 for t, n in counts.items()))
-        vectors[name] = {t: n * weight[t] / size for t, n in counts.items()}
-    return weight, vectors, math.log(1 + len(templates)) + 1
 
+def unit_vectors(texts_of: list[tuple[str, str]], weight: dict[str, float]) -> list[dict[str, float]]:
+    out = []
+    for _, text in texts_of:
+        values = {t: n * weight[t] for t, n in terms_of(text).items()}
+        size = math.sqrt(sum(v * v for v in values.values()))
+        out.append({t: v / size for t, v in values.items()})
+    return out
 
-def key_terms(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]:
+
+def key_terms(vectors: list[dict[str, float]], threshold: float) -> list[str]:
     """For each template its heaviest terms, until the rest is shorter than the threshold."""
     keys = set()
-    for vector in vectors.values():
+    for vector in vectors:
         left = 1.0
         for term, part in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
-            if left < threshold**2:
+            if left < threshold**2 - 1e-9:
                 break
             keys.add(term)
             left -= part**2
     return sorted(keys)
 
 
-def may_reach(terms: Column, weight: dict[str, float], vectors: dict[str, dict[str, float]], other: float) -> Column:
-    """No less than the cosine of a line's terms to any template.
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _runs(lines: Column, kind: str, pattern: str) -> Column:
+    """The runs of adjacent lines with the pattern, as (kind, place of the first, text)."""
+
+    def cut(flags: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(flags) - 1)
+        begins = F.filter(places, lambda i: F.get(flags, i) & ~F.coalesce(F.get(flags, i - 1), F.lit(False)))
+        ends = F.filter(places, lambda i: F.get(flags, i) & ~F.coalesce(F.get(flags, i + 1), F.lit(False)))
+        return F.zip_with(begins, ends, lambda b, e: _part(kind, b, F.array_join(F.slice(lines, b + 1, e - b + 1), "\n")))
+
+    return _let(F.transform(lines, lambda line: line.rlike(pattern)), cut)
 
-    A term met n times counts n times in the line's squared length here, and n * n times in truth.
-    """
-    names = sorted(weight)
-    known = F.create_map(*[F.lit(x) for t in names for x in (t, names.index(t))])
-    weights_of = F.array(*[F.lit(weight[t]) for t in names], F.lit(other))
-    places = F.transform(terms, lambda t: F.coalesce(F.try_element_at(known, t), F.lit(len(names))))
 
-    def reach(at: Column) -> Column:
-        size = F.sqrt(F.aggregate(at, F.lit(0.0), lambda sum_, i: sum_ + F.pow(F.get(weights_of, i), 2)))
-        dots = []
-        for vector in vectors.values():
-            part = F.array(*[F.lit(weight[t] * vector.get(t, 0.0)) for t in names], F.lit(0.0))
-            dots.append(F.aggregate(at, F.lit(0.0), _adding(part)))
-        return F.greatest(*dots, F.lit(0.0)) / F.greatest(size, F.lit(1e-9))
+def _part(kind: str, place: Column, text: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), place.cast("int").alias("place"), text.alias("part"))
 
-    return F.get(F.transform(F.array(places), reach), 0)
 
+def parts_of(text: Column) -> Column:
+    """All parts of a lower-cased text, as (kind, place of the first line, part)."""
 
-def _adding(part: Column):
-    return lambda total, i: total + F.get(part, i)
+    def cut(lines: Column) -> Column:
+        def sentences(block: Column) -> Column:
+            return F.transform(F.split(block["part"], SENTENCE_END, -1), lambda s: _part("sentence", block["place"], s))
 
+        blocks = _let(_runs(lines, "block", "[a-z0-9]"), lambda b: F.concat(b, F.flatten(F.transform(b, sentences))))
+        each = F.transform(lines, lambda line, i: _part("line", i, line))
+        return F.concat(F.array(_part("file", F.lit(0), text)), blocks, _runs(lines, "comment", COMMENT), each)
 
-def statements(files: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """Rows (k, place, template, score): the best template of each line that reaches the threshold.
+    return _let(F.split(text, "\n", -1), cut)
+
+
+def may_reach(terms: Column, known: list[str], threshold: float) -> Column:
+    """False only where the terms no template uses keep every cosine below the threshold.
+
+    Such a term weighs no less than any other. Of K occurrences of D known terms none comes more than
+    K - D + 1 times, so the known part's square is at most K * (K - D + 1) such weights.
+    """
+
+    def bound(distinct: Column) -> Column:
+        listed = F.array(*map(F.lit, known))
+        foreign = F.size(F.array_except(distinct, listed))
+        most = F.size(terms) - foreign
+        square = (most * (most - (F.size(distinct) - foreign) + 1)).cast("double")
+        return square >= (threshold**2 - 1e-6) * (square + foreign)
+
+    return _let(F.array_distinct(terms), bound)
+
+
+def statements(files: DataFrame, texts_of: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """Rows (k, kind, place, template, score): the parts that reach a template of a licence.
 
     ``files`` has (k, text); ``place`` counts lines from 0.
     """
     spark = files.sparkSession
-    weight, vectors, other = weights(templates)
     lowered = F.lower(F.col("text"))
-    hint = F.lit(False)
-    for term in key_terms(vectors, threshold):
-        hint = hint | lowered.contains(term)
-    key = "|".join(re.escape(t) for t in key_terms(vectors, threshold))
-    lines = files.filter(hint).select("k", F.posexplode(F.split(lowered, "\n", -1)).alias("place", "line"))
-    lines = lines.filter(F.col("line").rlike(rf"(?<![a-z0-9])(?:{key})(?![a-z0-9])"))
-    lines = lines.withColumn("terms", F.regexp_extract_all("line", F.lit(LONG_TERM), 0))
-    most = may_reach(F.col("terms"), weight, vectors, other)
-    words = lines.filter(most >= threshold - 1e-6).select("k", "place", F.explode("terms").alias("term"))
-    counts = words.groupBy("k", "place", "term").agg(F.count("*").alias("n"))
+    number, holding = file_counts(lowered, files, texts_of)
+    weight = {t: term_weight(number, holding.get(t, 0)) for _, text in texts_of for t in terms_of(text)}
+    vectors, other = unit_vectors(texts_of, weight), term_weight(number, 0)
+    keys = F.array(*map(F.lit, key_terms(vectors, threshold)))
+    extracted = F.regexp_extract_all
+    near = files.filter(F.arrays_overlap(extracted(lowered, F.lit(LONG_TERM), 0), keys))
+    parts = near.select("k", F.posexplode(parts_of(lowered)).alias("nr", "p")).select("k", "nr", "p.*")
+    terms = parts.select("k", "nr", "kind", "place", extracted("part", F.lit(LONG_TERM), 0).alias("terms"))
+    kept = terms.filter(F.arrays_overlap("terms", keys) & may_reach(F.col("terms"), sorted(weight), threshold))
+    part = ["k", "nr", "kind", "place"]
+    counts = kept.select(*part, F.explode("terms").alias("term")).groupBy(*part, "term").agg(F.count("*").alias("n"))
+    counts = stored(counts, "licence-terms")
+    weights = spark.createDataFrame(list(weight.items()), "term string, weight double")
     table = spark.createDataFrame(
-        [(t, weight[t], name, part) for name, vector in vectors.items() for t, part in vector.items()],
-        "term string, weight double, template string, part double",
-    )
-    own = F.coalesce("weight", F.lit(other)) * F.col("n")
-    # The templates are a constant of the call, a few hundred rows.
-    sized = counts.join(F.broadcast(table.select("term", "weight").distinct()), "term", "left").select(
-        "k", "place", "term", own.alias("value")
+        [(t, number, name, part) for number, ((name, _), vector) in enumerate(zip(texts_of, vectors)) for t, part in vector.items()],
+        "term string, number int, template string, share double",
     )
-    norms = sized.groupBy("k", "place").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
-    dots = sized.join(F.broadcast(table.drop("weight")), "term").groupBy("k", "place", "template").agg(
-        F.sum(F.col("value") * F.col("part")).alias("dot")
-    )
-    scored = dots.join(norms, ["k", "place"]).select(
-        "k", "place", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("score")
-    )
-    best = F.max(F.struct("score", F.col("template")))
-    return scored.filter(F.col("score") >= threshold).groupBy("k", "place").agg(best.alias("b")).select(
-        "k", "place", F.col("b.template").alias("template"), F.col("b.score").alias("score")
+    # The templates are a constant of the call, a few thousand rows.
+    valued = counts.join(F.broadcast(weights), "term", "left").withColumn("value", F.coalesce("weight", F.lit(other)) * F.col("n"))
+    norms = valued.groupBy(*part).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    dots = valued.join(F.broadcast(table), "term").groupBy(*part, "number", "template").agg(
+        F.sum(F.col("value") * F.col("share")).alias("dot")
     )
+    scored = dots.join(norms, part).select(*part, "template", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
+    return scored.filter(F.col("score") >= threshold).drop("nr")
 
 
 def folder_of(path: Column) -> Column:
@@ -150,29 +174,32 @@ def folder_of(path: Column) -> Column:
 
 def scan_licenses(
     files: DataFrame, path: Column, text_col: str = "text", id_col: str = "doc_id",
-    templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
+    texts_of: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``id``, ``path``, ``license``, ``score``, ``place`` and ``folder`` of each row.
 
-    ``license`` is the file's own, that of its best line (ties: the earlier line), with the line's
-    ``score`` and ``place`` from 0; or else the one of the nearest folder above with a licence file,
-    its own included, named by ``folder``, with null score and place; or else null. Of several licence
-    files in a folder the best score counts, then the least template name.
+    ``license`` is the file's own, that of its best part (ties: the earlier place, then the lesser name),
+    with the part's ``score`` and the ``place`` of its first line from 0; a reservation of all rights
+    counts only where nothing else is found. Or else it is that of the nearest folder above with a licence
+    file, its own included, named by ``folder``, with null score and place; or else null. Of several licence
+    files in a folder the best score counts, then the least name. ``texts_of`` are the templates, as
+    (licence, text).
 
     * Null and empty texts hold no statement and inherit. A null path is an empty one: no folder.
-    * Repeated rows get a row each. No rows give no rows. Other columns are not read.
+    * Repeated rows get a row each and count as a file each. No rows give no rows. Other columns are not read.
     """
     rows = files.select(
         F.col(id_col).alias("id"), F.coalesce(path, F.lit("")).alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     rows = rows.withColumn("k", F.xxhash64("path", "text"))
-    found = stored(statements(rows.select("k", "text"), templates or TEMPLATES, threshold), "licence-lines")
-    order = F.max_by(F.struct("template", "score", "place"), F.struct("score", -F.col("place")))
-    own = found.groupBy("k").agg(order.alias("own"), F.count("*").alias("lines"))
-    written = F.size(F.filter(F.split("text", "\n", -1), lambda line: F.btrim(line) != ""))
-    names = rows.select("id", "path", "k", folder_of(F.col("path")).alias("folder"), written.alias("written"))
+    found = stored(statements(rows.select("k", "text"), texts_of or TEMPLATES, threshold), "licence-parts")
+    order = F.struct((F.col("template") == RESERVED).alias("last"), (-F.col("score")).alias("less"), "place", "template")
+    own = found.groupBy("k").agg(F.min(order).alias("best"), F.max(F.col("kind") == "file").alias("whole")).select(
+        "k", "whole", F.struct("best.template", (-F.col("best.less")).alias("score"), "best.place").alias("own")
+    )
+    names = rows.select("id", "path", "k", folder_of(F.col("path")).alias("folder"))
     marked = stored(names.join(own, "k", "left"), "licence-files")
-    is_file = F.regexp_extract("path", r"([^/]*)$", 1).rlike(FILE_NAME) | (F.col("lines") == F.col("written"))
+    is_file = F.regexp_extract("path", r"([^/]*)$", 1).rlike(FILE_NAME) | F.col("whole")
     folders = marked.filter(F.col("own").isNotNull() & is_file).groupBy("folder").agg(
         F.min(F.struct((-F.col("own.score")).alias("order"), F.col("own.template").alias("template")))["template"].alias("template")
     )

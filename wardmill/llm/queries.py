@@ -107,31 +107,42 @@ def op7_url_filter(spark, d):
 
 
 def license_sql() -> str:
-    """The licence scan of documents in SQL, its template terms as a table of values."""
-    weight, vectors, other = licenses.weights(licenses.TEMPLATES)
-    rows = ", ".join(
-        f"('{term}', {weight[term]!r}, '{name}', {part!r})" for name, vector in vectors.items() for term, part in vector.items()
-    )
+    """The licence scan of documents in SQL, which weighs the terms of the templates' texts by itself."""
+    texts = ", ".join(f"({n}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for n, (name, text) in enumerate(licenses.TEMPLATES))
+    path = "concat_ws('/', source, lang, cast(doc_id as varchar))"
     return f"""
-with vector(term, weight, template, part) as (values {rows}),
-weight as (select distinct term, weight from vector),
-line as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line,
-  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 place from documents),
-word as (select doc_id, place, unnest(regexp_extract_all(lower(line), '{licenses.TERM}')) term from line),
-counted as (select doc_id, place, term, count(*) n from word group by all),
-valued as (select c.doc_id, c.place, c.term, n * coalesce(weight, cast({other!r} as double)) v
-  from counted c left join weight w on w.term = c.term),
-norm as (select doc_id, place, sqrt(sum(v * v)) norm from valued group by all),
-dot as (select doc_id, place, template, sum(v * part) dot from valued join vector using (term) group by all),
-scored as (select doc_id, place, template, round(dot / norm, 6) score from dot join norm using (doc_id, place)),
-best as (select doc_id, place, max(score) score, max_by(template, (score, template)) template
-  from scored where score >= {licenses.THRESHOLD} group by all),
-own as (select doc_id, arg_min(template, (-score, place)) template, max(score) score, arg_min(place, (-score, place)) place,
-  count(*) lines from best group by doc_id),
-written as (select doc_id, count(*) filter (trim(line) <> '') lines from line group by doc_id),
-marked as (select d.doc_id, concat_ws('/', source, lang, cast(d.doc_id as varchar)) path, own.template, own.score, own.place,
-    regexp_extract(concat_ws('/', source, lang, cast(d.doc_id as varchar)), '^(.*)/', 1) folder, own.lines = written.lines is_file
-  from documents d join written using (doc_id) left join own using (doc_id)),
+with template(number, template, body) as (values {texts}),
+use as (select number, template, unnest(regexp_extract_all(lower(body), '{licenses.TERM}')) term from template),
+used as (select number, template, term, count(*) n from use group by all),
+low as (select doc_id, lower(coalesce(text, '')) body from documents),
+seen as (select distinct doc_id, unnest(regexp_extract_all(body, '{licenses.TERM}')) term from low),
+held as (select term, count(*) files from seen where term in (select term from used) group by term),
+weight as (select term, ln((1 + (select count(*) from documents)) / (1 + coalesce(files, 0))) + 1 w
+  from (select distinct term from used) left join held using (term)),
+size as (select number, sqrt(sum(n * w * n * w)) size from used join weight using (term) group by number),
+vector as (select number, template, term, n * w / size share from used join weight using (term) join size using (number)),
+line as (select doc_id, unnest(string_split(body, chr(10))) line, generate_subscripts(string_split(body, chr(10)), 1) - 1 place from low),
+class as (select *, regexp_matches(line, '[a-z0-9]') has, regexp_matches(line, '{licenses.COMMENT}') mark from line),
+islands as (select *, place - row_number() over (partition by doc_id, has order by place) a,
+  place - row_number() over (partition by doc_id, mark order by place) b from class),
+block as (select doc_id, min(place) place, string_agg(line, chr(10) order by place) part from islands where has group by doc_id, a),
+part as (select 'line' kind, doc_id, place, line part from line union all select 'file', doc_id, 0, body from low
+  union all select 'block', doc_id, place, part from block
+  union all select 'sentence', doc_id, place, unnest(string_split_regex(part, '{licenses.SENTENCE_END}')) from block
+  union all select 'comment', doc_id, min(place), string_agg(line, chr(10) order by place) from islands where mark group by doc_id, b),
+unit as (select row_number() over () nr, * from part),
+word as (select nr, unnest(regexp_extract_all(part, '{licenses.TERM}')) term from unit),
+counted as (select nr, term, count(*) n from word group by all),
+valued as (select nr, term, n * coalesce(w, ln(1 + (select count(*) from documents)) + 1) v from counted left join weight using (term)),
+norm as (select nr, sqrt(sum(v * v)) norm from valued group by nr),
+dot as (select nr, number, template, sum(v * share) dot from valued join vector using (term) group by all),
+scored as (select doc_id, kind, place, template, round(dot / norm, 6) score from dot join norm using (nr) join unit using (nr)),
+own as (select doc_id, first(template order by template = 'Proprietary', score desc, place, template) template,
+    first(score order by template = 'Proprietary', score desc, place, template) score,
+    first(place order by template = 'Proprietary', score desc, place, template) place, bool_or(kind = 'file') is_file
+  from scored where score >= {licenses.THRESHOLD} group by doc_id),
+marked as (select doc_id, {path} path, template, score, place, regexp_extract({path}, '^(.*)/', 1) folder, is_file
+  from documents left join own using (doc_id)),
 given as (select folder up, arg_min(template, (-score, template)) template from marked where is_file group by folder),
 nearest as (select m.folder, arg_max(up, length(up)) up, arg_max(g.template, length(up)) template
   from (select distinct folder from marked) m join given g on m.folder = up or up = '' or starts_with(m.folder, up || '/')
