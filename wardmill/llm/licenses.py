@@ -8,8 +8,8 @@ licence file as a whole. Templates are notices, titles, tags and the full texts
 1. The template terms are weighted by how few of all files hold them; a term that no template uses weighs
    as much as one that no file holds. That is a count per template term, a few hundred rows.
 2. Files and parts go on only if they hold a key term: the heaviest terms of a template, so many that the
-   others alone cannot reach the threshold. A bound from the number of foreign terms leaves out the parts
-   they alone keep below it. So no part that would match is left out.
+   others alone cannot reach the threshold. A bound on the cosine, summed term by term, then leaves the
+   parts worth joining. So no part that would match is left out.
 3. The cosine to each template is a join of the part's terms with the templates' terms, summed per part.
 
 A file without a statement of its own has the licence of the nearest folder above that has a licence
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable
 
@@ -39,6 +40,8 @@ TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 # The same for texts of any length: possessive loops do not recurse.
 LONG_TERM = r"[a-z0-9]++(?:[.-][a-z0-9]++)*+"
 COMMENT = r"^[ \t]*(#|//|/\*|\*|--|;|%|<!--|\(\*)"
+# Places for the weights of template terms.
+SLOTS = 1 << 12
 SENTENCE_END = r"[.;!?][ \t\r\n]+"
 
 
@@ -116,21 +119,32 @@ def parts_of(text: Column) -> Column:
     return _let(F.split(text, "\n", -1), cut)
 
 
-def may_reach(terms: Column, known: list[str], threshold: float) -> Column:
-    """False only where the terms no template uses keep every cosine below the threshold.
+def may_reach(terms: Column, weight: dict[str, float], vectors: list[dict[str, float]], other: float, threshold: float) -> Column:
+    """False only where every cosine of a part's terms stays below the threshold.
 
-    Such a term weighs no less than any other. Of K occurrences of D known terms none comes more than
-    K - D + 1 times, so the known part's square is at most K * (K - D + 1) such weights.
+    Each occurrence adds its weight times its largest share in a template, which is no less than the
+    product with any template; and the square of its weight, together no more than the squared length,
+    as a term met n times counts n * n times there. Weights and products lie in slots by checksum: a
+    slot has the least weight and the largest product of its terms.
     """
+    least, most = [other] * SLOTS, [0.0] * SLOTS
+    for term, own in weight.items():
+        slot = zlib.crc32(term.encode()) % SLOTS
+        least[slot] = min(least[slot], own)
+        most[slot] = max(most[slot], *(own * v.get(term, 0.0) for v in vectors))
+    squares, products = (_numbers(x) for x in ([w * w for w in least], most))
 
-    def bound(distinct: Column) -> Column:
-        listed = F.array(*map(F.lit, known))
-        foreign = F.size(F.array_except(distinct, listed))
-        most = F.size(terms) - foreign
-        square = (most * (most - (F.size(distinct) - foreign) + 1)).cast("double")
-        return square >= (threshold**2 - 1e-6) * (square + foreign)
+    def bound(slots: Column) -> Column:
+        product = F.aggregate(slots, F.lit(0.0), lambda total, i: total + F.get(products, i))
+        square = F.aggregate(slots, F.lit(0.0), lambda total, i: total + F.get(squares, i))
+        return product >= (threshold - 1e-6) * F.sqrt(square)
 
-    return _let(F.array_distinct(terms), bound)
+    return _let(F.transform(terms, lambda t: F.pmod(F.crc32(t.cast("binary")), F.lit(SLOTS)).cast("int")), bound)
+
+
+def _numbers(values: list[float]) -> Column:
+    """A constant array."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def statements(files: DataFrame, texts_of: list[tuple[str, str]], threshold: float) -> DataFrame:
@@ -148,7 +162,7 @@ def statements(files: DataFrame, texts_of: list[tuple[str, str]], threshold: flo
     near = files.filter(F.arrays_overlap(extracted(lowered, F.lit(LONG_TERM), 0), keys))
     parts = near.select("k", F.posexplode(parts_of(lowered)).alias("nr", "p")).select("k", "nr", "p.*")
     terms = parts.select("k", "nr", "kind", "place", extracted("part", F.lit(LONG_TERM), 0).alias("terms"))
-    kept = terms.filter(F.arrays_overlap("terms", keys) & may_reach(F.col("terms"), sorted(weight), threshold))
+    kept = terms.filter(F.arrays_overlap("terms", keys) & may_reach(F.col("terms"), weight, vectors, other, threshold))
     part = ["k", "nr", "kind", "place"]
     counts = kept.select(*part, F.explode("terms").alias("term")).groupBy(*part, "term").agg(F.count("*").alias("n"))
     counts = stored(counts, "licence-terms")
