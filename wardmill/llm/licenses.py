@@ -7,7 +7,7 @@ licence file as a whole. Templates are notices, titles, tags and the full texts
 
 1. The template terms are weighted by how few of all files hold them; a term that no template uses weighs
    as much as one that no file holds. That is a count per template term, a few hundred rows.
-2. Files and parts go on only if they hold a key term: the heaviest terms of a template, so many that the
+2. Files and parts go on only if they hold a key term: the rarest terms of a template, so many that the
    others alone cannot reach the threshold. A bound on the cosine, summed term by term, then leaves the
    parts worth joining. So no part that would match is left out.
 3. The cosine to each template is a join of the part's terms with the templates' terms, summed per part.
@@ -71,12 +71,12 @@ def unit_vectors(texts_of: list[tuple[str, str]], weight: dict[str, float]) -> l
     return out
 
 
-def key_terms(vectors: list[dict[str, float]], threshold: float) -> list[str]:
-    """For each template its heaviest terms, until the rest is shorter than the threshold."""
+def key_terms(vectors: list[dict[str, float]], weight: dict[str, float], threshold: float) -> list[str]:
+    """For each template the terms that fewest files hold, until the rest is shorter than the threshold."""
     keys = set()
     for vector in vectors:
         left = 1.0
-        for term, part in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        for term, part in sorted(vector.items(), key=lambda x: (-weight[x[0]], -x[1], x[0])):
             if left < threshold**2 - 1e-9:
                 break
             keys.add(term)
@@ -124,14 +124,16 @@ def may_reach(terms: Column, weight: dict[str, float], vectors: list[dict[str, f
 
     Each occurrence adds its weight times its largest share in a template, which is no less than the
     product with any template; and the square of its weight, together no more than the squared length,
-    as a term met n times counts n * n times there. Weights and products lie in slots by checksum: a
-    slot has the least weight and the largest product of its terms.
+    as a term met n times counts n * n times there. Template terms lie in slots by checksum: a slot has
+    the least weight and the largest product of its terms. The last slot is for all other terms.
     """
-    least, most = [other] * SLOTS, [0.0] * SLOTS
+    names, least, most = [" "] * SLOTS, [other] * (SLOTS + 1), [0.0] * (SLOTS + 1)
     for term, own in weight.items():
         slot = zlib.crc32(term.encode()) % SLOTS
+        names[slot] += term + " "
         least[slot] = min(least[slot], own)
         most[slot] = max(most[slot], *(own * v.get(term, 0.0) for v in vectors))
+    held = F.split(F.lit(",".join(names)), ",")
     squares, products = (_numbers(x) for x in ([w * w for w in least], most))
 
     def bound(slots: Column) -> Column:
@@ -139,7 +141,11 @@ def may_reach(terms: Column, weight: dict[str, float], vectors: list[dict[str, f
         square = F.aggregate(slots, F.lit(0.0), lambda total, i: total + F.get(squares, i))
         return product >= (threshold - 1e-6) * F.sqrt(square)
 
-    return _let(F.transform(terms, lambda t: F.pmod(F.crc32(t.cast("binary")), F.lit(SLOTS)).cast("int")), bound)
+    def slot_of(term: Column) -> Column:
+        own = F.pmod(F.crc32(term.cast("binary")), F.lit(SLOTS)).cast("int")
+        return F.when(F.contains(F.get(held, own), F.concat(F.lit(" "), term, F.lit(" "))), own).otherwise(SLOTS)
+
+    return _let(F.transform(terms, slot_of), bound)
 
 
 def _numbers(values: list[float]) -> Column:
@@ -157,7 +163,7 @@ def statements(files: DataFrame, texts_of: list[tuple[str, str]], threshold: flo
     number, holding = file_counts(lowered, files, texts_of)
     weight = {t: term_weight(number, holding.get(t, 0)) for _, text in texts_of for t in terms_of(text)}
     vectors, other = unit_vectors(texts_of, weight), term_weight(number, 0)
-    keys = F.array(*map(F.lit, key_terms(vectors, threshold)))
+    keys = F.array(*map(F.lit, key_terms(vectors, weight, threshold)))
     extracted = F.regexp_extract_all
     near = files.filter(F.arrays_overlap(extracted(lowered, F.lit(LONG_TERM), 0), keys))
     parts = near.select("k", F.posexplode(parts_of(lowered)).alias("nr", "p")).select("k", "nr", "p.*")
