@@ -54,3 +54,19 @@ def test_packed_ids(spark):
     pairs = bpe.BytePairs(spark, RANKS, public_tokenizers.PATTERN)
     row = pairs.packed(spark.createDataFrame([(ids,), ([],)], "ids array<int>"), "ids", "b").collect()
     assert [bytes(r.b) for r in row] == [struct.pack("<4I", *ids), b""]
+
+
+def test_words_of_one_bucket(spark):
+    """A bucket keeps its most frequent words, in order; other words are folded and give the library's ids too."""
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    texts = [" qua" * 9 + " que" * 8 + " qui" * 7, " quo" * 6 + " quu" * 5 + " once", "\x00\x00 a\x00b é\U0001f680", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    pairs = bpe.BytePairs(spark, RANKS, public_tokenizers.PATTERN)
+    (row,) = pairs.frequent(docs, bpe.WAYS, ("ids",)).collect()
+    assert [[c.decoded for c in bucket] for bucket in row.codes] == [[" qua", " que", " qui", " quo"]]
+    assert [c.ids for c in row.codes[0]] == [library.encode_ordinary(c.decoded) for c in row.codes[0]]
+    found = bpe.encode_documents(docs, RANKS, public_tokenizers.PATTERN, "id", slots=bpe.WAYS, columns=("packed", "decoded"))
+    assert found.columns == ["id", "text", "packed", "decoded"]
+    for r in found.collect():
+        ids = library.encode_ordinary(r.text or "")
+        assert bytes(r.packed) == struct.pack(f"<{len(ids)}I", *ids) and bytes(r.decoded) == (r.text or "").encode()

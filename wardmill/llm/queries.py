@@ -77,9 +77,9 @@ def op5_top_k(spark, d):
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark, d):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    found = bpe.encode_documents(read(spark, d, "documents"), path, pattern)
+    found = bpe.encode_documents(read(spark, d, "documents"), path, pattern, columns=("packed", "decoded"))
     return found.select(
-        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.col("id").alias("doc_id"), F.shiftright(F.octet_length("packed"), 2).cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
