@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+
 from wardmill.functions import metaphone
 from wardmill.operators import search
 
@@ -43,3 +45,12 @@ def test_two_tokens_at_a_place(spark):
     rows = sorted((r.mrn, r.position, r.term, r.token) for r in index.collect())
     assert rows == [("1", 0, "smith", "SM0"), ("1", 0, "smith", "XMT"), ("1", 1, "mike", "MK"), ("1", 2, "42", "42"),
                     ("2", 0, "schmidt", "SMT"), ("2", 0, "schmidt", "XMT"), ("2", 1, "smith", "SM0"), ("2", 1, "smith", "XMT")]
+
+
+def test_codes_are_worked_out_above_the_distinct(spark):
+    docs = spark.range(9).select(F.col("id").cast("string").alias("mrn"), F.lit("Smith 42").alias("name"))
+    index = metaphone.double_postings(search.postings(docs, ["name"], sound=False))
+    lines = index._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    reading = [n for n, line in enumerate(lines) if "aggregate(" in line]
+    assert reading and max(reading) <= max(n for n, line in enumerate(lines) if "Aggregate [term" in line)
+    assert index.count() == 9 * 3

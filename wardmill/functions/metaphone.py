@@ -6,6 +6,8 @@ pattern on the word with a bar before the letter it stands at, so it sees what i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,16 +100,26 @@ def rule_of(letter: Column, marked: Column) -> Column:
     return out.otherwise(F.struct(F.lit(1).alias("used"), F.lit("").alias("one"), F.lit("").alias("two")))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def double_metaphone(word: Column, length: int = LENGTH) -> Column:
     """(one, two): the codes of a word, cut to ``length`` letters; equal where the rules know one only.
 
-    A NULL word has NULL codes; one without a sounding letter has empty ones. Reading costs some patterns
-    per letter, so code distinct words, not every place they stand at.
+    A NULL word has NULL codes; one without a sounding letter has empty ones and is not read at all. Reading costs
+    some patterns per letter, so code distinct words, not every place they stand at.
     """
     text = F.translate(word, LETTERS[0], LETTERS[1])
+    silent = F.struct(F.lit("").alias("one"), F.lit("").alias("two"))
+    return F.when(word.isNull(), None).when(~text.rlike(f"[{LETTERS[1]}]"), silent).otherwise(bound(text, lambda t: read_codes(t, length)))
+
 
+def read_codes(text: Column, length: int) -> Column:
     def step(state: Column, place: Column) -> Column:
         marked = F.concat(F.substr(text, F.lit(1), place), F.lit("|"), F.substr(text, place + 1))
+        here = F.struct(F.substr(text, place + 1, F.lit(1)).alias("letter"), marked.alias("marked"))
 
         def added(found: Column) -> Column:
             return F.struct(
@@ -115,27 +127,26 @@ def double_metaphone(word: Column, length: int = LENGTH) -> Column:
                 F.concat(state["two"], found["two"]).alias("two"),
             )
 
-        rule = rule_of(F.substr(text, place + 1, F.lit(1)), marked)
-        read = F.get(F.transform(F.transform(F.array(F.lit(0)), lambda _: rule), added), 0)
+        read = bound(bound(here, lambda h: rule_of(h["letter"], h["marked"])), added)
         return F.when(place < state["next"], state).otherwise(read)
 
     first = F.when(text.rlike(SILENT), 1).otherwise(0)
     start = F.struct(first.alias("next"), F.lit("").alias("one"), F.lit("").alias("two"))
     places = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
-    cut = F.aggregate(places, start, step, lambda s: F.struct(
+    return F.aggregate(places, start, step, lambda s: F.struct(
         F.substring(s["one"], 1, length).alias("one"), F.substring(s["two"], 1, length).alias("two")))
-    return F.when(text.isNotNull(), cut)
 
 
 def double_postings(postings: DataFrame, length: int = LENGTH) -> DataFrame:
     """A term table with two tokens per place where a word has two codes: the field, a code, and the rest.
 
     Codes are worked out once per distinct term and joined; a very common term is split by the skew join. A word
-    without a sounding letter is its own token, as numbers are.
+    without a sounding letter is its own token, as numbers are. Each term has a token, so ``explode_outer`` gives
+    the rows of ``explode``; of ``explode``, Spark infers a filter on the codes and works it out below the distinct.
     """
     terms = postings.select("term").distinct()
     codes = terms.withColumn("_codes", double_metaphone(F.col("term"), length))
     tokens = F.array_distinct(F.filter(F.array("_codes.one", "_codes.two"), lambda c: c != ""))
     named = codes.select("term", F.when(F.size(tokens) > 0, tokens).otherwise(F.array("term")).alias("_tokens"))
     rest = [c for c in postings.columns if c != "token"]
-    return postings.join(named, "term").withColumn("token", F.explode("_tokens")).select("token", *rest)
+    return postings.join(named, "term").withColumn("token", F.explode_outer("_tokens")).select("token", *rest)
