@@ -102,3 +102,24 @@ def test_searches_take_a_stored_index(spark, tmp_path):
     assert [r.mrn for r in search.search_suggest(docs, index, "customer 193*", **use).collect()] == ["1", "2"]
     assert [r.mrn for r in search.search_query(docs, index, {"city": "town"}, {"street": "main st"}, **use).collect()] == ["1"]
     assert [r.mrn for r in search.search_fields(docs, index, {"gender": "M", "name": "customer"}, **use).collect()] == ["2"]
+
+
+def test_texts_are_read_once_and_documents_counted_by_key(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    for name, ids in (("own", range(30)), ("repeated", [i // 2 if i < 20 else None for i in range(30)])):
+        rows = [(i, f"the of the w{n % 3}", f"x the x w{n % 4}") for n, i in enumerate(ids)]
+        docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+        before = read.value
+        term_search.write_search_index(docs.withColumn("name", counted("name")), str(tmp_path / name), ["name"], ["email"], key="id", frequent=0.3)
+        assert read.value - before == 30
+        index = term_search.read_search_index(spark, str(tmp_path / name), "id")
+        for stored, places, by in ((index.terms, index.postings, ["field", "token", "term"]), (index.pair_terms, index.pairs, ["field", "token", "next"])):
+            want = term_search.document_counts(places, by, "id")
+            assert sorted(map(tuple, stored.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+        assert index.pairs.count() > 0
