@@ -260,6 +260,30 @@ def test_upsert_some_columns_in_one_join(spark, tmp_path):
     assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
 
 
+def test_upsert_shuffles_only_rows_that_updates_may_touch(spark, monkeypatch):
+    base = spark.range(2000).select(F.when(F.col("id") % 50 != 0, F.col("id") % 1900).alias("k"), F.lit("x").alias("v"), F.col("id").alias("w"))
+    new = spark.range(0, 4000, 10).select(F.when(F.col("id") % 30 != 0, F.col("id")).alias("k"), F.lit("n").alias("v"), F.lit(-1).cast("long").alias("w"))
+    old, fresh = rows(base), rows(new)
+    keys = {k for k, *_ in fresh if k is not None}
+    whole = sorted([r for r in old if r[0] not in keys] + fresh, key=str)
+    known = {k for k, *_ in old if k is not None}
+    some = sorted([(k, "n" if k in keys else v, w) for k, v, w in old] + [r for r in fresh if r[0] not in known], key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for words in (1 << 20, 1):  # with one word, nearly all rows pass the filter
+            monkeypatch.setattr(upserts, "FILTER_WORDS", words)
+            got = upserts.upsert(base, new, ["k"])
+            assert rows(got) == whole and rows(upserts.upsert(base, new, ["k"], set_columns=["v"])) == some
+            assert "SortMergeJoin" not in [x.strip(" :+-").split(" ")[0] for x in str(got._jdf.queryExecution().executedPlan()).splitlines() if "LeftAnti" in x]
+        monkeypatch.undo()
+        untouched, touched = upserts.split_touched(base, new, ["k"])
+        assert untouched.count() + touched.count() == 2000 and touched.count() < 250
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = new.withColumn("k", F.col("k").cast("int"))  # a join turns the type into another: no filter
+    assert rows(upserts.upsert(base, wide, ["k"])) == whole
+
+
 def test_create_table_twice(spark):
     schema, keys, _ = models.REGISTRY["VersionControl"]
     tables.create_table(spark, "vc_twice", schema, keys)
