@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from wardmill import models
 from wardmill.functions.times import ntz
 from wardmill.operators import events, filters, ordering, patients, search, tables, upserts
@@ -316,6 +319,24 @@ def test_csv_export(spark, tmp_path):
     assert text == '"a,b",1\r\n'
 
 
+@pytest.mark.parametrize("job", [tables.export_csv, tables.export_json_lines])
+def test_compressed_export_holds_the_same_bytes(spark, tmp_path, job):
+    df = spark.createDataFrame([("a,b\r\n\"c\"", 1), (None, 2), ("word " * 500, 3)], "s string, n int").coalesce(1)
+    job(df, str(tmp_path / "plain"))
+    job(df, str(tmp_path / "packed"), "gzip")
+    plain = b"".join(p.read_bytes() for p in (tmp_path / "plain").glob("part-*.txt"))
+    packed = [p.read_bytes() for p in (tmp_path / "packed").glob("part-*.gz")]
+    assert b"".join(map(gzip.decompress, packed)) == plain and len(packed[0]) < len(plain) / 3
+
+
+def test_registered_exports_take_less_disk_than_their_lines(spark):
+    for name, folder in (("export_csv", "csv-"), ("export_json_lines", "json-")):
+        found = entry.queries()[name](spark, "/root/testdata/sf0.001")
+        files = [Path(f.removeprefix("file://")) for f in found.inputFiles()]
+        assert files and all(folder in str(f) and f.suffix == ".gz" for f in files)
+        assert 2 * sum(f.stat().st_size for f in files) < found.agg(F.sum(F.octet_length("line"))).first()[0]
+
+
 def test_adhoc_by_position(spark):
     spark.range(3).createOrReplaceTempView("numbers")
     got = adhoc.adhoc(spark, "select 'ABC', cast(id as string), :at from numbers where id = 1", models.VERSION_CONTROL, {"at": dt.datetime(2024, 1, 1)})

@@ -462,7 +462,7 @@ select id || ',' || {CSV.format('study_id')} || ',' || {CSV.format('request')} |
 from hist""")
 def export_csv(spark, d):
     folder = new_folder(spark, "csv")
-    tables.export_csv(b.hist(spark, d).select("id", "study_id", "request", "response"), folder)
+    tables.export_csv(b.hist(spark, d).select("id", "study_id", "request", "response"), folder, "gzip")
     return spark.read.text(folder, lineSep="\r\n").withColumnRenamed("value", "line")
 
 
@@ -473,7 +473,7 @@ JSON = """json_object('id', id, 'start_time', regexp_replace(strftime(start_time
 @query("export_json_lines", with_(HIST) + f"select cast({JSON} as varchar) line from hist")
 def export_json_lines(spark, d):
     folder = new_folder(spark, "json")
-    tables.export_json_lines(b.hist(spark, d).select("id", "start_time", "to_store", "response"), folder)
+    tables.export_json_lines(b.hist(spark, d).select("id", "start_time", "to_store", "response"), folder, "gzip")
     return spark.read.text(folder).withColumnRenamed("value", "line")
 
 
