@@ -116,3 +116,22 @@ def test_registered_searches_read_stored_layouts(spark):
     assert re.search(r"PartitionFilters: .*day.*2024-01-05", text) and "EqualTo(to_store,store_1)" in text
     text = plan(entry.queries()["search_stored_index"](spark, SF_DIR))
     assert "PartitionFilters" in text and "EqualTo(token,kstmr)" in text
+
+
+def test_a_long_log_is_written_in_passes_of_days(spark, tmp_path):
+    hist = spark.range(400).select(
+        F.when(F.col("id") % 9 != 0, F.timestamp_seconds(1704067200 + F.col("id") * 7200).cast("timestamp_ntz")).alias("start_time"),
+        F.concat(F.lit("store_"), F.col("id") % 3).alias("to_store"), "id",
+    )
+    path = str(tmp_path / "by-day")
+    logs.write_by_day(hist, path, most=50)
+    stored = spark.read.parquet(path)
+    assert sorted(map(tuple, stored.select("id", "start_time", "to_store").collect())) == sorted(
+        map(tuple, hist.select("id", "start_time", "to_store").collect()))
+    passes = {re.search(r"part-\d+-(.{36})", f).group(1) for f in stored.inputFiles()}
+    assert len(passes) > 4 and all(".zstd." in f for f in stored.inputFiles())
+    folders = [re.search(r"day=([^/]*)/part-\d+-(.{36})", f).groups() for f in stored.inputFiles()]
+    assert len({day for day, _ in folders}) == len(set(folders))  # a day lies in one pass
+    logs.write_by_day(hist.limit(0), str(tmp_path / "none"))
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        logs.write_by_day(hist, path)
